@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterline.operators import sessions as Z
 from meterline.plans.adapters import DRIVER_SESSION, canonical_events, table
@@ -35,3 +36,147 @@ def sessionized(spark: SparkSession, sf: str, chunk_micros="auto") -> DataFrame:
 @register("sessionized")
 def q_sessionized(spark, sf):
     return sessionized(spark, sf)
+
+
+# --- Z1-Z10 one operator at a time ---------------------------------------
+def _z_chain(spark, sf, upto: str):
+    p = DRIVER_SESSION
+    df = Z.event_priority(canon(spark, sf), p)
+    if upto == "event_priority":
+        return df
+    df = Z.neighbor_times(df)
+    if upto == "neighbor_times":
+        return df.select("event_id", "customer", "batch_id", "egm_id", "tran_ts", "next_ts", "prev_ts")
+    df = Z.time_deltas(df)
+    if upto == "time_deltas":
+        return df.select("event_id", "next_delta", "prev_delta")
+    df = Z.threshold_flags(df, p)
+    if upto == "threshold_flags":
+        return df.select("event_id", "next_gap", "prev_gap")
+    df = Z.session_state(Z.cash_flags(df, p))
+    if upto == "session_state":
+        return df.select("event_id", "session_state")
+    df = Z.session_start(df)
+    if upto == "session_start":
+        return df.select("event_id", "session_start")
+    df = Z.session_number(df)
+    if upto == "session_number":
+        return df.select("event_id", "session_number")
+    df = Z.session_id(df, p)
+    if upto == "session_id":
+        return df.select("event_id", "unique_session_id")
+    return Z.session_fill(df).select("event_id", "session_id")
+
+
+for _k in ("event_priority", "neighbor_times", "time_deltas", "threshold_flags", "session_state",
+           "session_start", "session_number", "session_id", "session_fill"):
+    QUERIES[_k] = (lambda k: lambda spark, sf: _z_chain(spark, sf, k))(_k)
+
+
+@register("cash_flags")
+def q_cash_flags(spark, sf):
+    return Z.cash_flags(canon(spark, sf), DRIVER_SESSION).select("event_id", "is_cash_out", "is_cash_in")
+
+
+# --- G1-G4 ------------------------------------------------------------------
+@register("gap_status")
+def q_gap_status(spark, sf):
+    from meterline.operators.islands import islands
+    return islands(canon(spark, sf)).select(
+        "event_id", "customer", "batch_id", "egm_id", "tran_ts", "next_ts", "time_gap", "credit_status")
+
+
+@register("event_islands")
+def q_event_islands(spark, sf):
+    from meterline.operators.islands import islands
+    return islands(canon(spark, sf)).select(
+        "event_id", "rectype", "egm_id", "tran_ts", "seq", "credit_meter", "tran_amt", "customer",
+        "batch_id", "rectype_order", "calc_col", "grp", "final_num")
+
+
+# --- Q1-Q16 -----------------------------------------------------------------
+def _checked(spark, sf):
+    from meterline.operators import quality as Q
+    return Q.checked_frame(sessionized(spark, sf))
+
+
+def _rule(name):
+    def run(spark, sf):
+        from meterline.operators import quality as Q
+        return getattr(Q, name)(_checked(spark, sf))
+    return run
+
+
+@register("clamp_negative")
+def q_clamp_negative(spark, sf):
+    from meterline.functions.exprs import clamp_negative
+    return sessionized(spark, sf).select("event_id", "session_id", F.col("payout").alias("payout_raw"),
+                                         clamp_negative("payout").alias("payout"))
+
+
+@register("theme_backfill")
+def q_theme_backfill(spark, sf):
+    from meterline.operators import quality as Q
+    s = sessionized(spark, sf).withColumn("theme_id_raw", F.col("theme_id"))
+    return Q.theme_backfill(s).select("event_id", "session_id", "theme_id_raw", "theme_id")
+
+
+QUERIES["rectype_filter"] = _checked
+for _k in ("negative_amount_sessions", "negative_amount_rows", "priority_sort", "min_wager_sessions",
+           "first_event_rule", "bracket_incomplete", "empty_bracket", "bracket_rule",
+           "zero_intensity", "residual_credits", "multiple_cashouts", "final_balance"):
+    QUERIES[_k] = _rule(_k)
+
+
+def materialized_stages(spark, sf):
+    """Sessionized and checked frames cut from their lineage (reliable
+    checkpoints in the shared checkpoint folder): several rules and the
+    curation each read them."""
+    from meterline.operators import quality as Q
+    sess = sessionized(spark, sf).checkpoint(eager=True)
+    checked = Q.checked_frame(sess).checkpoint(eager=True)
+    return sess, checked
+
+
+@register("violations")
+def q_violations(spark, sf):
+    from meterline.operators import quality as Q
+    _, checked = materialized_stages(spark, sf)
+    return Q.violations(checked)
+
+
+# --- C1-C7 ------------------------------------------------------------------
+@register("valid_sessions")
+def q_valid_sessions(spark, sf):
+    from meterline.operators import curate as C
+    from meterline.operators import quality as Q
+    sess, checked = materialized_stages(spark, sf)
+    return C.valid_sessions(sess, Q.violations(checked))
+
+
+@register("strict_prev_fill")
+def q_strict_prev_fill(spark, sf):
+    from meterline.operators import curate as C
+    return C.strict_prev_fill(sessionized(spark, sf)).select("event_id", "session_id", "theme_id", "theme_name")
+
+
+@register("running_balance")
+def q_running_balance(spark, sf):
+    from meterline.operators import curate as C
+    from meterline.operators import quality as Q
+    return C.running_balance(Q.clamp_payout(sessionized(spark, sf))).select(
+        "event_id", "session_id", "credit_meter")
+
+
+@register("area_fill")
+def q_area_fill(spark, sf):
+    from meterline.operators import curate as C
+    return C.area_fill(sessionized(spark, sf)).select("event_id", "location", "area_id")
+
+
+@register("curated_sessions")
+def q_curated_sessions(spark, sf):
+    from meterline.operators import curate as C
+    from meterline.operators import quality as Q
+    sess, checked = materialized_stages(spark, sf)
+    return C.curated_sessions(sess, Q.violations(checked))
