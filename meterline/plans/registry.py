@@ -180,3 +180,82 @@ def q_curated_sessions(spark, sf):
     from meterline.operators import quality as Q
     sess, checked = materialized_stages(spark, sf)
     return C.curated_sessions(sess, Q.violations(checked))
+
+
+# --- N1-N11: landing tables -> canonical event log ---------------------------
+def _landing(spark, sf):
+    from meterline.plans.landing import landing_tables
+    return landing_tables(spark, sf)
+
+
+@register("tag_pad_union")
+def q_tag_pad_union(spark, sf):
+    from meterline.operators import events as N
+    L = _landing(spark, sf)
+    return N.tag_pad_union(L["primarygamestarted_raw"], L["gameended_raw"], "w", "o",
+                           N.WAGER_START_COLS, N.WAGER_END_COLS)
+
+
+@register("pair_payout")
+def q_pair_payout(spark, sf):
+    from meterline.operators import events as N
+    return N.pair_payout(q_tag_pad_union(spark, sf)).select(
+        "rectype", "egmid", "gameplaylogsequence", "deviceid", "eventdatetime", "customer", "batch_id",
+        "g2s_playercashableamt", "sort_priority", "payout")
+
+
+@register("wager_events")
+def q_wager_events(spark, sf):
+    from meterline.operators import events as N
+    L = _landing(spark, sf)
+    return N.wager_events(L["primarygamestarted_raw"], L["gameended_raw"])
+
+
+@register("meter_delta_lag2")
+def q_meter_delta_lag2(spark, sf):
+    return q_wager_events(spark, sf).select("rectype", "egm_id", "tran_ts", "seq", "credit_meter",
+                                            "tran_amt", "customer", "batch_id")
+
+
+@register("dedup_events")
+def q_dedup_events(spark, sf):
+    from meterline.operators import events as N
+    L = _landing(spark, sf)
+    return N.secondary_tagged(L["secondarygamestarted_raw"], L["secondarygameended_raw"])
+
+
+@register("secondary_deltas")
+def q_secondary_deltas(spark, sf):
+    from meterline.operators import events as N
+    L = _landing(spark, sf)
+    return N.secondary_deltas(L["secondarygamestarted_raw"], L["secondarygameended_raw"])
+
+
+@register("canonical_projection")
+def q_canonical_projection(spark, sf):
+    from meterline.operators import events as N
+    return N.canonical_projection(_landing(spark, sf), "bonus_award_paid")
+
+
+@register("cash_events")
+def q_cash_events(spark, sf):
+    from meterline.operators import events as N
+    return N.cash_events(_landing(spark, sf))
+
+
+@register("start_end_unpivot")
+def q_start_end_unpivot(spark, sf):
+    from meterline.operators import events as N
+    return N.start_end_unpivot(_landing(spark, sf)["stm_raw"])
+
+
+@register("union_all_types")
+def q_union_all_types(spark, sf):
+    from meterline.operators import events as N
+    return N.union_all_types(_landing(spark, sf))
+
+
+@register("raw_event_log")
+def q_raw_event_log(spark, sf):
+    from meterline.operators import events as N
+    return N.raw_event_log(_landing(spark, sf), batch_id="b0")
