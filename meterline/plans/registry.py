@@ -259,3 +259,140 @@ def q_union_all_types(spark, sf):
 def q_raw_event_log(spark, sf):
     from meterline.operators import events as N
     return N.raw_event_log(_landing(spark, sf), batch_id="b0")
+
+
+# --- I1-I11: ingestion ----------------------------------------------------------
+# Driver mappings: documents = landing inventory, labels = load log
+# (toxic -> Failed, else Completed), events = an append-only status log
+# (signup/click -> Started, purchase/view -> Completed, error -> Failed).
+LANDING_LOCATION = "mem://landing/"
+
+
+def _doc_inventory(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select(F.lit(LANDING_LOCATION).alias("location"),
+                    F.concat(F.lit("documents/"), F.col("doc_id").cast("string"), F.lit(".parquet")).alias("file_name"),
+                    F.col("n_chars").alias("size"))
+
+
+def _label_log(spark, sf):
+    lb = table(spark, sf, "labels")
+    return lb.select(F.lit("FM").alias("source_name"),
+                     F.concat(F.lit("documents/"), F.col("doc_id").cast("string"), F.lit(".parquet")).alias("file_name"),
+                     F.when(F.col("toxic") == 1, "Failed").otherwise("Completed").alias("load_status"))
+
+
+def _event_log(spark, sf):
+    e = table(spark, sf, "events")
+    st = (F.when(F.col("event_type").isin("signup", "click"), "Started")
+          .when(F.col("event_type").isin("purchase", "view"), "Completed").otherwise("Failed"))
+    return e.select(F.lit("FM").alias("source_name"),
+                    F.concat(F.lit("events/u"), F.col("user_id").cast("string"), F.lit(".parquet")).alias("file_name"),
+                    F.lit(LANDING_LOCATION).alias("location"), F.col("ts").alias("load_start"),
+                    st.alias("load_status"), F.date_format("ts", "yyyyMMdd").alias("batch_id"),
+                    F.col("event_id").alias("entry_id"))
+
+
+@register("file_inventory")
+def q_file_inventory(spark, sf):
+    from meterline.sources.files import file_inventory
+    return file_inventory(spark, sf, "*.parquet")
+
+
+@register("pending_files")
+def q_pending_files(spark, sf):
+    from meterline.sources.loadlog import pending_files
+    return pending_files(_doc_inventory(spark, sf), _label_log(spark, sf), "FM")
+
+
+@register("load_log_open")
+def q_load_log_open(spark, sf):
+    from meterline.sources.loadlog import log_open
+    return log_open(q_pending_files(spark, sf), "FM").drop("load_start")
+
+
+@register("load_log_state")
+def q_load_log_state(spark, sf):
+    from meterline.sources.loadlog import log_state
+    s = log_state(_event_log(spark, sf), at="load_start", tie="entry_id")
+    return s.select("source_name", "file_name", "load_status", F.col("load_start").alias("status_at"),
+                    "batch_id", F.col("n_entries").cast("long").alias("n_entries"))
+
+
+@register("load_duration")
+def q_load_duration(spark, sf):
+    from meterline.sources.loadlog import minutes_between
+    log = _event_log(spark, sf)
+    per = log.groupBy("source_name", "file_name").agg(
+        F.min(F.when(F.col("load_status") == "Started", F.col("load_start"))).alias("load_start"),
+        F.max(F.when(F.col("load_status") == "Completed", F.col("load_start"))).alias("load_end"))
+    return per.withColumn("duration_min", minutes_between(F.col("load_start"), F.col("load_end")).cast("long"))
+
+
+def _typed(spark, sf):
+    from meterline.sources.files import typed_load
+    e = table(spark, sf, "events")
+    raw = e.select("event_id", "user_id", F.date_format("ts", "yyyyMMdd").alias("batch_id"), "ts",
+                   F.when(F.col("event_id") % 10 == 0, F.col("event_type"))
+                    .otherwise(F.col("event_id").cast("string")).alias("id_text"),
+                   F.when(F.col("event_id") % 7 == 0, F.lit("n/a"))
+                    .otherwise(F.col("value").cast("decimal(18,2)").cast("string")).alias("amount_text"))
+    return typed_load(raw, {"id_text": "bigint", "amount_text": "decimal(18,2)"},
+                      keep=("event_id", "user_id", "batch_id", "ts"))
+
+
+@register("typed_load_accepted")
+def q_typed_load_accepted(spark, sf):
+    return _typed(spark, sf)[0]
+
+
+@register("typed_load_rejects")
+def q_typed_load_rejects(spark, sf):
+    return _typed(spark, sf)[1]
+
+
+@register("batch_load_stats")
+def q_batch_load_stats(spark, sf):
+    from meterline.sources.files import batch_load_stats
+    acc, rej = _typed(spark, sf)
+    return batch_load_stats(acc, rej, ["batch_id"], "ts")
+
+
+def _day_batches(spark, sf):
+    return canon(spark, sf).withColumn("batch_id", F.date_format("tran_ts", "yyyyMMdd"))
+
+
+@register("tenant_batch_scan")
+def q_tenant_batch_scan(spark, sf):
+    from meterline.session import scratch_path
+    from meterline.sources.files import tenant_batch_scan, write_batch
+    path = scratch_path(spark, "canonical")
+    write_batch(_day_batches(spark, sf), path)
+    return tenant_batch_scan(spark, path, "c1", "20240102")
+
+
+@register("batch_overwrite")
+def q_batch_overwrite(spark, sf):
+    """The same batches written twice: the second write replaces, never duplicates."""
+    from meterline.session import scratch_path
+    from meterline.sources.files import write_batch
+    path = scratch_path(spark, "overwrite")
+    df = _day_batches(spark, sf)
+    write_batch(df, path)
+    write_batch(df, path)
+    return spark.read.parquet(path)
+
+
+@register("incremental_load")
+def q_incremental_load(spark, sf):
+    """events landed as files; the availableNow stream runs twice; the sink holds each row once."""
+    from meterline.session import scratch_path
+    from meterline.streaming.incremental import stream_available_now
+    src, sink, ck = (scratch_path(spark, n) for n in ("landing", "sink", "stream-ckpt"))
+    e = table(spark, sf, "events").withColumns({
+        "customer": F.concat(F.lit("c"), (F.col("user_id") % 3).cast("string")),
+        "batch_id": F.date_format("ts", "yyyyMMdd")})
+    e.write.mode("overwrite").parquet(src)
+    stream_available_now(spark, src, e.schema, sink, ck)
+    stream_available_now(spark, src, e.schema, sink, ck)
+    return spark.read.schema(e.schema).parquet(sink)
