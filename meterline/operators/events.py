@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.exprs import MONEY, priority
-from meterline.operators.ordered import Lag, Lead, ordered_scan
+from meterline.operators.ordered import DEFAULT_TARGET_ROWS, Lag, Lead, ordered_scan, resolve_chunk
 from meterline.params import SECONDARY_PAIR_PRIORITY, WAGER_PAIR_PRIORITY
 from meterline.schemas import CANONICAL
 
@@ -130,6 +130,10 @@ def meter_delta_lag2(df: DataFrame, meter: str = "credit_meter", out: str = "tra
 # --- N5 -----------------------------------------------------------------
 def wager_events(start: DataFrame, end: DataFrame, chunk_micros="auto") -> DataFrame:
     tagged = tag_pad_union(start, end, "w", "o", WAGER_START_COLS, WAGER_END_COLS)
+    # size the time chunks once on the machine's raw events; the pairing
+    # groups are subsets of a machine, so the same width bounds them too
+    chunk_micros = resolve_chunk(tagged, [*TENANT, "egmid"], "eventdatetime", chunk_micros,
+                                 DEFAULT_TARGET_ROWS)
     paired = pair_payout(tagged, chunk_micros)
     canon = to_canonical(paired, {
         "egm_id": "egmid", "device_id": "deviceid", "denom_id": "denomid", "tran_ts": "eventdatetime",
@@ -152,6 +156,10 @@ def secondary_tagged(start: DataFrame, end: DataFrame) -> DataFrame:
 # --- N7 -----------------------------------------------------------------
 def secondary_deltas(start: DataFrame, end: DataFrame, chunk_micros="auto") -> DataFrame:
     """x/y events: amount and payout are offset-2 differences of the start and end meters."""
+    raw = start.select(*TENANT, "egmid", "eventdatetime").unionByName(
+        end.select(*TENANT, "egmid", "eventdatetime"))
+    chunk_micros = resolve_chunk(raw, [*TENANT, "egmid"], "eventdatetime", chunk_micros,
+                                 DEFAULT_TARGET_ROWS)
     df = secondary_tagged(start, end).withColumn(
         "sort_priority", priority("rectype", SECONDARY_PAIR_PRIORITY, None))
     df = ordered_scan(df, [*TENANT, "egmid"], SECONDARY_ORDER, "eventdatetime",

@@ -29,7 +29,27 @@ def canon(spark: SparkSession, sf: str) -> DataFrame:
     return canonical_events(table(spark, sf, "events"))
 
 
+def chunk_width(spark: SparkSession, sf: str):
+    """Time-chunk width for every ordered scan over the canonical log.
+
+    Sized once on the base table per machine (keys and time only). Session
+    windows see subsets of a machine's rows, so the width bounds them too.
+    """
+    from meterline.operators.ordered import auto_chunk_micros
+    from meterline.params import ENTITY
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _WIDTHS:
+        _WIDTHS[key] = auto_chunk_micros(canon(spark, sf), ENTITY, "tran_ts")
+    return _WIDTHS[key]
+
+
+# chunk widths already measured in this application, per input folder
+_WIDTHS: dict = {}
+
+
 def sessionized(spark: SparkSession, sf: str, chunk_micros="auto") -> DataFrame:
+    if chunk_micros == "auto":
+        chunk_micros = chunk_width(spark, sf)
     return Z.sessionize(canon(spark, sf), DRIVER_SESSION, chunk_micros=chunk_micros)
 
 
@@ -41,10 +61,11 @@ def q_sessionized(spark, sf):
 # --- Z1-Z10 one operator at a time ---------------------------------------
 def _z_chain(spark, sf, upto: str):
     p = DRIVER_SESSION
+    cm = chunk_width(spark, sf)
     df = Z.event_priority(canon(spark, sf), p)
     if upto == "event_priority":
         return df
-    df = Z.neighbor_times(df)
+    df = Z.neighbor_times(df, cm)
     if upto == "neighbor_times":
         return df.select("event_id", "customer", "batch_id", "egm_id", "tran_ts", "next_ts", "prev_ts")
     df = Z.time_deltas(df)
@@ -56,16 +77,16 @@ def _z_chain(spark, sf, upto: str):
     df = Z.session_state(Z.cash_flags(df, p))
     if upto == "session_state":
         return df.select("event_id", "session_state")
-    df = Z.session_start(df)
+    df = Z.session_start(df, cm)
     if upto == "session_start":
         return df.select("event_id", "session_start")
-    df = Z.session_number(df)
+    df = Z.session_number(df, cm)
     if upto == "session_number":
         return df.select("event_id", "session_number")
     df = Z.session_id(df, p)
     if upto == "session_id":
         return df.select("event_id", "unique_session_id")
-    return Z.session_fill(df).select("event_id", "session_id")
+    return Z.session_fill(df, cm).select("event_id", "session_id")
 
 
 for _k in ("event_priority", "neighbor_times", "time_deltas", "threshold_flags", "session_state",
@@ -82,28 +103,35 @@ def q_cash_flags(spark, sf):
 @register("gap_status")
 def q_gap_status(spark, sf):
     from meterline.operators.islands import islands
-    return islands(canon(spark, sf)).select(
+    return islands(canon(spark, sf), chunk_micros=chunk_width(spark, sf)).select(
         "event_id", "customer", "batch_id", "egm_id", "tran_ts", "next_ts", "time_gap", "credit_status")
 
 
 @register("event_islands")
 def q_event_islands(spark, sf):
     from meterline.operators.islands import islands
-    return islands(canon(spark, sf)).select(
+    return islands(canon(spark, sf), chunk_micros=chunk_width(spark, sf)).select(
         "event_id", "rectype", "egm_id", "tran_ts", "seq", "credit_meter", "tran_amt", "customer",
         "batch_id", "rectype_order", "calc_col", "grp", "final_num")
 
 
 # --- Q1-Q16 -----------------------------------------------------------------
-def _checked(spark, sf):
+def _checked(spark, sf, cm="auto"):
     from meterline.operators import quality as Q
-    return Q.checked_frame(sessionized(spark, sf))
+    cm = chunk_width(spark, sf) if cm == "auto" else cm
+    return Q.checked_frame(sessionized(spark, sf, cm), chunk_micros=cm)
+
+
+ORDERED_RULES = {"empty_bracket", "bracket_rule", "zero_intensity"}
 
 
 def _rule(name):
     def run(spark, sf):
         from meterline.operators import quality as Q
-        return getattr(Q, name)(_checked(spark, sf))
+        cm = chunk_width(spark, sf)
+        fn = getattr(Q, name)
+        checked = _checked(spark, sf, cm)
+        return fn(checked, chunk_micros=cm) if name in ORDERED_RULES else fn(checked)
     return run
 
 
@@ -117,8 +145,9 @@ def q_clamp_negative(spark, sf):
 @register("theme_backfill")
 def q_theme_backfill(spark, sf):
     from meterline.operators import quality as Q
-    s = sessionized(spark, sf).withColumn("theme_id_raw", F.col("theme_id"))
-    return Q.theme_backfill(s).select("event_id", "session_id", "theme_id_raw", "theme_id")
+    cm = chunk_width(spark, sf)
+    s = sessionized(spark, sf, cm).withColumn("theme_id_raw", F.col("theme_id"))
+    return Q.theme_backfill(s, chunk_micros=cm).select("event_id", "session_id", "theme_id_raw", "theme_id")
 
 
 QUERIES["rectype_filter"] = _checked
@@ -133,16 +162,17 @@ def materialized_stages(spark, sf):
     checkpoints in the shared checkpoint folder): several rules and the
     curation each read them."""
     from meterline.operators import quality as Q
-    sess = sessionized(spark, sf).checkpoint(eager=True)
-    checked = Q.checked_frame(sess).checkpoint(eager=True)
-    return sess, checked
+    cm = chunk_width(spark, sf)
+    sess = sessionized(spark, sf, cm).checkpoint(eager=True)
+    checked = Q.checked_frame(sess, chunk_micros=cm).checkpoint(eager=True)
+    return sess, checked, cm
 
 
 @register("violations")
 def q_violations(spark, sf):
     from meterline.operators import quality as Q
-    _, checked = materialized_stages(spark, sf)
-    return Q.violations(checked)
+    _, checked, cm = materialized_stages(spark, sf)
+    return Q.violations(checked, chunk_micros=cm)
 
 
 # --- C1-C7 ------------------------------------------------------------------
@@ -150,21 +180,23 @@ def q_violations(spark, sf):
 def q_valid_sessions(spark, sf):
     from meterline.operators import curate as C
     from meterline.operators import quality as Q
-    sess, checked = materialized_stages(spark, sf)
-    return C.valid_sessions(sess, Q.violations(checked))
+    sess, checked, cm = materialized_stages(spark, sf)
+    return C.valid_sessions(sess, Q.violations(checked, chunk_micros=cm))
 
 
 @register("strict_prev_fill")
 def q_strict_prev_fill(spark, sf):
     from meterline.operators import curate as C
-    return C.strict_prev_fill(sessionized(spark, sf)).select("event_id", "session_id", "theme_id", "theme_name")
+    cm = chunk_width(spark, sf)
+    return C.strict_prev_fill(sessionized(spark, sf, cm), chunk_micros=cm).select("event_id", "session_id", "theme_id", "theme_name")
 
 
 @register("running_balance")
 def q_running_balance(spark, sf):
     from meterline.operators import curate as C
     from meterline.operators import quality as Q
-    return C.running_balance(Q.clamp_payout(sessionized(spark, sf))).select(
+    cm = chunk_width(spark, sf)
+    return C.running_balance(Q.clamp_payout(sessionized(spark, sf, cm)), chunk_micros=cm).select(
         "event_id", "session_id", "credit_meter")
 
 
@@ -178,8 +210,8 @@ def q_area_fill(spark, sf):
 def q_curated_sessions(spark, sf):
     from meterline.operators import curate as C
     from meterline.operators import quality as Q
-    sess, checked = materialized_stages(spark, sf)
-    return C.curated_sessions(sess, Q.violations(checked))
+    sess, checked, cm = materialized_stages(spark, sf)
+    return C.curated_sessions(sess, Q.violations(checked, chunk_micros=cm), chunk_micros=cm)
 
 
 # --- N1-N11: landing tables -> canonical event log ---------------------------
