@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import re
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,16 +25,25 @@ PARTITION_COLUMNS = ("customer", "batch_id")
 
 
 # --- I1 -----------------------------------------------------------------
+def root_pattern(root: str) -> str:
+    """Regex splitting a listed path into (location up to the root, path below it).
+
+    Matches whatever scheme prefix the listing adds (``file:/``, ``s3://``).
+    """
+    anchor = "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "", root).strip("/") + "/"
+    return r"^(.*?\Q" + anchor + r"\E)(.*)$"
+
+
 def file_inventory(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """One row per file under ``root``: location, file_name (folder/file), size, modified.
+    """One row per file under ``root``: location, file_name, size, modified.
 
-    ``file_name`` is the path relative to the listing root's parent, i.e.
-    ``<table folder>/<file>``; ``location`` is the part before it.
+    ``file_name`` is the path below ``root`` (``<table folder>/.../<file>``);
+    ``location`` is the root as listed, so ``location || file_name`` is the file.
     """
     df = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
           .option("recursiveFileLookup", "true").load(root)
           .select("path", "length", "modificationTime"))
-    rx = r"^(.*/)([^/]+/[^/]+)$"
+    rx = root_pattern(root)
     return df.select(
         F.regexp_extract("path", rx, 1).alias("location"),
         F.regexp_extract("path", rx, 2).alias("file_name"),

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from meterline.schemas import LANDING, LOAD_LOG
 from meterline.sources import loadlog as LG
 from meterline.sources.files import (
-    PARTITION_COLUMNS, file_inventory, read_landing, table_of, write_batch,
+    PARTITION_COLUMNS, file_inventory, read_landing, root_pattern, table_of, write_batch,
 )
 
 
@@ -30,9 +30,9 @@ def event_time_column(schema: T.StructType) -> str:
     return next(f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType))
 
 
-def file_stats(df: DataFrame, ts: str) -> DataFrame:
+def file_stats(df: DataFrame, ts: str, root: str) -> DataFrame:
     """Per loaded file: rows without an event time (errors), first and last event time."""
-    name = F.regexp_extract("_source_file", r"^(.*/)([^/]+/[^/]+)$", 2)
+    name = F.regexp_extract("_source_file", root_pattern(root), 2)
     return (df.select(name.alias("file_name"), F.col(ts).alias("_ts"))
             .groupBy("file_name")
             .agg(F.count_if(F.col("_ts").isNull()).cast("long").alias("error_cnt"),
@@ -52,33 +52,37 @@ def append_log(df: DataFrame, log_path: str) -> None:
 
 def load_pending_files(spark: SparkSession, landing_root: str, target_root: str, log_path: str,
                        batch_id: str, source: str = "FM", schemas: dict = LANDING) -> str:
-    """Load every pending landing file into its ``<table>`` folder; returns 'skip' or 'proceed'."""
+    """Load every pending landing file into its ``<table>`` folder; returns 'skip' or 'proceed'.
+
+    The pending file list (metadata, not data) is taken once: the driver
+    needs the paths for the parallel read, and a fixed list keeps files
+    that arrive during the run for the next run.
+    """
     inv = file_inventory(spark, landing_root, "*.parquet")
-    pending = LG.pending_files(inv, read_log(spark, log_path), source).cache()
-    if LG.pending_status(pending) == "skip":
+    files = LG.pending_files(inv, read_log(spark, log_path), source) \
+        .select("location", "file_name", table_of(F.col("file_name")).alias("tbl")).collect()
+    if not files:
         return "skip"
-    started = LG.log_open(pending, source).cache()
+    pending = spark.createDataFrame([(r.location, r.file_name) for r in files],
+                                    "location string, file_name string")
+    started = LG.log_open(pending, source).withColumn("load_start", F.current_timestamp())
+    started = spark.createDataFrame(started.collect(), started.schema)  # one fixed start time
     append_log(started, log_path)
     try:
         stats = []
-        # one row per landing table: a bounded list (the schema registry's size)
-        for (tbl,) in pending.select(table_of(F.col("file_name"))).distinct().collect():
-            files = pending.where(table_of(F.col("file_name")) == tbl) \
-                           .select(F.concat("location", "file_name")).collect()
+        for tbl in sorted({r.tbl for r in files}):
+            paths = [r.location + r.file_name for r in files if r.tbl == tbl]
             schema = T.StructType([f for f in schemas[tbl].fields if f.name != "batch_id"])
-            df = read_landing(spark, [r[0] for r in files], schema, batch_id)
+            df = read_landing(spark, paths, schema, batch_id)
             write_batch(df.drop("_source_file"), f"{target_root}/{tbl}", PARTITION_COLUMNS)
-            stats.append(file_stats(df, event_time_column(schema)))
+            stats.append(file_stats(df, event_time_column(schema), landing_root))
         all_stats = stats[0]
-        for s in stats[1:]:
-            all_stats = all_stats.unionByName(s)
+        for st in stats[1:]:
+            all_stats = all_stats.unionByName(st)
         append_log(LG.log_close(started, all_stats, batch_id), log_path)
     except Exception:
         append_log(LG.log_close(started, None, batch_id, status=LG.FAILED), log_path)
         raise
-    finally:
-        pending.unpersist()
-        started.unpersist()
     return "proceed"
 
 
