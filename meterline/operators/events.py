@@ -200,20 +200,34 @@ def misc_events(landing: dict) -> DataFrame:
 
 
 # --- N10, N11 -----------------------------------------------------------------
-def union_all_types(landing: dict, chunk_micros="auto") -> DataFrame:
-    parts = [
-        wager_events(landing["primarygamestarted_raw"], landing["gameended_raw"], chunk_micros),
-        secondary_deltas(landing["secondarygamestarted_raw"], landing["secondarygameended_raw"], chunk_micros),
-        canonical_projection(landing, "bonus_award_paid"),
-        cash_events(landing),
-        misc_events(landing),
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def raw_event_log(landing: dict, batch_id: str | None = None, chunk_micros="auto") -> DataFrame:
+BRANCH_TYPES = {"wager": ("w", "o"), "secondary": ("x", "y"), "bonus": ("bonus_award_paid",),
+                "cash": CASH_TYPES, "misc": ("game_changed", "pss", "pse", "gppr", "gpsr", "cbpr")}
+
+
+def union_all_types(landing: dict, chunk_micros="auto", types=None) -> DataFrame:
+    """Union of every branch; ``types`` builds only the branches producing those types.
+
+    A filter on ``rectype`` removes the literal-tagged projection branches by
+    itself (Catalyst folds them to empty), but cannot cross the windows of
+    the paired branches, hence the explicit choice.
+    """
+    want = lambda b: types is None or bool(set(types) & set(BRANCH_TYPES[b]))
+    builders = {
+        "wager": lambda: wager_events(landing["primarygamestarted_raw"], landing["gameended_raw"], chunk_micros),
+        "secondary": lambda: secondary_deltas(landing["secondarygamestarted_raw"],
+                                              landing["secondarygameended_raw"], chunk_micros),
+        "bonus": lambda: canonical_projection(landing, "bonus_award_paid"),
+        "cash": lambda: cash_events(landing),
+        "misc": lambda: misc_events(landing),
+    }
+    parts = [f() for b, f in builders.items() if want(b)]
+    df = reduce(DataFrame.unionByName, parts)
+    return df if types is None else df.where(F.col("rectype").isin(*types))
+
+
+def raw_event_log(landing: dict, batch_id: str | None = None, chunk_micros="auto", types=None) -> DataFrame:
     """The canonical log; ``batch_id`` stamps one batch, else the landing batch is kept."""
-    df = union_all_types(landing, chunk_micros)
+    df = union_all_types(landing, chunk_micros, types)
     if batch_id is not None:
         df = df.withColumn("batch_id", F.lit(batch_id))
     return df.select(*[f.name for f in CANONICAL.fields])
