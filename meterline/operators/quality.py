@@ -124,18 +124,20 @@ def bracket_rule(checked: DataFrame, chunk_micros="auto") -> DataFrame:
 
 
 # --- Q12 ----------------------------------------------------------------
-def zero_intensity(checked: DataFrame, chunk_micros="auto") -> DataFrame:
+def zero_intensity(checked: DataFrame, chunk_micros="auto", grain: str | None = None) -> DataFrame:
     """Sessions whose consecutive positive wager pairs span 0 seconds in total.
 
-    Sessions without any such pair are not flagged.
+    Sessions without any such pair are not flagged. ``grain`` (e.g. 'day')
+    truncates the times before the pair seconds are counted.
     """
     w = checked.where(F.col("rectype") == "w")
     w = ordered_scan(w, SESSION_KEY, ORDER, "tran_ts",
                      [Lag("tran_amt", "_prev_amt"), Lag("tran_ts", "_prev_ts")],
                      chunk_micros=chunk_micros)
     pairs = w.where(F.col("_prev_ts").isNotNull() & (F.col("tran_amt") > 0) & (F.col("_prev_amt") > 0))
+    t = (lambda c: F.col(c)) if grain is None else (lambda c: F.date_trunc(grain, F.col(c)))
     per = _has_session(pairs).groupBy(*SESSION_KEY).agg(
-        (F.sum(seconds_between("_prev_ts", "tran_ts")) > 0).alias("_ok"))
+        (F.sum(seconds_between(t("_prev_ts"), t("tran_ts"))) > 0).alias("_ok"))
     return _label(per.where(~F.col("_ok")), LABEL_INTENSITY)
 
 

@@ -428,3 +428,11 @@ def q_incremental_load(spark, sf):
     stream_available_now(spark, src, e.schema, sink, ck)
     stream_available_now(spark, src, e.schema, sink, ck)
     return spark.read.schema(e.schema).parquet(sink)
+
+
+@register("zero_intensity_day")
+def q_zero_intensity_day(spark, sf):
+    """Q12 with pair times truncated to the day (wagers of a session never share a second here)."""
+    from meterline.operators import quality as Q
+    cm = chunk_width(spark, sf)
+    return Q.zero_intensity(_checked(spark, sf, cm), chunk_micros=cm, grain="day")
