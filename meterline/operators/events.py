@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.exprs import MONEY, priority
-from meterline.operators.ordered import DEFAULT_TARGET_ROWS, Lag, Lead, ordered_scan, resolve_chunk
+from meterline.operators.ordered import (
+    DEFAULT_TARGET_ROWS, ChunkSpec, Lag, Lead, ordered_scan, resolve_chunk,
+)
 from meterline.params import SECONDARY_PAIR_PRIORITY, WAGER_PAIR_PRIORITY
 from meterline.schemas import CANONICAL
 
@@ -139,6 +141,8 @@ def wager_events(start: DataFrame, end: DataFrame, chunk_micros="auto") -> DataF
         "egm_id": "egmid", "device_id": "deviceid", "denom_id": "denomid", "tran_ts": "eventdatetime",
         "seq": "gameplaylogsequence", "credit_meter": "g2s_wageredcashableamt", "payout": "payout",
     }, F.col("rectype")).withColumn("sort_priority", priority("rectype", WAGER_PAIR_PRIORITY, None))
+    if isinstance(chunk_micros, ChunkSpec):
+        chunk_micros = chunk_micros.on(*TENANT, "egm_id")
     return meter_delta_lag2(canon, chunk_micros=chunk_micros).select(*EVENT_COLUMNS, "batch_id")
 
 

@@ -16,9 +16,10 @@ window runs in two levels instead:
    partitioning, so only the small carry table moves (AQE broadcasts it
    when its measured size allows).
 
-The bucket width is picked from the data (``auto_chunk_micros``) so that a
-hot key's average chunk holds about ``target_rows`` rows; keys below that
-stay in a single chunk. Keys are compared as one struct column, which is
+The bucket widths are picked from the data (``plan_chunks``) so that a hot
+key's average chunk holds about ``target_rows`` rows; keys below that stay
+in a single chunk. The hot-key width table is broadcast only up to a
+checked size; beyond it one global width applies. Keys are compared as one struct column, which is
 null-safe (a NULL session of one machine is its own group).
 """
 
@@ -90,35 +91,78 @@ def sort_struct(order: OrderSpec) -> Column:
     return F.struct(*fields)
 
 
-def auto_chunk_micros(df: DataFrame, keys: Sequence[str], ts: str,
-                      target_rows: int = DEFAULT_TARGET_ROWS) -> int | None:
-    """Bucket width (microseconds) so a hot key's chunks hold ~target_rows.
+@dataclass(frozen=True)
+class ChunkSpec:
+    """How rows are cut into time chunks.
 
-    One partial aggregate per key (keys and timestamp only) and a global
-    min; only one number reaches the driver. ``None``: no key is hot, every
-    key stays one chunk.
+    ``width``: one bucket width (microseconds) for every key. ``per_key``:
+    a small frame (``_ck`` key struct over ``keys``, ``_cw`` width) listing
+    only the hot keys; every other key stays one chunk. ``keys`` may be a
+    prefix of a scan's keys (a machine's width also bounds its sessions).
+    """
+
+    keys: tuple
+    width: int | None = None
+    per_key: DataFrame | None = None
+    fields: tuple | None = None  # struct field names of ``per_key._ck`` (default: keys)
+
+    def on(self, *cols: str) -> "ChunkSpec":
+        """The same widths for a frame where the key columns are named ``cols``."""
+        return ChunkSpec(tuple(cols), self.width, self.per_key, self.fields or self.keys)
+
+
+DEFAULT_MAX_HOT_KEYS = 100_000
+
+
+def plan_chunks(df: DataFrame, keys: Sequence[str], ts: str,
+                target_rows: int = DEFAULT_TARGET_ROWS,
+                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> ChunkSpec | None:
+    """Chunk widths so a hot key's average chunk holds ~target_rows rows.
+
+    One partial aggregate per key (keys and timestamp only). Hot keys
+    number at most total_rows / target_rows; at most ``max_hot_keys + 1``
+    of them reach the driver. Up to that bound they are broadcast as a
+    per-key width table; beyond it the smallest width applies to every key
+    (same result, more chunks). ``None``: no key is hot.
     """
     m = micros(ts)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                    F.min(m).alias("lo"), F.max(m).alias("hi"))
-    width = (per_key.where(F.col("n") > target_rows)
-             .agg(F.min((F.col("hi") - F.col("lo") + 1) * F.lit(target_rows) / F.col("n")))
-             .first()[0])
-    if width is None:
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(m).alias("lo"),
+                                    F.max(m).alias("hi"))
+    width = F.greatest(F.lit(1), F.floor((F.col("hi") - F.col("lo") + 1) * F.lit(target_rows) / F.col("n")))
+    hot = per_key.where(F.col("n") > target_rows).select(
+        F.struct(*keys).alias("_ck"), width.cast("long").alias("_cw"))
+    rows = hot.limit(max_hot_keys + 1).collect()
+    if not rows:
         return None
-    return max(1, int(width))
+    if len(rows) > max_hot_keys:
+        return ChunkSpec(tuple(keys), width=int(hot.agg(F.min("_cw")).first()[0]))
+    return ChunkSpec(tuple(keys), per_key=df.sparkSession.createDataFrame(rows, hot.schema))
+
+
+def auto_chunk_micros(df: DataFrame, keys: Sequence[str], ts: str,
+                      target_rows: int = DEFAULT_TARGET_ROWS) -> ChunkSpec | None:
+    """Kept name: the chunk plan of ``df`` (see ``plan_chunks``)."""
+    return plan_chunks(df, keys, ts, target_rows)
 
 
 def resolve_chunk(df: DataFrame, keys, ts: str, chunk_micros, target_rows: int):
-    if chunk_micros == "auto":
-        return auto_chunk_micros(df, keys, ts, target_rows)
+    if isinstance(chunk_micros, str) and chunk_micros == "auto":
+        return plan_chunks(df, keys, ts, target_rows)
     return chunk_micros
 
 
 def with_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk_micros) -> DataFrame:
-    k = (F.lit(0).cast("long") if not chunk_micros
-         else F.floor(micros(ts) / F.lit(int(chunk_micros))).cast("long"))
-    return df.withColumn(GROUP, F.struct(*keys)).withColumn(CHUNK, k)
+    """Add the key struct and the chunk id (None/0: one chunk; int or ChunkSpec)."""
+    df = df.withColumn(GROUP, F.struct(*keys))
+    spec = chunk_micros
+    if isinstance(spec, ChunkSpec) and spec.per_key is not None:
+        ck = F.struct(*[F.col(c).alias(f) for c, f in zip(spec.keys, spec.fields or spec.keys)])
+        df = df.withColumn("_ck", ck).join(F.broadcast(spec.per_key), "_ck", "left")
+        k = F.coalesce(F.floor(micros(ts) / F.col("_cw")), F.lit(0)).cast("long")
+        return df.withColumn(CHUNK, k).drop("_ck", "_cw")
+    width = spec.width if isinstance(spec, ChunkSpec) else spec
+    k = F.lit(0).cast("long") if not width else F.floor(micros(ts) / F.lit(int(width))).cast("long")
+    return df.withColumn(CHUNK, k)
 
 
 def chunk_windows(order: OrderSpec):

@@ -50,17 +50,29 @@ def test_scan_equals_plain_window(spark, ev, chunk):
     assert a == b
 
 
-def test_auto_chunks_split_hot_key(spark, ev):
-    from meterline.operators.ordered import auto_chunk_micros
+COLS = ["event_id", "lag1", "lag2", "lag3", "lead1", "lead2", "csum", "ffill", "ffill_strict", "rn"]
+
+
+def test_chunk_plans_for_hot_keys(spark, ev):
+    from meterline.operators.ordered import plan_chunks
     # every key below the target: one chunk per key
-    assert auto_chunk_micros(ev, ["user_id"], "ts", 10**6) is None
-    # a target below the hottest key's size: buckets narrower than its span
-    w = auto_chunk_micros(ev, ["user_id"], "ts", 20)
-    span = ev.agg((F.unix_micros(F.max("ts").cast("timestamp"))
-                   - F.unix_micros(F.min("ts").cast("timestamp"))).alias("s")).first()[0]
-    assert w is not None and w < span
-    got = ordered_scan(ev, ["user_id", "k2"], ORDER, "ts", OPS, chunk_micros="auto", target_rows=20)
-    assert got.count() == ev.count()
+    assert plan_chunks(ev, ["user_id"], "ts", 10**6) is None
+    ref = sorted(tuple(r) for r in plain(ev).select(*COLS).collect())
+    # hot keys (> 20 rows) get their own widths through a broadcast table
+    spec = plan_chunks(ev, ["user_id"], "ts", 20)
+    assert spec.per_key is not None and spec.per_key.count() > 0
+    got = ordered_scan(ev, ["user_id", "k2"], ORDER, "ts", OPS, chunk_micros=spec)
+    assert sorted(tuple(r) for r in got.select(*COLS).collect()) == ref
+    # more hot keys than the broadcast bound: one global width, same result
+    spec = plan_chunks(ev, ["user_id"], "ts", 20, max_hot_keys=3)
+    assert spec.per_key is None and spec.width > 0
+    got = ordered_scan(ev, ["user_id", "k2"], ORDER, "ts", OPS, chunk_micros=spec)
+    assert sorted(tuple(r) for r in got.select(*COLS).collect()) == ref
+    # a spec over renamed key columns
+    renamed = ev.withColumnRenamed("user_id", "uid")
+    spec = plan_chunks(ev, ["user_id"], "ts", 20).on("uid")
+    got = ordered_scan(renamed, ["uid", "k2"], ORDER, "ts", OPS, chunk_micros=spec)
+    assert sorted(tuple(r) for r in got.select(*COLS).collect()) == ref
 
 
 def test_first_and_last_in_group(spark, ev):

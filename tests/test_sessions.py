@@ -50,3 +50,11 @@ def test_fused_plan_has_one_big_shuffle(spark, canon):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # one exchange for the rows (reused by the summary branch) + one for the small chunk table
     assert plan.count("Exchange hashpartitioning(_scan_g") == 2
+
+
+def test_sessionize_with_per_machine_chunk_widths(spark, duck, canon):
+    from meterline.operators.ordered import plan_chunks
+    from meterline.params import ENTITY
+    spec = plan_chunks(canon, ENTITY, "tran_ts", target_rows=10)   # every machine is hot
+    assert spec.per_key is not None
+    assert_same(Z.sessionize(canon, DRIVER_SESSION, chunk_micros=spec), duck(), ORACLE["sessionized"])
