@@ -29,6 +29,15 @@ def pending_files(inventory: DataFrame, log: DataFrame, source: str) -> DataFram
     return inventory.join(done, "file_name", "left_anti")
 
 
+def in_progress_files(log: DataFrame, source: str) -> DataFrame:
+    """Files whose latest log row is ``Started`` (a load still running or died).
+
+    The optional guard: a run can refuse to start while any exist.
+    """
+    state = log_state(log.where(F.col("source_name") == source))
+    return state.where(F.col("load_status") == STARTED).select("file_name")
+
+
 def pending_status(pending: DataFrame) -> str:
     """'skip' when nothing is pending, else 'proceed' (one bounded probe)."""
     return "skip" if pending.isEmpty() else "proceed"

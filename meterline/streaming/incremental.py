@@ -51,15 +51,22 @@ def append_log(df: DataFrame, log_path: str) -> None:
 
 
 def load_pending_files(spark: SparkSession, landing_root: str, target_root: str, log_path: str,
-                       batch_id: str, source: str = "FM", schemas: dict = LANDING) -> str:
+                       batch_id: str, source: str = "FM", schemas: dict = LANDING,
+                       block_on_in_progress: bool = False) -> str:
     """Load every pending landing file into its ``<table>`` folder; returns 'skip' or 'proceed'.
 
+    ``block_on_in_progress``: return 'skip' while any file's latest log row
+    is still ``Started`` (the optional in-progress guard).
+
     The pending file list (metadata, not data) is taken once: the driver
     needs the paths for the parallel read, and a fixed list keeps files
     that arrive during the run for the next run.
     """
+    log = read_log(spark, log_path)
+    if block_on_in_progress and not LG.in_progress_files(log, source).isEmpty():
+        return "skip"
     inv = file_inventory(spark, landing_root, "*.parquet")
-    files = LG.pending_files(inv, read_log(spark, log_path), source) \
+    files = LG.pending_files(inv, log, source) \
         .select("location", "file_name", table_of(F.col("file_name")).alias("tbl")).collect()
     if not files:
         return "skip"
