@@ -45,10 +45,15 @@ def area_fill(df: DataFrame, width: int = 4) -> DataFrame:
 
 # --- C7 -----------------------------------------------------------------
 def curated_sessions(sessionized: DataFrame, violations: DataFrame, chunk_micros="auto") -> DataFrame:
-    """C1 -> C2 -> theme fill (coalescing) + running balance in one scan -> C6."""
-    df = valid_sessions(sessionized, violations)
-    df = df.withColumn("payout", clamp_negative("payout"))
+    """C2 -> theme fill (coalescing) + running balance in one scan -> C1 -> C6.
+
+    Invalid sessions are removed whole, and every window here is per
+    session, so filtering after the scan gives the same rows as filtering
+    before it. Done last, the anti join runs once; done first, both
+    branches of the scan would repeat it.
+    """
+    df = sessionized.withColumn("payout", clamp_negative("payout"))
     df = running_balance(df, extra_ops=[FillForward("theme_id", "theme_id"),
                                         FillForward("theme_name", "theme_name")],
                          chunk_micros=chunk_micros)
-    return area_fill(df).select(*SESSIONIZED_COLUMNS)
+    return area_fill(valid_sessions(df, violations)).select(*SESSIONIZED_COLUMNS)

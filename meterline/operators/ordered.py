@@ -172,7 +172,9 @@ def chunk_windows(order: OrderSpec):
 
 
 def _join_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
-    return rows.join(carry, [GROUP, CHUNK], "inner")
+    # left: every chunk has a carry row, and Catalyst can drop the whole scan
+    # when none of its columns are used (outer join on a unique right side)
+    return rows.join(carry, [GROUP, CHUNK], "left")
 
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: OrderSpec, ts: str,

@@ -61,9 +61,16 @@ def rectype_filter(df: DataFrame, types=CHECKED_TYPES) -> DataFrame:
     return df.where(F.col("rectype").isin(*types))
 
 
-def checked_frame(sessionized: DataFrame, chunk_micros="auto") -> DataFrame:
-    """Q1 -> Q2 -> Q3; theme name is blanked as in the checked view."""
-    df = theme_backfill(clamp_payout(sessionized), chunk_micros=chunk_micros)
+def checked_frame(sessionized: DataFrame, chunk_micros="auto", fill_theme: bool = True) -> DataFrame:
+    """Q1 -> Q2 -> Q3; theme name is blanked as in the checked view.
+
+    No rule reads the theme, so rule inputs may skip the fill
+    (``fill_theme=False``) and with it one shuffle; the quarantined rows
+    and the checked table itself carry the filled theme.
+    """
+    df = clamp_payout(sessionized)
+    if fill_theme:
+        df = theme_backfill(df, chunk_micros=chunk_micros)
     df = df.withColumn("theme_name", F.lit(""))
     return rectype_filter(df).select(*CHECKED_COLUMNS)
 

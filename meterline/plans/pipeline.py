@@ -97,11 +97,11 @@ def segregate(spark: SparkSession, wh: Warehouse, customer: str | None = None,
     sess = wh.read(spark, SESSIONIZED, customer, batch_id)
     if chunk_micros == "auto":
         chunk_micros = auto_chunk_micros(sess, ENTITY, "tran_ts")
-    checked = Q.checked_frame(sess, chunk_micros=chunk_micros)
-    viol = Q.violations(checked, rules, chunk_micros=chunk_micros) \
+    rule_input = Q.checked_frame(sess, chunk_micros=chunk_micros, fill_theme=False)
+    viol = Q.violations(rule_input, rules, chunk_micros=chunk_micros) \
         .withColumn("loaded_at", F.current_timestamp())
     wh.write(viol, VIOLATIONS)
-    wh.write(Q.negative_amount_rows(checked), QUARANTINE)
+    wh.write(Q.negative_amount_rows(Q.checked_frame(sess, chunk_micros=chunk_micros)), QUARANTINE)
 
 
 def curate(spark: SparkSession, wh: Warehouse, customer: str | None = None,

@@ -116,10 +116,14 @@ def q_event_islands(spark, sf):
 
 
 # --- Q1-Q16 -----------------------------------------------------------------
-def _checked(spark, sf, cm="auto"):
+def _checked(spark, sf, cm="auto", fill_theme=True):
     from meterline.operators import quality as Q
-    cm = chunk_width(spark, sf) if cm == "auto" else cm
-    return Q.checked_frame(sessionized(spark, sf, cm), chunk_micros=cm)
+    cm = chunk_width(spark, sf) if isinstance(cm, str) and cm == "auto" else cm
+    return Q.checked_frame(sessionized(spark, sf, cm), chunk_micros=cm, fill_theme=fill_theme)
+
+
+# outputs that carry the (filled) theme; every other rule skips the fill
+THEMED = {"rectype_filter", "negative_amount_rows", "priority_sort"}
 
 
 ORDERED_RULES = {"empty_bracket", "bracket_rule", "zero_intensity"}
@@ -130,7 +134,7 @@ def _rule(name):
         from meterline.operators import quality as Q
         cm = chunk_width(spark, sf)
         fn = getattr(Q, name)
-        checked = _checked(spark, sf, cm)
+        checked = _checked(spark, sf, cm, fill_theme=name in THEMED)
         return fn(checked, chunk_micros=cm) if name in ORDERED_RULES else fn(checked)
     return run
 
@@ -142,15 +146,22 @@ def q_clamp_negative(spark, sf):
                                          clamp_negative("payout").alias("payout"))
 
 
+def sessionized_table(spark, sf, cm):
+    """The sessionized log cut from its lineage (a reliable checkpoint in the
+    shared checkpoint folder), as the pipeline hands it over as a table: the
+    per-session scans read it twice (rows and chunk summaries)."""
+    return sessionized(spark, sf, cm).checkpoint(eager=True)
+
+
 @register("theme_backfill")
 def q_theme_backfill(spark, sf):
     from meterline.operators import quality as Q
     cm = chunk_width(spark, sf)
-    s = sessionized(spark, sf, cm).withColumn("theme_id_raw", F.col("theme_id"))
+    s = sessionized_table(spark, sf, cm).withColumn("theme_id_raw", F.col("theme_id"))
     return Q.theme_backfill(s, chunk_micros=cm).select("event_id", "session_id", "theme_id_raw", "theme_id")
 
 
-QUERIES["rectype_filter"] = _checked
+QUERIES["rectype_filter"] = lambda spark, sf: _checked(spark, sf)
 for _k in ("negative_amount_sessions", "negative_amount_rows", "priority_sort", "min_wager_sessions",
            "first_event_rule", "bracket_incomplete", "empty_bracket", "bracket_rule",
            "zero_intensity", "residual_credits", "multiple_cashouts", "final_balance"):
@@ -164,7 +175,7 @@ def materialized_stages(spark, sf):
     from meterline.operators import quality as Q
     cm = chunk_width(spark, sf)
     sess = sessionized(spark, sf, cm).checkpoint(eager=True)
-    checked = Q.checked_frame(sess, chunk_micros=cm).checkpoint(eager=True)
+    checked = Q.checked_frame(sess, chunk_micros=cm, fill_theme=False).checkpoint(eager=True)
     return sess, checked, cm
 
 
@@ -188,7 +199,7 @@ def q_valid_sessions(spark, sf):
 def q_strict_prev_fill(spark, sf):
     from meterline.operators import curate as C
     cm = chunk_width(spark, sf)
-    return C.strict_prev_fill(sessionized(spark, sf, cm), chunk_micros=cm).select("event_id", "session_id", "theme_id", "theme_name")
+    return C.strict_prev_fill(sessionized_table(spark, sf, cm), chunk_micros=cm).select("event_id", "session_id", "theme_id", "theme_name")
 
 
 @register("running_balance")
@@ -196,7 +207,7 @@ def q_running_balance(spark, sf):
     from meterline.operators import curate as C
     from meterline.operators import quality as Q
     cm = chunk_width(spark, sf)
-    return C.running_balance(Q.clamp_payout(sessionized(spark, sf, cm)), chunk_micros=cm).select(
+    return C.running_balance(Q.clamp_payout(sessionized_table(spark, sf, cm)), chunk_micros=cm).select(
         "event_id", "session_id", "credit_meter")
 
 
@@ -435,4 +446,4 @@ def q_zero_intensity_day(spark, sf):
     """Q12 with pair times truncated to the day (wagers of a session never share a second here)."""
     from meterline.operators import quality as Q
     cm = chunk_width(spark, sf)
-    return Q.zero_intensity(_checked(spark, sf, cm), chunk_micros=cm, grain="day")
+    return Q.zero_intensity(_checked(spark, sf, cm, fill_theme=False), chunk_micros=cm, grain="day")
