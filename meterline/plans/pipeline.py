@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.operators import curate as C
@@ -59,8 +59,18 @@ class Warehouse:
             return spark.createDataFrame([], schema)
         return self.read(spark, table, customer, batch_id)
 
-    def write(self, df: DataFrame, table: str) -> None:
+    def write(self, df: DataFrame, table: str, **metrics) -> dict:
+        """Write the batch; ``metrics`` (name -> aggregate) are observed during the write."""
+        obs = None
+        if metrics:
+            obs = Observation(table)
+            df = df.observe(obs, *[agg.alias(name) for name, agg in metrics.items()])
         write_batch(df, self.path(table))
+        return dict(obs.get) if obs is not None else {}
+
+
+def rows_count():
+    return F.count(F.lit(1))
 
 
 def with_event_id(df: DataFrame) -> DataFrame:
@@ -80,43 +90,52 @@ def raw_model(spark: SparkSession, wh: Warehouse, customer: str | None = None,
               batch_id: str | None = None) -> DataFrame:
     landing = {t: wh.read_or_empty(spark, t, s, customer, batch_id) for t, s in LANDING.items()}
     df = with_event_id(N.raw_event_log(landing))
-    wh.write(df, RAW)
-    return wh.read(spark, RAW, customer, batch_id)
+    return wh.write(df, RAW, rows=rows_count())
 
 
 def sessionize(spark: SparkSession, wh: Warehouse, customer: str | None = None,
                batch_id: str | None = None, params: SessionParams = SessionParams()):
+    """Returns (chunk plan, metrics: rows, sessions, rows without a session)."""
     raw = wh.read(spark, RAW, customer, batch_id)
     cm = auto_chunk_micros(raw, ENTITY, "tran_ts")
-    wh.write(Z.sessionize(raw, params, chunk_micros=cm), SESSIONIZED)
-    return cm
+    m = wh.write(Z.sessionize(raw, params, chunk_micros=cm), SESSIONIZED, rows=rows_count(),
+                 sessions=F.count("unique_session_id"),
+                 unsessioned=F.count_if(F.col("session_id").isNull()))
+    return cm, m
 
 
 def segregate(spark: SparkSession, wh: Warehouse, customer: str | None = None,
-              batch_id: str | None = None, rules=Q.DEFAULT_RULES, chunk_micros="auto") -> None:
+              batch_id: str | None = None, rules=Q.DEFAULT_RULES, chunk_micros="auto") -> dict:
     sess = wh.read(spark, SESSIONIZED, customer, batch_id)
     if chunk_micros == "auto":
         chunk_micros = auto_chunk_micros(sess, ENTITY, "tran_ts")
     rule_input = Q.checked_frame(sess, chunk_micros=chunk_micros, fill_theme=False)
     viol = Q.violations(rule_input, rules, chunk_micros=chunk_micros) \
         .withColumn("loaded_at", F.current_timestamp())
-    wh.write(viol, VIOLATIONS)
-    wh.write(Q.negative_amount_rows(Q.checked_frame(sess, chunk_micros=chunk_micros)), QUARANTINE)
+    m = {"violations": wh.write(viol, VIOLATIONS, rows=rows_count())["rows"]}
+    q = wh.write(Q.negative_amount_rows(Q.checked_frame(sess, chunk_micros=chunk_micros)), QUARANTINE, rows=rows_count())
+    m["quarantined_rows"] = q["rows"]
+    return m
 
 
 def curate(spark: SparkSession, wh: Warehouse, customer: str | None = None,
-           batch_id: str | None = None, chunk_micros="auto") -> None:
+           batch_id: str | None = None, chunk_micros="auto") -> dict:
     sess = wh.read(spark, SESSIONIZED, customer, batch_id)
     viol = wh.read(spark, VIOLATIONS, customer, batch_id)
     if chunk_micros == "auto":
         chunk_micros = auto_chunk_micros(sess, ENTITY, "tran_ts")
-    wh.write(C.curated_sessions(sess, viol, chunk_micros=chunk_micros), CURATED)
+    return wh.write(C.curated_sessions(sess, viol, chunk_micros=chunk_micros), CURATED, rows=rows_count(),
+                    sessions=F.count("unique_session_id"))
 
 
 def run_batch(spark: SparkSession, wh: Warehouse, customer: str | None = None,
-              batch_id: str | None = None, params: SessionParams = SessionParams()) -> None:
-    """raw model -> sessionize -> segregate -> curate for one tenant/batch (or all)."""
-    raw_model(spark, wh, customer, batch_id)
-    cm = sessionize(spark, wh, customer, batch_id, params)
-    segregate(spark, wh, customer, batch_id, chunk_micros=cm)
-    curate(spark, wh, customer, batch_id, chunk_micros=cm)
+              batch_id: str | None = None, params: SessionParams = SessionParams()) -> dict:
+    """raw model -> sessionize -> segregate -> curate for one tenant/batch (or all).
+
+    Returns the metrics observed while writing each stage.
+    """
+    out = {"raw_model": raw_model(spark, wh, customer, batch_id)}
+    cm, out["sessionize"] = sessionize(spark, wh, customer, batch_id, params)
+    out["segregate"] = segregate(spark, wh, customer, batch_id, chunk_micros=cm)
+    out["curate"] = curate(spark, wh, customer, batch_id, chunk_micros=cm)
+    return out

@@ -43,13 +43,19 @@ def test_ingest_then_pipeline(setup):
     assert loaded.count() == tables["primarygamestarted_raw"].count()
     assert loaded.select("batch_id").distinct().collect()[0][0] == "b1"
 
-    P.run_batch(spark, wh)
+    metrics = P.run_batch(spark, wh)
     first = counts(spark, wh)
+    # metrics observed while writing equal the written tables
+    assert metrics["raw_model"]["rows"] == first[P.RAW]
+    assert metrics["sessionize"]["rows"] == first[P.SESSIONIZED]
+    assert metrics["segregate"]["violations"] == first[P.VIOLATIONS]
+    assert metrics["curate"]["rows"] == first[P.CURATED]
     landing = {t: spark.read.parquet(wh.path(t)) for t in tables}
     assert first[P.RAW] == N.raw_event_log(landing).count()
     assert first[P.SESSIONIZED] == first[P.RAW]
-    # re-running the batch replaces, never duplicates
-    P.run_batch(spark, wh, batch_id="b1")
+    # re-running the batch (here through the command line) replaces, never duplicates
+    from meterline.cli import main
+    main(["run", "--warehouse", wh.root, "--batch", "b1"])
     assert counts(spark, wh) == first
     sess = spark.read.parquet(wh.path(P.CURATED)).where(F.col("session_id").isNotNull()) \
         .select("customer", "batch_id", "egm_id", "session_id").distinct()
