@@ -6,8 +6,7 @@ checked set dropped (Q3). Each rule maps it to violation rows
 (customer, batch_id, egm_id, session_id, error_type); NULL sessions
 (rows before a machine's first start) are never reported.
 
-Rules are aggregates where the reference used joins, sorts or driver
-lists: map-side partial aggregation keeps a hot session from landing in
+Rules are aggregates rather than joins, sorts or driver-side lists: map-side partial aggregation keeps a hot session from landing in
 one task. Ordered rules (Q10, Q12) run on the chunked scan.
 """
 

@@ -131,7 +131,7 @@ def session_fill(df: DataFrame, chunk_micros="auto") -> DataFrame:
 
 def sessionize_stepwise(events: DataFrame, p: SessionParams = SessionParams(),
                         chunk_micros="auto") -> DataFrame:
-    """Z1-Z10 one operator at a time (several shuffles; reference shape)."""
+    """Z1-Z10 one operator at a time (several shuffles)."""
     df = event_priority(events, p)
     df = threshold_flags(time_deltas(neighbor_times(df, chunk_micros)), p)
     df = session_state(cash_flags(df, p))

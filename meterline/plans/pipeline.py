@@ -1,10 +1,10 @@
 """End-to-end batch jobs over a warehouse folder of parquet tables.
 
   ingest      landing files -> <table>_raw            (load log kept)
-  raw_model   *_raw -> fm_raw (canonical event log)
-  sessionize  fm_raw -> fm_sessionized
-  segregate   fm_sessionized -> invalid_sessions (violations) + fm_raw_dup (quarantine)
-  curate      fm_sessionized - invalid sessions -> fm_curated
+  raw_model   *_raw -> event_log (canonical event log)
+  sessionize  event_log -> sessionized
+  segregate   sessionized -> violations + quarantine (offending rows)
+  curate      sessionized - invalid sessions -> curated
 
 Every table is partitioned by (customer, batch_id) and written with
 dynamic partition overwrite: re-running a batch replaces it, never
@@ -32,7 +32,8 @@ from meterline.sources.files import write_batch
 from meterline.streaming.incremental import load_pending_files
 
 RAW, SESSIONIZED, VIOLATIONS, QUARANTINE, CURATED = (
-    "fm_raw", "fm_sessionized", "invalid_sessions", "fm_raw_dup", "fm_curated")
+    "event_log", "sessionized", "violations", "quarantine", "curated")
+LOAD_LOG = "load_log"
 
 
 @dataclass(frozen=True)
@@ -83,7 +84,7 @@ def with_event_id(df: DataFrame) -> DataFrame:
 def ingest(spark: SparkSession, landing_root: str, wh: Warehouse, batch_id: str,
            source: str = "FM") -> str:
     """Load pending landing files into ``<table>_raw``; returns 'skip' or 'proceed'."""
-    return load_pending_files(spark, landing_root, wh.root, wh.path("admin_log"), batch_id, source)
+    return load_pending_files(spark, landing_root, wh.root, wh.path(LOAD_LOG), batch_id, source)
 
 
 def raw_model(spark: SparkSession, wh: Warehouse, customer: str | None = None,

@@ -37,7 +37,7 @@ def test_ingest_then_pipeline(setup):
     spark, landing_root, wh, tables = setup
     assert P.ingest(spark, landing_root, wh, "b1") == "proceed"
     assert P.ingest(spark, landing_root, wh, "b1") == "skip"          # nothing pending
-    state = log_state(read_log(spark, wh.path("admin_log")), at="load_end")
+    state = log_state(read_log(spark, wh.path(P.LOAD_LOG)), at="load_end")
     assert state.where(F.col("load_status") != "Completed").count() == 0
     loaded = spark.read.parquet(wh.path("primarygamestarted_raw"))
     assert loaded.count() == tables["primarygamestarted_raw"].count()
@@ -66,7 +66,7 @@ def test_ingest_then_pipeline(setup):
 
 def test_new_and_corrupt_files(setup):
     spark, landing_root, wh, tables = setup
-    if not os.path.exists(wh.path("admin_log")):
+    if not os.path.exists(wh.path(P.LOAD_LOG)):
         P.ingest(spark, landing_root, wh, "b1")
     before = spark.read.parquet(wh.path("notestacked_raw")).count()
     # a new file arrives, plus a corrupt one
