@@ -9,8 +9,8 @@ Per machine, in event order:
   number: running count of starts; id: <egm>_<start time>_<number>
   session_id: the id of the latest start at or before the row.
 
-``sessionize`` runs the whole chain with one shuffle on (machine, time
-chunk) and one small carry join, so a hot machine is spread over many
+``sessionize`` runs the whole chain with one full shuffle on (machine,
+time chunk) and one small carry join, so a hot machine is spread over many
 tasks. The step functions (``neighbor_times`` ... ``session_fill``) are the
 same logic one operator at a time, each on the generic chunked scan.
 """
@@ -143,7 +143,7 @@ def sessionize_stepwise(events: DataFrame, p: SessionParams = SessionParams(),
 # --- Z1-Z11 fused -----------------------------------------------------------
 def sessionize(events: DataFrame, p: SessionParams = SessionParams(), chunk_micros="auto",
                target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
-    """The sessionized table (Z11 columns) with one shuffle.
+    """The sessionized table (Z11 columns) with one full shuffle of the rows.
 
     A row's start flag only needs the previous row (its cash-out flag and
     its time), so inside a chunk everything but the first row is local.

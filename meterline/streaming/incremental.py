@@ -40,9 +40,14 @@ def file_stats(df: DataFrame, ts: str, root: str) -> DataFrame:
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """The load log; empty only when it does not exist yet (any other read
+    error propagates, so an unreadable log never makes every file pending)."""
+    from pyspark.errors import AnalysisException
     try:
         return spark.read.schema(LOAD_LOG).parquet(log_path)
-    except Exception:  # noqa: BLE001 - no log written yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LOAD_LOG)
 
 
