@@ -1,6 +1,5 @@
 """Plan checks: shuffles, pruning and pushdown are what the design claims."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from meterline.operators import sessions as Z
