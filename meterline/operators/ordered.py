@@ -105,10 +105,15 @@ class ChunkSpec:
     width: int | None = None
     per_key: DataFrame | None = None
     fields: tuple | None = None  # struct field names of ``per_key._ck`` (default: keys)
+    # hot instants: (key, timestamp) groups above the target, split further
+    # by the rest of the order (see ``with_chunks``)
+    instants: DataFrame | None = None   # _ck, _its (timestamp), _iw (tie-breaker bucket width)
+    buckets: DataFrame | None = None    # _ck, _itb (time bucket), _hot_ts (sorted hot instants in it)
 
     def on(self, *cols: str) -> "ChunkSpec":
         """The same widths for a frame where the key columns are named ``cols``."""
-        return ChunkSpec(tuple(cols), self.width, self.per_key, self.fields or self.keys)
+        return ChunkSpec(tuple(cols), self.width, self.per_key, self.fields or self.keys,
+                         self.instants, self.buckets)
 
 
 DEFAULT_MAX_HOT_KEYS = 100_000
@@ -116,7 +121,8 @@ DEFAULT_MAX_HOT_KEYS = 100_000
 
 def plan_chunks(df: DataFrame, keys: Sequence[str], ts: str,
                 target_rows: int = DEFAULT_TARGET_ROWS,
-                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> ChunkSpec | None:
+                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+                order: OrderSpec | None = None) -> ChunkSpec | None:
     """Chunk widths so a hot key's average chunk holds ~target_rows rows.
 
     One partial aggregate per key (keys and timestamp only). Hot keys
@@ -134,34 +140,96 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], ts: str,
     rows = hot.limit(max_hot_keys + 1).collect()
     if not rows:
         return None
+    spark = df.sparkSession
     if len(rows) > max_hot_keys:
-        return ChunkSpec(tuple(keys), width=int(hot.agg(F.min("_cw")).first()[0]))
-    return ChunkSpec(tuple(keys), per_key=df.sparkSession.createDataFrame(rows, hot.schema))
+        spec = ChunkSpec(tuple(keys), width=int(hot.agg(F.min("_cw")).first()[0]))
+    else:
+        spec = ChunkSpec(tuple(keys), per_key=spark.createDataFrame(rows, hot.schema))
+    if order is None or len(order) < 2:
+        return spec
+    return _plan_instants(df, keys, ts, order[-1][0], target_rows, max_hot_keys, spec)
+
+
+def _plan_instants(df, keys, ts, tie, target_rows, max_hot_keys, spec: ChunkSpec) -> ChunkSpec:
+    """Hot instants: one timestamp of one key holding more than target_rows rows.
+
+    A time bucket cannot split them, so their rows are split by the rest of
+    the order. At most ``max_hot_keys`` of them (checked) are broadcast;
+    beyond that they stay whole.
+    """
+    spark = df.sparkSession
+    iw = F.greatest(F.lit(1), F.floor((F.col("hi") - F.col("lo") + 1) * F.lit(target_rows) / F.col("n")))
+    inst = (df.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("n"), F.min(tie).alias("lo"),
+                                      F.max(tie).alias("hi"))
+            .where(F.col("n") > target_rows)
+            .select(F.struct(*keys).alias("_ck"), F.col(ts).alias("_its"), iw.cast("long").alias("_iw")))
+    irows = inst.limit(max_hot_keys + 1).collect()
+    if not irows or len(irows) > max_hot_keys:
+        return spec
+    instants = spark.createDataFrame(irows, inst.schema)
+    if spec.per_key is not None:
+        widths = instants.join(spec.per_key, "_ck").select("_ck", "_its", F.col("_cw"))
+    else:
+        widths = instants.select("_ck", "_its", F.lit(spec.width).cast("long").alias("_cw"))
+    buckets = (widths.withColumn("_itb", F.floor(micros("_its") / F.col("_cw")).cast("long"))
+               .groupBy("_ck", "_itb").agg(F.array_sort(F.collect_list("_its")).alias("_hot_ts")))
+    return ChunkSpec(spec.keys, spec.width, spec.per_key, spec.fields, instants, buckets)
 
 
 def auto_chunk_micros(df: DataFrame, keys: Sequence[str], ts: str,
-                      target_rows: int = DEFAULT_TARGET_ROWS) -> ChunkSpec | None:
+                      target_rows: int = DEFAULT_TARGET_ROWS, order: OrderSpec | None = None) -> ChunkSpec | None:
     """Kept name: the chunk plan of ``df`` (see ``plan_chunks``)."""
-    return plan_chunks(df, keys, ts, target_rows)
+    return plan_chunks(df, keys, ts, target_rows, order=order)
 
 
-def resolve_chunk(df: DataFrame, keys, ts: str, chunk_micros, target_rows: int):
+def resolve_chunk(df: DataFrame, keys, ts: str, chunk_micros, target_rows: int, order=None):
     if isinstance(chunk_micros, str) and chunk_micros == "auto":
-        return plan_chunks(df, keys, ts, target_rows)
+        return plan_chunks(df, keys, ts, target_rows, order=order)
     return chunk_micros
 
 
-def with_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk_micros) -> DataFrame:
-    """Add the key struct and the chunk id (None/0: one chunk; int or ChunkSpec)."""
+def with_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk_micros,
+                order: OrderSpec | None = None) -> DataFrame:
+    """Add the key struct and the chunk id (None/0: one chunk; int or ChunkSpec).
+
+    The chunk id is the time bucket. With hot instants it becomes
+    (bucket, place, split): inside a bucket holding hot instants, ``place``
+    puts each row before / at / after each of them; rows *at* a hot instant
+    are split by the rest of ``order`` (its middle columns, then buckets of
+    the last one). Every part is monotone in ``order``, so a chunk is still
+    a contiguous slice of the key's order.
+    """
     df = df.withColumn(GROUP, F.struct(*keys))
     spec = chunk_micros
-    if isinstance(spec, ChunkSpec) and spec.per_key is not None:
-        ck = F.struct(*[F.col(c).alias(f) for c, f in zip(spec.keys, spec.fields or spec.keys)])
-        df = df.withColumn("_ck", ck).join(F.broadcast(spec.per_key), "_ck", "left")
-        k = F.coalesce(F.floor(micros(ts) / F.col("_cw")), F.lit(0)).cast("long")
-        return df.withColumn(CHUNK, k).drop("_ck", "_cw")
-    width = spec.width if isinstance(spec, ChunkSpec) else spec
-    k = F.lit(0).cast("long") if not width else F.floor(micros(ts) / F.lit(int(width))).cast("long")
+    if isinstance(spec, ChunkSpec):
+        df = df.withColumn("_ck", F.struct(*[F.col(c).alias(f) for c, f in
+                                             zip(spec.keys, spec.fields or spec.keys)]))
+        if spec.per_key is not None:
+            df = df.join(F.broadcast(spec.per_key), "_ck", "left")
+            tb = F.coalesce(F.floor(micros(ts) / F.col("_cw")), F.lit(0))
+        else:
+            tb = F.floor(micros(ts) / F.lit(int(spec.width)))
+        df = df.withColumn("_tb", tb.cast("long"))
+        if spec.instants is not None and order is not None:
+            b = spec.buckets.select(F.col("_ck").alias("_bk"), F.col("_itb"), F.col("_hot_ts"))
+            df = df.join(F.broadcast(b), (F.col("_ck") == F.col("_bk")) & (F.col("_tb") == F.col("_itb")), "left")
+            i = spec.instants.select(F.col("_ck").alias("_ik"), F.col("_its"), F.col("_iw"))
+            df = df.join(F.broadcast(i), (F.col("_ck") == F.col("_ik")) & (F.col(ts) == F.col("_its")), "left")
+            place = F.when(F.col("_hot_ts").isNotNull(),
+                           2 * F.size(F.filter("_hot_ts", lambda x: x < F.col(ts)))
+                           + F.array_contains("_hot_ts", F.col(ts)).cast("int"))
+            tie, tie_nl = order[-1]
+            parts = []
+            for j, (c, nl) in enumerate(order[1:-1]):
+                parts += [(F.col(c).isNull() if nl else F.col(c).isNotNull()).alias(f"f{j}"),
+                          F.col(c).alias(f"v{j}")]
+            parts += [(F.col(tie).isNull() if tie_nl else F.col(tie).isNotNull()).alias("tf"),
+                      F.floor(F.col(tie) / F.col("_iw")).alias("tv")]
+            split = F.when(F.col("_iw").isNotNull(), F.struct(*parts))
+            df = df.withColumn(CHUNK, F.struct(F.col("_tb").alias("b"), place.alias("p"), split.alias("q")))
+            return df.drop("_ck", "_cw", "_tb", "_bk", "_itb", "_hot_ts", "_ik", "_its", "_iw")
+        return df.withColumn(CHUNK, F.col("_tb")).drop("_ck", "_cw", "_tb")
+    k = F.lit(0).cast("long") if not spec else F.floor(micros(ts) / F.lit(int(spec))).cast("long")
     return df.withColumn(CHUNK, k)
 
 
@@ -186,8 +254,8 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: OrderSpec, ts: str,
     total (end with a unique id) for deterministic results.
     """
     assert order[0][0] == ts and not order[0][1], "order must start with the chunk timestamp"
-    cm = resolve_chunk(df, keys, ts, chunk_micros, target_rows)
-    base = with_chunks(df, keys, ts, cm)
+    cm = resolve_chunk(df, keys, ts, chunk_micros, target_rows, order)
+    base = with_chunks(df, keys, ts, cm, order)
     wl, wc = chunk_windows(order)
     wrun = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wprev = wl.rowsBetween(Window.unboundedPreceding, -1)

@@ -155,8 +155,8 @@ def sessionize(events: DataFrame, p: SessionParams = SessionParams(), chunk_micr
     """
     gap = F.lit(p.gap_seconds)
     df = cash_flags(event_priority(events, p), p).withColumn("_secs", whole_seconds("tran_ts"))
-    cm = resolve_chunk(df, ENTITY, "tran_ts", chunk_micros, target_rows)
-    base = with_chunks(df, ENTITY, "tran_ts", cm)
+    cm = resolve_chunk(df, ENTITY, "tran_ts", chunk_micros, target_rows, ORDER)
+    base = with_chunks(df, ENTITY, "tran_ts", cm, ORDER)
     wl, wc = chunk_windows(ORDER)
     wall = wl.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     wrun = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)

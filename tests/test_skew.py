@@ -27,3 +27,35 @@ def test_hot_machine_is_split(spark):
     b = Z.sessionize(hot, DRIVER_SESSION, chunk_micros=None)
     cols = ["event_id", "session_id", "session_number", "next_delta", "prev_delta", "session_state"]
     assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
+
+
+def test_hot_instant_is_split(spark):
+    """A third of all events on one machine AND at one timestamp: the time
+    bucket cannot split them, the rest of the order does."""
+    ev = table(spark, SF, "events")
+    hot0 = F.col("event_id") % 3 == 0
+    ev = (ev.withColumn("user_id", F.when(hot0, F.lit(0)).otherwise(F.col("user_id")))
+            .withColumn("ts", F.when(hot0, F.lit("2024-01-05 12:00:00").cast("timestamp_ntz"))
+                        .otherwise(F.col("ts"))))
+    hot = canonical_events(ev).cache()
+    n = hot.count()
+    target = 200
+    spec = plan_chunks(hot, ENTITY, "tran_ts", target_rows=target, order=Z.ORDER)
+    assert spec.instants is not None and spec.instants.count() == 1
+    sizes = (with_chunks(Z.event_priority(hot), ENTITY, "tran_ts", spec, Z.ORDER).groupBy(GROUP, CHUNK).count()
+             .agg(F.max("count").alias("mx")).first())
+    assert sizes.mx <= 2 * target < n // 3
+    a = Z.sessionize(hot, DRIVER_SESSION, chunk_micros=spec)
+    b = Z.sessionize(hot, DRIVER_SESSION, chunk_micros=None)
+    cols = ["event_id", "session_id", "session_number", "next_delta", "prev_delta", "session_state"]
+    assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
+    # the generic scan over sessions with the same plan
+    from meterline.operators.ordered import FillForward, Lag, Lead, RunningSum, ordered_scan
+    from meterline.params import SESSION_KEY
+    s = b.withColumn("amt", F.col("tran_amt"))
+    ops = [Lag("amt", "l1"), Lag("amt", "l2", 2), Lead("amt", "n1"), RunningSum("amt", "cs"),
+           FillForward("theme_id", "ff")]
+    x = ordered_scan(s, SESSION_KEY, Z.ORDER, "tran_ts", ops, chunk_micros=spec)
+    y = ordered_scan(s, SESSION_KEY, Z.ORDER, "tran_ts", ops, chunk_micros=None)
+    c2 = ["event_id", "l1", "l2", "n1", "cs", "ff"]
+    assert sorted(map(tuple, x.select(*c2).collect())) == sorted(map(tuple, y.select(*c2).collect()))
