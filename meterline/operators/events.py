@@ -22,6 +22,10 @@ from meterline.operators.ordered import (
 from meterline.params import SECONDARY_PAIR_PRIORITY, WAGER_PAIR_PRIORITY
 from meterline.schemas import CANONICAL
 
+# Optional source-row id (file path + row index) carried through every
+# branch when present, so copies of one event loaded twice stay distinct.
+ROW_ID = "_row_id"
+
 # canonical columns except the batch id (added by N11)
 EVENT_COLUMNS = [f.name for f in CANONICAL.fields if f.name != "batch_id"]
 _TYPES = {f.name: f.dataType for f in CANONICAL.fields}
@@ -97,15 +101,20 @@ def to_canonical(df: DataFrame, mapping: dict, rectype, keep=("customer", "batch
             cols.append(F.col(name))
         else:
             cols.append(typed(name, mapping.get(name)))
-    return df.select(*cols, F.col("batch_id"))
+    extra = [F.col(ROW_ID)] if ROW_ID in df.columns else []
+    return df.select(*cols, F.col("batch_id"), *extra)
+
+
+def _with_row_id(cols, *frames):
+    return list(cols) + ([ROW_ID] if all(ROW_ID in f.columns for f in frames) else [])
 
 
 # --- N1 -----------------------------------------------------------------
 def tag_pad_union(start: DataFrame, end: DataFrame, start_type: str, end_type: str,
                   start_cols, end_cols) -> DataFrame:
     """Tag both sides, pad the missing columns with typed NULLs, union by name."""
-    s = start.select(*start_cols).withColumn("rectype", F.lit(start_type))
-    e = end.select(*end_cols).withColumn("rectype", F.lit(end_type))
+    s = start.select(*_with_row_id(start_cols, start, end)).withColumn("rectype", F.lit(start_type))
+    e = end.select(*_with_row_id(end_cols, start, end)).withColumn("rectype", F.lit(end_type))
     return s.unionByName(e, allowMissingColumns=True)
 
 
@@ -143,7 +152,8 @@ def wager_events(start: DataFrame, end: DataFrame, chunk_micros="auto") -> DataF
     }, F.col("rectype")).withColumn("sort_priority", priority("rectype", WAGER_PAIR_PRIORITY, None))
     if isinstance(chunk_micros, ChunkSpec):
         chunk_micros = chunk_micros.on(*TENANT, "egm_id")
-    return meter_delta_lag2(canon, chunk_micros=chunk_micros).select(*EVENT_COLUMNS, "batch_id")
+    return meter_delta_lag2(canon, chunk_micros=chunk_micros).select(
+        *_with_row_id([*EVENT_COLUMNS, "batch_id"], canon))
 
 
 # --- N6 -----------------------------------------------------------------
@@ -153,8 +163,12 @@ def dedup_events(df: DataFrame, cols) -> DataFrame:
 
 
 def secondary_tagged(start: DataFrame, end: DataFrame) -> DataFrame:
-    return tag_pad_union(dedup_events(start, SEC_START_COLS), dedup_events(end, SEC_END_COLS),
-                         "x", "y", SEC_START_COLS, SEC_END_COLS)
+    s, e = dedup_events(start, SEC_START_COLS), dedup_events(end, SEC_END_COLS)
+    if ROW_ID in start.columns and ROW_ID in end.columns:
+        # after the distinct a row is unique in its landing columns: id from them
+        s = s.withColumn(ROW_ID, F.xxhash64(*SEC_START_COLS))
+        e = e.withColumn(ROW_ID, F.xxhash64(*SEC_END_COLS))
+    return tag_pad_union(s, e, "x", "y", SEC_START_COLS, SEC_END_COLS)
 
 
 # --- N7 -----------------------------------------------------------------
@@ -225,7 +239,7 @@ def union_all_types(landing: dict, chunk_micros="auto", types=None) -> DataFrame
         "misc": lambda: misc_events(landing),
     }
     parts = [f() for b, f in builders.items() if want(b)]
-    df = reduce(DataFrame.unionByName, parts)
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return df if types is None else df.where(F.col("rectype").isin(*types))
 
 
@@ -234,4 +248,4 @@ def raw_event_log(landing: dict, batch_id: str | None = None, chunk_micros="auto
     df = union_all_types(landing, chunk_micros, types)
     if batch_id is not None:
         df = df.withColumn("batch_id", F.lit(batch_id))
-    return df.select(*[f.name for f in CANONICAL.fields])
+    return df.select(*_with_row_id([f.name for f in CANONICAL.fields], df))

@@ -53,12 +53,13 @@ class Warehouse:
         return df
 
     def read_or_empty(self, spark: SparkSession, table: str, schema, customer=None, batch_id=None):
-        """A landing table with no files yet reads as an empty frame of its schema."""
+        """A landing table (with source-row ids); no files yet reads as an empty frame."""
         import os
+        from pyspark.sql import types as T
         p = self.path(table)
         if p.startswith("/") and not os.path.exists(p):
-            return spark.createDataFrame([], schema)
-        return self.read(spark, table, customer, batch_id)
+            return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField(N.ROW_ID, T.LongType())]))
+        return with_source_row_id(self.read(spark, table, customer, batch_id))
 
     def write(self, df: DataFrame, table: str, **metrics) -> dict:
         """Write the batch; ``metrics`` (name -> aggregate) are observed during the write."""
@@ -75,10 +76,25 @@ def rows_count():
 
 
 def with_event_id(df: DataFrame) -> DataFrame:
-    """A deterministic id from the row's content: the final tie-breaker of
-    every event order (identical rows may share it; their order does not
-    change any result)."""
-    return df.withColumn("event_id", F.xxhash64(*[F.col(c) for c in CANONICAL_COLUMNS]))
+    """A deterministic id, the final tie-breaker of every event order.
+
+    From the source row (file path + row index, plus the type, since a
+    player-session row yields a start and an end) when known, so copies of
+    one event loaded twice stay distinct and a hot group of them can be
+    split; else from the row's content (rows of the deduplicated secondary
+    branch, which are unique).
+    """
+    content = F.xxhash64(*[F.col(c) for c in CANONICAL_COLUMNS])
+    if N.ROW_ID not in df.columns:
+        return df.withColumn("event_id", content)
+    src = F.xxhash64(F.col(N.ROW_ID), F.col("rectype"))
+    return df.withColumn("event_id", F.when(F.col(N.ROW_ID).isNotNull(), src).otherwise(content)) \
+             .drop(N.ROW_ID)
+
+
+def with_source_row_id(df: DataFrame) -> DataFrame:
+    """Tag each landing row with a stable id of its file and position."""
+    return df.withColumn(N.ROW_ID, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
 
 
 def ingest(spark: SparkSession, landing_root: str, wh: Warehouse, batch_id: str,

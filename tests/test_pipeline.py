@@ -78,3 +78,10 @@ def test_new_and_corrupt_files(setup):
     after = spark.read.parquet(wh.path("notestacked_raw"))
     assert after.count() == before + 5
     assert after.where(F.col("batch_id") == "b2").count() == 5
+
+
+def test_copies_get_distinct_ids(setup):
+    """The same landing event loaded from two files: two rows, two ids."""
+    spark, landing_root, wh, tables = setup
+    raw = spark.read.parquet(wh.path(P.RAW))
+    assert raw.select("event_id").distinct().count() == raw.count()
