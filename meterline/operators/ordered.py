@@ -147,26 +147,56 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], ts: str,
         spec = ChunkSpec(tuple(keys), per_key=spark.createDataFrame(rows, hot.schema))
     if order is None or len(order) < 2:
         return spec
-    return _plan_instants(df, keys, ts, order[-1][0], target_rows, max_hot_keys, spec)
+    return _plan_instants(df, keys, ts, order, target_rows, max_hot_keys, spec)
 
 
-def _plan_instants(df, keys, ts, tie, target_rows, max_hot_keys, spec: ChunkSpec) -> ChunkSpec:
+def _plan_instants(df, keys, ts, order, target_rows, max_hot_keys, spec: ChunkSpec) -> ChunkSpec:
     """Hot instants: one timestamp of one key holding more than target_rows rows.
 
-    A time bucket cannot split them, so their rows are split by the rest of
-    the order. At most ``max_hot_keys`` of them (checked) are broadcast;
-    beyond that they stay whole.
+    A time bucket cannot split them. Per instant the *first order column
+    after the timestamp that varies inside it* is bucketed (all columns
+    before it are constant there, so buckets follow the order); buckets
+    hold ~target_rows rows, so an instant gives ~n/target_rows chunks. If
+    that column is not numeric, or nothing varies (exact copies), the
+    instant stays whole. At most ``max_hot_keys`` instants (checked) are
+    broadcast; beyond that they all stay whole.
     """
+    from pyspark.sql import types as T
     spark = df.sparkSession
-    iw = F.greatest(F.lit(1), F.floor((F.col("hi") - F.col("lo") + 1) * F.lit(target_rows) / F.col("n")))
-    inst = (df.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("n"), F.min(tie).alias("lo"),
-                                      F.max(tie).alias("hi"))
-            .where(F.col("n") > target_rows)
-            .select(F.struct(*keys).alias("_ck"), F.col(ts).alias("_its"), iw.cast("long").alias("_iw")))
-    irows = inst.limit(max_hot_keys + 1).collect()
+    types = {f.name: f.dataType for f in df.schema.fields}
+    rest = []
+    for c, nl in order[1:]:            # a column the frame lacks ends the search
+        if c not in types:
+            break
+        rest.append((c, nl))
+    if not rest:
+        return spec
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for j, (c, _) in enumerate(rest):
+        aggs += [F.min(c).alias(f"lo{j}"), F.max(c).alias(f"hi{j}"), F.count(c).alias(f"nn{j}")]
+    stats = df.groupBy(*keys, ts).agg(*aggs).where(F.col("n") > target_rows) \
+        .select(F.struct(*keys).alias("_ck"), F.col(ts).alias("_its"), "n",
+                *[x for j in range(len(rest)) for x in (f"lo{j}", f"hi{j}", f"nn{j}")])
+    irows = stats.limit(max_hot_keys + 1).collect()
     if not irows or len(irows) > max_hot_keys:
         return spec
-    instants = spark.createDataFrame(irows, inst.schema)
+    numeric = (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DecimalType, T.DoubleType, T.FloatType)
+    picked = []
+    for r in irows:
+        for j, (c, _) in enumerate(rest):
+            nn, lo, hi = r[f"nn{j}"], r[f"lo{j}"], r[f"hi{j}"]
+            if nn in (0, r.n) and lo == hi:
+                continue                      # constant inside the instant
+            if isinstance(types[c], numeric) and lo is not None:
+                width = max(1, int((float(hi) - float(lo) + 1) * target_rows / r.n))
+                picked.append((r._ck, r._its, j, width))
+            break                             # first varying column decides
+        # (if every known column is constant, the instant stays whole)
+    if not picked:
+        return spec
+    schema = T.StructType([stats.schema["_ck"], stats.schema["_its"],
+                           T.StructField("_isplit", T.IntegerType()), T.StructField("_iw", T.LongType())])
+    instants = spark.createDataFrame(picked, schema)
     if spec.per_key is not None:
         widths = instants.join(spec.per_key, "_ck").select("_ck", "_its", F.col("_cw"))
     else:
@@ -195,9 +225,9 @@ def with_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk_micros,
     The chunk id is the time bucket. With hot instants it becomes
     (bucket, place, split): inside a bucket holding hot instants, ``place``
     puts each row before / at / after each of them; rows *at* a hot instant
-    are split by the rest of ``order`` (its middle columns, then buckets of
-    the last one). Every part is monotone in ``order``, so a chunk is still
-    a contiguous slice of the key's order.
+    are bucketed on the instant's first varying order column. Every part is
+    monotone in ``order``, so a chunk is still a contiguous slice of the
+    key's order.
     """
     df = df.withColumn(GROUP, F.struct(*keys))
     spec = chunk_micros
@@ -213,21 +243,22 @@ def with_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk_micros,
         if spec.instants is not None and order is not None:
             b = spec.buckets.select(F.col("_ck").alias("_bk"), F.col("_itb"), F.col("_hot_ts"))
             df = df.join(F.broadcast(b), (F.col("_ck") == F.col("_bk")) & (F.col("_tb") == F.col("_itb")), "left")
-            i = spec.instants.select(F.col("_ck").alias("_ik"), F.col("_its"), F.col("_iw"))
+            i = spec.instants.select(F.col("_ck").alias("_ik"), F.col("_its"), F.col("_isplit"), F.col("_iw"))
             df = df.join(F.broadcast(i), (F.col("_ck") == F.col("_ik")) & (F.col(ts) == F.col("_its")), "left")
             place = F.when(F.col("_hot_ts").isNotNull(),
                            2 * F.size(F.filter("_hot_ts", lambda x: x < F.col(ts)))
                            + F.array_contains("_hot_ts", F.col(ts)).cast("int"))
-            tie, tie_nl = order[-1]
-            parts = []
-            for j, (c, nl) in enumerate(order[1:-1]):
-                parts += [(F.col(c).isNull() if nl else F.col(c).isNotNull()).alias(f"f{j}"),
-                          F.col(c).alias(f"v{j}")]
-            parts += [(F.col(tie).isNull() if tie_nl else F.col(tie).isNotNull()).alias("tf"),
-                      F.floor(F.col(tie) / F.col("_iw")).alias("tv")]
-            split = F.when(F.col("_iw").isNotNull(), F.struct(*parts))
+            # the instant's chosen column (constant columns before it add nothing)
+            flag, bucket = None, None
+            for j, (c, nl) in enumerate(order[1:]):
+                hit = F.col("_isplit") == j
+                f_j = F.col(c).isNull() if nl else F.col(c).isNotNull()
+                b_j = F.floor(F.col(c) / F.col("_iw")).cast("long")
+                flag = F.when(hit, f_j) if flag is None else flag.when(hit, f_j)
+                bucket = F.when(hit, b_j) if bucket is None else bucket.when(hit, b_j)
+            split = F.when(F.col("_iw").isNotNull(), F.struct(flag.alias("f"), bucket.alias("v")))
             df = df.withColumn(CHUNK, F.struct(F.col("_tb").alias("b"), place.alias("p"), split.alias("q")))
-            return df.drop("_ck", "_cw", "_tb", "_bk", "_itb", "_hot_ts", "_ik", "_its", "_iw")
+            return df.drop("_ck", "_cw", "_tb", "_bk", "_itb", "_hot_ts", "_ik", "_its", "_isplit", "_iw")
         return df.withColumn(CHUNK, F.col("_tb")).drop("_ck", "_cw", "_tb")
     k = F.lit(0).cast("long") if not spec else F.floor(micros(ts) / F.lit(int(spec))).cast("long")
     return df.withColumn(CHUNK, k)

@@ -114,7 +114,7 @@ def sessionize(spark: SparkSession, wh: Warehouse, customer: str | None = None,
                batch_id: str | None = None, params: SessionParams = SessionParams()):
     """Returns (chunk plan, metrics: rows, sessions, rows without a session)."""
     raw = wh.read(spark, RAW, customer, batch_id)
-    cm = auto_chunk_micros(raw, ENTITY, "tran_ts", order=Z.ORDER)
+    cm = auto_chunk_micros(Z.event_priority(raw, params), ENTITY, "tran_ts", order=Z.ORDER)
     m = wh.write(Z.sessionize(raw, params, chunk_micros=cm), SESSIONIZED, rows=rows_count(),
                  sessions=F.count("unique_session_id"),
                  unsessioned=F.count_if(F.col("session_id").isNull()))

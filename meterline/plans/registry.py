@@ -39,7 +39,8 @@ def chunk_width(spark: SparkSession, sf: str):
     from meterline.params import ENTITY
     key = (spark.sparkContext.applicationId, sf.rstrip("/"))
     if key not in _WIDTHS:
-        _WIDTHS[key] = auto_chunk_micros(canon(spark, sf), ENTITY, "tran_ts", order=Z.ORDER)
+        _WIDTHS[key] = auto_chunk_micros(Z.event_priority(canon(spark, sf), DRIVER_SESSION), ENTITY,
+                                         "tran_ts", order=Z.ORDER)
     return _WIDTHS[key]
 
 

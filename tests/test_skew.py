@@ -31,16 +31,18 @@ def test_hot_machine_is_split(spark):
 
 def test_hot_instant_is_split(spark):
     """A third of all events on one machine AND at one timestamp: the time
-    bucket cannot split them, the rest of the order does."""
+    bucket cannot split them; buckets of the first varying order column
+    (the sequence) do."""
     ev = table(spark, SF, "events")
     hot0 = F.col("event_id") % 3 == 0
     ev = (ev.withColumn("user_id", F.when(hot0, F.lit(0)).otherwise(F.col("user_id")))
+            .withColumn("event_type", F.when(hot0, F.lit("purchase")).otherwise(F.col("event_type")))
             .withColumn("ts", F.when(hot0, F.lit("2024-01-05 12:00:00").cast("timestamp_ntz"))
                         .otherwise(F.col("ts"))))
     hot = canonical_events(ev).cache()
     n = hot.count()
     target = 200
-    spec = plan_chunks(hot, ENTITY, "tran_ts", target_rows=target, order=Z.ORDER)
+    spec = plan_chunks(Z.event_priority(hot), ENTITY, "tran_ts", target_rows=target, order=Z.ORDER)
     assert spec.instants is not None and spec.instants.count() == 1
     sizes = (with_chunks(Z.event_priority(hot), ENTITY, "tran_ts", spec, Z.ORDER).groupBy(GROUP, CHUNK).count()
              .agg(F.max("count").alias("mx")).first())
@@ -59,3 +61,19 @@ def test_hot_instant_is_split(spark):
     y = ordered_scan(s, SESSION_KEY, Z.ORDER, "tran_ts", ops, chunk_micros=None)
     c2 = ["event_id", "l1", "l2", "n1", "cs", "ff"]
     assert sorted(map(tuple, x.select(*c2).collect())) == sorted(map(tuple, y.select(*c2).collect()))
+
+
+def test_instant_split_never_explodes(spark):
+    """Copies with one sequence at one instant: split by the id, never one chunk per row."""
+    ev = table(spark, SF, "events")
+    hot0 = F.col("event_id") % 3 == 0
+    ev = (ev.withColumn("user_id", F.when(hot0, F.lit(0)).otherwise(F.col("user_id")))
+            .withColumn("event_type", F.when(hot0, F.lit("purchase")).otherwise(F.col("event_type")))
+            .withColumn("ts", F.when(hot0, F.lit("2024-01-05 12:00:00").cast("timestamp_ntz"))
+                        .otherwise(F.col("ts"))))
+    hot = Z.event_priority(canonical_events(ev).withColumn(
+        "seq", F.when(F.col("egm_id") == "0", F.lit(7).cast("long")).otherwise(F.col("seq"))))
+    spec = plan_chunks(hot, ENTITY, "tran_ts", target_rows=200, order=Z.ORDER)
+    per = with_chunks(hot, ENTITY, "tran_ts", spec, Z.ORDER).where(F.col("egm_id") == "0") \
+        .groupBy(CHUNK).count().agg(F.max("count").alias("mx"), F.count("*").alias("chunks")).first()
+    assert per.mx <= 400 and per.chunks <= 40
