@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions.exprs import MONEY, priority
 from meterline.operators.ordered import (
-    DEFAULT_TARGET_ROWS, ChunkSpec, Lag, Lead, ordered_scan, resolve_chunk,
+    DEFAULT_TARGET_ROWS, ChunkSpec, FillForward, Lag, Lead, ordered_scan, resolve_chunk,
 )
 from meterline.params import SECONDARY_PAIR_PRIORITY, WAGER_PAIR_PRIORITY
 from meterline.schemas import CANONICAL
@@ -138,6 +138,21 @@ def meter_delta_lag2(df: DataFrame, meter: str = "credit_meter", out: str = "tra
     return df.withColumn(out, (F.col(meter) - F.col("_meter_2")).cast(MONEY)).drop("_meter_2")
 
 
+def meter_delta_prev_start(df: DataFrame, start_type: str = "w", meter: str = "credit_meter",
+                           out: str = "tran_amt", order=METER_ORDER, chunk_micros="auto") -> DataFrame:
+    """``out = meter - meter of the machine's previous start row``, on start rows only.
+
+    The offset-2 form assumes starts and ends strictly alternate; this one
+    does not. One scan: a strict forward fill of the start rows' meter.
+    """
+    df = df.withColumn("_start_meter", F.when(F.col("rectype") == start_type, F.col(meter)))
+    df = ordered_scan(df, [*TENANT, "egm_id"], order, order[0][0],
+                      [FillForward("_start_meter", "_prev_start", strict=True)], chunk_micros=chunk_micros)
+    return df.withColumn(out, F.when(F.col("rectype") == start_type,
+                                     (F.col(meter) - F.col("_prev_start")).cast(MONEY))) \
+             .drop("_start_meter", "_prev_start")
+
+
 # --- N5 -----------------------------------------------------------------
 def wager_events(start: DataFrame, end: DataFrame, chunk_micros="auto") -> DataFrame:
     tagged = tag_pad_union(start, end, "w", "o", WAGER_START_COLS, WAGER_END_COLS)

@@ -261,6 +261,17 @@ def q_meter_delta_lag2(spark, sf):
                                             "tran_amt", "customer", "batch_id")
 
 
+@register("meter_delta_starts")
+def q_meter_delta_starts(spark, sf):
+    """N4 without the alternation assumption: previous start row of the machine."""
+    from meterline.functions.exprs import priority
+    from meterline.operators import events as N
+    from meterline.params import WAGER_PAIR_PRIORITY
+    w = q_wager_events(spark, sf).withColumn("sort_priority", priority("rectype", WAGER_PAIR_PRIORITY, None))
+    return N.meter_delta_prev_start(w.drop("tran_amt")).select(
+        "rectype", "egm_id", "tran_ts", "seq", "credit_meter", "tran_amt", "customer", "batch_id")
+
+
 @register("dedup_events")
 def q_dedup_events(spark, sf):
     from meterline.operators import events as N
