@@ -2,6 +2,51 @@
 
 from __future__ import annotations
 
+OP2 = r"""
+WITH docs AS (SELECT doc_id, text FROM documents),
+placed AS (
+  SELECT doc_id, text, pos, trim(line) AS line
+  FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+               unnest(range(len(string_split(text, chr(10))))) AS pos FROM docs)
+  WHERE trim(line) <> ''),
+tokens AS (
+  SELECT *, list_transform(string_split(line, ' '),
+                           lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS ts FROM placed),
+leafed AS (SELECT *, {'n': len(ts), 'lead': ts[1:3]} AS leaf FROM tokens),
+seen AS (
+  SELECT leaf, line, any_value(ts) AS ts, text, pos, min(doc_id) AS id FROM leafed
+  WHERE leaf IN (SELECT leaf FROM leafed GROUP BY leaf HAVING count(*) >= 10)
+  GROUP BY leaf, line, text, pos),
+lines AS (SELECT leaf, line, any_value(ts) AS ts, count(*) AS n FROM seen GROUP BY leaf, line),
+cells AS (SELECT leaf, line, n, unnest(ts) AS token, unnest(range(len(ts))) AS p FROM lines),
+support AS (
+  SELECT leaf, p, token FROM cells WHERE token <> '<*>' GROUP BY leaf, p, token HAVING sum(n) >= 10),
+template AS (
+  SELECT line, any_value(c.leaf) AS leaf,
+         string_agg(CASE WHEN s.token IS NULL THEN '<*>' ELSE c.token END, ' ' ORDER BY c.p) AS template
+  FROM cells c LEFT JOIN support s ON c.leaf = s.leaf AND c.p = s.p AND c.token = s.token
+  GROUP BY line HAVING count(s.token) >= 0.7 * count(*)),
+found AS (SELECT t.leaf, t.template, s.text, s.pos, s.id FROM seen s JOIN template t ON s.line = t.line),
+texts AS (SELECT leaf, template, text, min(id) AS id FROM found GROUP BY leaf, template, text),
+recurring AS (
+  SELECT leaf, template, arg_min(text, id) AS first FROM texts
+  GROUP BY leaf, template HAVING count(*) >= 10),
+drops AS (
+  SELECT f.text, list(DISTINCT f.pos) AS gone
+  FROM found f JOIN recurring r ON f.leaf = r.leaf AND f.template = r.template WHERE f.text <> r.first
+  GROUP BY f.text),
+kept AS (
+  SELECT d.doc_id, d.text, g.gone, string_split(d.text, chr(10)) AS ls
+  FROM docs d LEFT JOIN drops g ON d.text = g.text)
+SELECT doc_id,
+       CASE WHEN gone IS NULL THEN text ELSE array_to_string(
+         list_transform(list_filter(range(len(ls)), lambda i: NOT list_contains(gone, i)), lambda i: ls[i + 1]), chr(10))
+       END AS text,
+       CASE WHEN text IS NULL THEN 0 ELSE len(ls)::INTEGER END AS lines,
+       coalesce(len(gone), 0)::INTEGER AS dropped, gone IS NOT NULL AS changed
+FROM kept
+"""
+
 OP3 = r"""
 WITH rules(verdict, rule, rhost, rpath) AS (VALUES
   ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
@@ -24,6 +69,38 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE n = 1
 """
 
+OP8 = r"""
+WITH cut AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS segs FROM documents),
+bare AS (SELECT doc_id, list_transform(segs, lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')) AS s FROM cut),
+words AS (SELECT doc_id, s, list_transform(s, lambda x: len(string_split_regex(x, '\s+'))) AS w FROM bare),
+starts AS (SELECT doc_id, s, w, unnest(range(len(s))) AS pos FROM words),
+sums AS (
+  SELECT doc_id, s, pos, len(s) - pos AS rest,
+         list_sum(w[pos + 1:pos + 2]) AS w2, list_sum(w[pos + 1:pos + 4]) AS w4,
+         list_sum(w[pos + 1:pos + 8]) AS w8, list_sum(w[pos + 1:pos + 16]) AS w16 FROM starts),
+runs AS (
+  SELECT doc_id, s, pos, CASE
+    WHEN rest < 2 THEN NULL WHEN w2 >= 10 THEN 2
+    WHEN rest < 4 THEN NULL WHEN w4 >= 10 THEN 4
+    WHEN rest < 8 THEN NULL WHEN w8 >= 10 THEN 8
+    WHEN rest < 16 THEN NULL WHEN w16 >= 10 THEN 16 END AS run FROM sums),
+spans AS (
+  SELECT doc_id, pos, run, array_to_string(s[pos + 1:pos + run], chr(1)) AS span FROM runs WHERE run IS NOT NULL),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY span, run ORDER BY doc_id, pos) AS n FROM spans),
+drops AS (
+  SELECT doc_id, list(DISTINCT i) AS gone
+  FROM (SELECT doc_id, unnest(range(pos, pos + run)) AS i FROM numbered WHERE n > 1) GROUP BY doc_id)
+SELECT c.doc_id,
+       CASE WHEN gone IS NULL THEN text ELSE array_to_string(
+         list_transform(list_filter(range(len(segs)), lambda i: NOT list_contains(gone, i)), lambda i: segs[i + 1]), '')
+       END AS text,
+       coalesce(len(segs), 0)::INTEGER AS sentences, coalesce(len(gone), 0)::INTEGER AS removed,
+       gone IS NOT NULL AS changed
+FROM cut c LEFT JOIN drops d ON c.doc_id = d.doc_id
+"""
+
 OP9 = r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q
@@ -41,4 +118,4 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLE = {"op3_url_rules": OP3, "op9_threshold_topk": OP9}
+ORACLE = {"op2_template_lines": OP2, "op3_url_rules": OP3, "op8_sentence_spans": OP8, "op9_threshold_topk": OP9}

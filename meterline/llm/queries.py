@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import sharding, topk, url_rules
+from meterline.llm import decontaminate, langid, line_dedup, packing, quality, sharding, span_dedup, topk, url_rules
 from meterline.session import scratch_path
 
 # The rule set that every page is judged by.
@@ -17,16 +17,40 @@ URL_RULES = (
     ("block", "com/de/"),
 )
 
+# The vocabulary of byte_bpe_50k.json as ranks: same ids, read by a faster library.
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = langid.identify(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return got.select("doc_id", "language", F.round("posterior", 6).alias("posterior"), "accepted", "text_language",
+                      F.col("lang").alias("declared"), F.col("source").alias("host"))
+
+
+def op2_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = line_dedup.drop_recurring(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "text", "lines", "dropped", (F.col("dropped") > 0).alias("changed"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), url_rules.RULE_SCHEMA)
     return url_rules.judge(read(spark, sf_dir, "pages"), rules)
 
 
+def op4_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
+                                  public_tokenizers.PATTERN)
+
+
 def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = sharding.shard(read(spark, sf_dir, "documents"), scratch_path(spark, "slot-map"), n_shards=16)
     return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
@@ -34,8 +58,20 @@ def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "virtual_slot", "map_version")
 
 
+def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = span_dedup.remove_repeated(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "text", "sentences", "removed", (F.col("removed") > 0).alias("changed"))
+
+
 def op9_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10)
 
 
-QUERIES = {f.__name__: f for f in (op3_url_rules, op7_virtual_slots, op9_threshold_topk)}
+def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontaminate.scan(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "contaminated", "items", "longest_overlap")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_template_lines, op3_url_rules, op4_neighbour_quality, op6_genetic_packing,
+    op7_virtual_slots, op8_sentence_spans, op9_threshold_topk, op10_spaced_seeds)}
