@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import decontaminate, langid, line_dedup, packing, quality, sharding, span_dedup, topk, url_rules
+from meterline.llm import decontaminate, langid, line_dedup, near_duplicates, packing, quality, sharding, span_dedup, topk, url_rules
 from meterline.session import scratch_path
 
 # The rule set that every page is judged by.
@@ -45,6 +45,10 @@ def op4_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(read(spark, sf_dir, "documents"))
+
+
 def op6_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
@@ -73,5 +77,5 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_template_lines, op3_url_rules, op4_neighbour_quality, op6_genetic_packing,
+    op1_language_id, op2_template_lines, op3_url_rules, op4_neighbour_quality, op5_chosen_path_join, op6_genetic_packing,
     op7_virtual_slots, op8_sentence_spans, op9_threshold_topk, op10_spaced_seeds)}
