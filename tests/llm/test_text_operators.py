@@ -1,0 +1,179 @@
+"""Line dedup, span dedup, decontamination and language id on odd rows and small cases."""
+
+import pytest
+
+from meterline.llm import decontaminate, langid, line_dedup, span_dedup
+from tests.conftest import SF, assert_same
+
+
+@pytest.mark.parametrize("name", ["op2_template_lines", "op3_url_rules", "op8_sentence_spans", "op9_threshold_topk"])
+def test_query_against_sql(spark, duck, name):
+    from meterline.llm.oracle import ORACLE
+    from meterline.llm.queries import QUERIES
+    assert_same(QUERIES[name](spark, SF), duck(), ORACLE[name])
+
+
+def texts(df):
+    return sorted((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect())
+
+
+def test_variable_fields_are_one_template(spark):
+    rows = [(i, f"user {i} logged in to the main server at {i}:00\nown line {'abcdefghijklmnopqrstuvwxyz'[i]} of this text alone {i * i}")
+            for i in range(12)]
+    got = texts(line_dedup.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got[0][1] == rows[0][1]  # the first text keeps its lines
+    assert all("logged" not in t for _, t in got[1:])
+    few = texts(line_dedup.drop_recurring(spark.createDataFrame(rows[:9], "doc_id long, text string")))
+    assert few == rows[:9]
+
+
+def test_exact_copies_are_one_text_for_line_dedup(spark):
+    rows = [(i, "a line that is copied whole\nand another one") for i in range(30)]
+    assert texts(line_dedup.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string"))) == rows
+
+
+@pytest.mark.parametrize("operator", [line_dedup.drop_recurring, span_dedup.remove_repeated, langid.identify])
+def test_odd_rows_keep_all_columns(operator, odd_docs, no_docs, clashing):
+    got = operator(clashing)
+    assert got.columns[:len(clashing.columns)] == clashing.columns
+    assert len(set(c.lower() for c in got.columns)) == len(got.columns)
+    assert got.count() == odd_docs.count()
+    assert operator(no_docs).count() == 0
+
+
+def test_span_dedup_of_odd_rows(odd_docs):
+    got = span_dedup.remove_repeated(odd_docs).collect()
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r["doc_id"], set()).add(r["text"])
+    assert by_id[1] == {None} and by_id[2] == {""}
+    assert len(next(iter(by_id[5]))) > 50  # rows equal in id and text are one document
+    assert by_id[6] == {""}  # the copy's only span is not the first
+
+
+def test_span_dedup_keeps_the_first_and_leaves_others_alone(spark):
+    passage = "One two three four five six. Seven eight nine ten eleven. Twelve thirteen fourteen fifteen sixteen. "
+    rows = [(1, "A text of its own. " + passage + "Ends here on its own."),
+            (2, "Other words come before " + passage + "and other words follow it."),
+            (3, "Nothing in here is found anywhere else. Not even a single sentence of it.")]
+    got = dict(texts(span_dedup.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert got[1] == rows[0][1] and got[3] == rows[2][1]
+    assert "Seven" not in got[2] and "Twelve" not in got[2]
+    assert got[2].startswith("Other words") and got[2].endswith("follow it.")
+
+
+def test_round_trip_of_sentences(spark, documents):
+    from pyspark.sql import functions as F
+    assert documents.filter(F.array_join(span_dedup.sentences(F.col("text")), "") != F.col("text")).count() == 0
+
+
+ITEM = "the quick brown fox jumps over the lazy dog while seven wizards watch from a tall old tower at night"
+
+
+def test_decontamination_tolerates_substitutions(spark):
+    bench = spark.createDataFrame([(1, ITEM), (2, ""), (3, None), (None, "no id for this one here"), (4, "too short")],
+                                  "item_id long, text string")
+    words = ITEM.split()
+    changed = list(words)
+    changed[5], changed[12] = "under", "stare"
+    half = " ".join(words[:8]) + " something wholly different follows after these words"
+    shouted = "Before. " + ITEM.upper().replace(" ", ", ") + "! After."
+    docs = spark.createDataFrame([(1, "x y " + ITEM + " z"), (2, "x y " + " ".join(changed) + " z"), (3, half), (4, None),
+                                  (5, ""), (6, shouted), (7, " ".join(reversed(words))), (1, "x y " + ITEM + " z")],
+                                 "doc_id long, text string")
+    got = sorted((r["doc_id"], r["contaminated"], tuple(r["items"])) for r in decontaminate.scan(docs, bench).collect())
+    assert got == [(1, True, (1,)), (1, True, (1,)), (2, True, (1,)), (3, False, ()), (4, False, ()), (5, False, ()),
+                   (6, True, (1,)), (7, False, ())]
+
+
+def overlap_by_force(doc, item):
+    """Longest stretch with 80 % agreement over all alignments, by trying every alignment and stretch."""
+    a, b = decontaminate.words_of(doc), decontaminate.words_of(item)
+    need = min(decontaminate.MIN_OVERLAP, len(b))
+    for start in range(-len(b) + need, len(a) - need + 1):
+        lo, hi = max(0, -start), min(len(b), len(a) - start)
+        same = [a[start + k] == b[k] for k in range(lo, hi)]
+        if sum(same) >= 0.8 * need:
+            for i in range(len(same) - need + 1):
+                if any(sum(same[i:j]) >= 0.8 * (j - i) for j in range(i + need, len(same) + 1)):
+                    return True
+    return False
+
+
+def test_decontamination_against_brute_force(spark, documents):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    items = [r["text"] for r in bench.collect()]
+    some = documents.filter("n_chars < 1500")
+    text = {r["doc_id"]: r["text"] for r in some.collect()}
+    got = {r["doc_id"] for r in decontaminate.scan(some, bench).filter("contaminated").collect()}
+    verbatim = {d for d, t in text.items() if any(i in t for i in items)}
+    assert verbatim <= got and len(verbatim) > 3
+    words = [set(decontaminate.words_of(i)) for i in items]
+    near = {d for d, t in text.items() if any(
+        len(w & set(decontaminate.words_of(t))) >= 0.8 * min(13, len(w)) and overlap_by_force(t, i)
+        for w, i in zip(words, items) if len(decontaminate.words_of(i)) >= 4)}
+    assert got <= near  # nothing clean is flagged
+    assert len(got) >= 0.95 * len(near)
+
+
+def test_decontamination_in_slices_is_the_same(spark, documents):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    some = documents.filter("doc_id < 300")
+
+    def run():
+        return sorted((r["doc_id"], tuple(r["items"]), r["longest_overlap"]) for r in decontaminate.scan(some, bench).collect())
+
+    whole, old = run(), decontaminate.SLICE_WORDS
+    try:
+        decontaminate.SLICE_WORDS = 500
+        assert run() == whole
+    finally:
+        decontaminate.SLICE_WORDS = old
+
+
+def test_decontamination_of_odd_rows(spark, odd_docs, no_docs, clashing):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    got = decontaminate.scan(clashing, bench)
+    assert got.columns[:len(clashing.columns)] == clashing.columns
+    assert got.filter("_contaminated").count() == 0 and got.count() == odd_docs.count()
+    assert decontaminate.scan(no_docs, bench).count() == 0
+    assert decontaminate.scan(odd_docs, bench.limit(0)).filter("contaminated").count() == 0
+
+
+def test_language_held_out_declarations(spark, documents):
+    """With half of the declarations hidden and one in twenty wrong, the language is still found."""
+    from pyspark.sql import functions as F
+    wrong = F.when(F.col("lang") == "fr", "de").otherwise("fr")
+    told = F.when(F.col("doc_id") % 2 == 0, None).when(F.col("doc_id") % 20 == 1, wrong).otherwise(F.col("lang"))
+    got = langid.identify(documents.withColumn("told", told), declared_col="told")
+    n, right = documents.count(), got.filter(F.col("language") == F.col("lang")).count()
+    assert right >= 0.99 * n
+    assert got.filter("accepted").count() >= 0.99 * n
+
+
+def test_language_of_odd_rows(odd_docs):
+    got = langid.identify(odd_docs).collect()
+    for r in got:
+        if r["text"] is None or not any(c.isalpha() for c in r["text"]):
+            assert r["language"] == "und" and not r["accepted"] and r["posterior"] == 0.0
+
+
+def test_language_evidence_by_hand(spark):
+    """The host prior and the declaration decide where the text can't."""
+    import numpy as np
+    rows = ([(i, "der die das und ist nicht mit", "de", "a.example.de") for i in range(40)]
+            + [(100 + i, "the and of is not with for", "en", "b.example.com") for i in range(40)]
+            + [(200, "zzz", None, "a.example.de"), (201, "zzz", None, "b.example.com"), (202, "zzz", "en", None)])
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["language"] for r in langid.identify(df, languages=("de", "en")).collect()}
+    assert got[0] == "de" and got[100] == "en"
+    assert np.all([got[200] in ("de", "und"), got[201] in ("en", "und"), got[202] in ("en", "und")])
+
+
+def test_markup_and_suffix(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([('<!DOCTYPE html><html class="a" lang="fr-CA"><p>', "www.example.fr"), ("<html>", "localhost"),
+                                (None, None)], "html string, host string")
+    got = df.select(langid.markup_language(F.col("html")), langid.suffix_of(F.col("host")),
+                    langid.domain_of(F.col("host"))).collect()
+    assert [tuple(r) for r in got] == [("fr", "fr", "example.fr"), (None, None, "localhost"), (None, None, None)]
