@@ -81,7 +81,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     leaves = (at.select(leaf_of(F.col("line")).alias("leaf")).groupBy("leaf").count()
               .filter(F.col("count") >= min_docs).select("leaf"))
     seen = table(at.withColumn("leaf", leaf_of(F.col("line"))).join(leaves, "leaf", "left_semi")
-                 .groupBy("leaf", "line", "key", "pos").agg(F.min("id").alias("id")), "lines-seen")
+                 .groupBy("line", "key", "pos").agg(F.min("leaf").alias("leaf"), F.min("id").alias("id")), "lines-seen")
     lines = seen.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
     found = table(seen.join(templates(lines, min_docs, constant), "line")
                   .select(F.xxhash64("template", "leaf").alias("template"), "key", "pos", "id"), "lines-templates")
