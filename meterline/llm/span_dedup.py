@@ -68,6 +68,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated = (found.groupBy("a", "b", "run")
                 .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "key", "pos")).alias("first"))
                 .filter(F.col("n") > 1).drop("n"))
+    repeated = table(repeated, "spans-repeated")  # its own exchange in the join, so a hot span can be split
     place = F.struct("id", "key", "pos")
     drops = (found.join(repeated, ["a", "b", "run"]).filter(~place.eqNullSafe(F.col("first")))
              .groupBy("id", "key").agg(F.collect_set(F.struct("pos", "run")).alias("drops")))
