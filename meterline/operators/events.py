@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from meterline.functions.exprs import MONEY, priority
 from meterline.operators.ordered import (
-    DEFAULT_TARGET_ROWS, ChunkSpec, FillForward, Lag, Lead, ordered_scan, resolve_chunk,
+    DEFAULT_TARGET_ROWS, FillForward, Lag, Lead, ordered_scan, resolve_chunk,
 )
 from meterline.params import SECONDARY_PAIR_PRIORITY, WAGER_PAIR_PRIORITY
-from meterline.schemas import CANONICAL
+from meterline.schemas import CANONICAL, LANDING
 
 # Optional source-row id (file path + row index) carried through every
 # branch when present, so copies of one event loaded twice stay distinct.
@@ -66,18 +66,13 @@ CASH_TYPES = ("n", "v", "t")
 MISC_TYPES = ("game_changed", "gppr", "gpsr", "cbpr")
 # -----------------------------------------------------------------------------
 
-WAGER_START_COLS = ["egmid", "deviceid", "denomid", "eventdatetime", "gameplaylogsequence",
-                    "g2s_playercashableamt", "customer", "batch_id", "g2s_wageredcashableamt"]
-WAGER_END_COLS = ["egmid", "deviceid", "denomid", "eventdatetime", "gameplaylogsequence",
-                  "g2s_playercashableamt", "customer", "batch_id"]
-SEC_START_COLS = ["id", "egmid", "eventdatetime", "deviceid", "denomid", "gameplaylogsequence",
-                  "gcmdatetime", "commserverid", "customer", "batch_id", "g2s_secwageredamt"]
-SEC_END_COLS = ["id", "egmid", "eventdatetime", "deviceid", "denomid", "gameplaylogsequence",
-                "gcmdatetime", "commserverid", "customer", "batch_id", "g2s_secwonamt",
-                "g2s_secwoncnt", "g2s_seclostcnt", "g2s_sectiedcnt"]
-
-# Orders of the paired-event windows (time first; the rest are tie-breakers
-# making the order total).
+WAGER_START_COLS = [f.name for f in LANDING["primarygamestarted_raw"].fields]
+WAGER_END_COLS = [f.name for f in LANDING["gameended_raw"].fields]
+SEC_START_COLS = [f.name for f in LANDING["secondarygamestarted_raw"].fields]
+SEC_END_COLS = [f.name for f in LANDING["secondarygameended_raw"].fields]
+
+# Orders of the paired-event windows: time first, then the tie-breakers that
+# have a meaning. ``total_order`` adds the rest of the columns.
 PAIR_ORDER = (("eventdatetime", False), ("sort_priority", False))
 METER_ORDER = (("tran_ts", False), ("seq", True), ("sort_priority", False))
 SECONDARY_ORDER = (("eventdatetime", False), ("sort_priority", False), ("id", True),
@@ -87,6 +82,13 @@ SECONDARY_ORDER = (("eventdatetime", False), ("sort_priority", False), ("id", Tr
                    ("g2s_sectiedcnt", True))
 
 
+def total_order(order, df: DataFrame) -> tuple:
+    """``order`` plus every other column (the row id first): equal rows are then interchangeable."""
+    named = {c for c, _ in order}
+    rest = sorted((c for c in df.columns if c not in named), key=lambda c: (c != ROW_ID, c))
+    return (*order, *((c, True) for c in rest))
+
+
 def typed(name: str, c) -> "F.Column":
     return (F.lit(None) if c is None else (F.col(c) if isinstance(c, str) else c)).cast(_TYPES[name]).alias(name)
 
@@ -123,7 +125,7 @@ def pair_payout(tagged: DataFrame, chunk_micros="auto") -> DataFrame:
     """payout = next cash of the same (machine, game sequence, device) - own cash."""
     df = tagged.withColumn("sort_priority", priority("rectype", WAGER_PAIR_PRIORITY, None))
     keys = [*TENANT, "egmid", "gameplaylogsequence", "deviceid"]
-    df = ordered_scan(df, keys, PAIR_ORDER, "eventdatetime",
+    df = ordered_scan(df, keys, total_order(PAIR_ORDER, df), "eventdatetime",
                       [Lead("g2s_playercashableamt", "_next_cash")], chunk_micros=chunk_micros)
     return df.withColumn("payout", (F.col("_next_cash") - F.col("g2s_playercashableamt")).cast(MONEY)) \
              .drop("_next_cash")
@@ -133,7 +135,7 @@ def pair_payout(tagged: DataFrame, chunk_micros="auto") -> DataFrame:
 def meter_delta_lag2(df: DataFrame, meter: str = "credit_meter", out: str = "tran_amt",
                      order=METER_ORDER, chunk_micros="auto") -> DataFrame:
     """``out = meter - meter two rows earlier`` over the machine's events."""
-    df = ordered_scan(df, [*TENANT, "egm_id"], order, order[0][0],
+    df = ordered_scan(df, [*TENANT, "egm_id"], total_order(order, df), order[0][0],
                       [Lag(meter, "_meter_2", 2)], chunk_micros=chunk_micros)
     return df.withColumn(out, (F.col(meter) - F.col("_meter_2")).cast(MONEY)).drop("_meter_2")
 
@@ -146,7 +148,7 @@ def meter_delta_prev_start(df: DataFrame, start_type: str = "w", meter: str = "c
     does not. One scan: a strict forward fill of the start rows' meter.
     """
     df = df.withColumn("_start_meter", F.when(F.col("rectype") == start_type, F.col(meter)))
-    df = ordered_scan(df, [*TENANT, "egm_id"], order, order[0][0],
+    df = ordered_scan(df, [*TENANT, "egm_id"], total_order(order, df), order[0][0],
                       [FillForward("_start_meter", "_prev_start", strict=True)], chunk_micros=chunk_micros)
     return df.withColumn(out, F.when(F.col("rectype") == start_type,
                                      (F.col(meter) - F.col("_prev_start")).cast(MONEY))) \
@@ -165,8 +167,6 @@ def wager_events(start: DataFrame, end: DataFrame, chunk_micros="auto") -> DataF
         "egm_id": "egmid", "device_id": "deviceid", "denom_id": "denomid", "tran_ts": "eventdatetime",
         "seq": "gameplaylogsequence", "credit_meter": "g2s_wageredcashableamt", "payout": "payout",
     }, F.col("rectype")).withColumn("sort_priority", priority("rectype", WAGER_PAIR_PRIORITY, None))
-    if isinstance(chunk_micros, ChunkSpec):
-        chunk_micros = chunk_micros.on(*TENANT, "egm_id")
     return meter_delta_lag2(canon, chunk_micros=chunk_micros).select(
         *_with_row_id([*EVENT_COLUMNS, "batch_id"], canon))
 
@@ -195,7 +195,7 @@ def secondary_deltas(start: DataFrame, end: DataFrame, chunk_micros="auto") -> D
                                  DEFAULT_TARGET_ROWS)
     df = secondary_tagged(start, end).withColumn(
         "sort_priority", priority("rectype", SECONDARY_PAIR_PRIORITY, None))
-    df = ordered_scan(df, [*TENANT, "egmid"], SECONDARY_ORDER, "eventdatetime",
+    df = ordered_scan(df, [*TENANT, "egmid"], total_order(SECONDARY_ORDER, df), "eventdatetime",
                       [Lag("g2s_secwageredamt", "_wager_2", 2), Lag("g2s_secwonamt", "_won_2", 2)],
                       chunk_micros=chunk_micros)
     df = df.withColumns({

@@ -16,15 +16,19 @@ window runs in two levels instead:
    partitioning, so only the small carry table moves (AQE broadcasts it
    when its measured size allows).
 
-The bucket widths are picked from the data (``plan_chunks``) so that a hot
-key's average chunk holds about ``target_rows`` rows; keys below that stay
-in a single chunk. The hot-key width table is broadcast only up to a
-checked size; beyond it one global width applies. Keys are compared as one struct column, which is
-null-safe (a NULL session of one machine is its own group).
+Keys that hold at most ``target_rows`` rows stay in a single chunk, and a
+frame without a hotter key runs as plain windows per key. Otherwise
+(``plan_chunks``: one aggregate per key) the whole (key, order) sequence is cut into
+ranges of about equal row counts by Spark's range partitioning on the *full*
+order, whatever its types. Even times, bursts, one instant and one instant
+with a text tie-breaker are cut alike; only rows equal in every order column
+stay together. Keys are compared as one struct column, which is null-safe (a
+NULL session of one machine is its own group).
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -32,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.functions.exprs import micros
+from meterline.session import ensure_checkpoint_dir
 
 GROUP = "_scan_g"
 CHUNK = "_scan_k"
@@ -93,174 +98,50 @@ def sort_struct(order: OrderSpec) -> Column:
 
 @dataclass(frozen=True)
 class ChunkSpec:
-    """How rows are cut into time chunks.
+    """Cut the (key, order) sequence into ``ranges`` slices of about equal row counts."""
 
-    ``width``: one bucket width (microseconds) for every key. ``per_key``:
-    a small frame (``_ck`` key struct over ``keys``, ``_cw`` width) listing
-    only the hot keys; every other key stays one chunk. ``keys`` may be a
-    prefix of a scan's keys (a machine's width also bounds its sessions).
-    """
-
-    keys: tuple
-    width: int | None = None
-    per_key: DataFrame | None = None
-    fields: tuple | None = None  # struct field names of ``per_key._ck`` (default: keys)
-    # hot instants: (key, timestamp) groups above the target, split further
-    # by the rest of the order (see ``with_chunks``)
-    instants: DataFrame | None = None   # _ck, _its (timestamp), _iw (tie-breaker bucket width)
-    buckets: DataFrame | None = None    # _ck, _itb (time bucket), _hot_ts (sorted hot instants in it)
+    ranges: int
 
-    def on(self, *cols: str) -> "ChunkSpec":
-        """The same widths for a frame where the key columns are named ``cols``."""
-        return ChunkSpec(tuple(cols), self.width, self.per_key, self.fields or self.keys,
-                         self.instants, self.buckets)
 
-
-DEFAULT_MAX_HOT_KEYS = 100_000
+# Ranges are sized to two thirds of the target, since their bounds are sampled.
+RANGE_SLACK = 1.5
 
 
 def plan_chunks(df: DataFrame, keys: Sequence[str], ts: str,
-                target_rows: int = DEFAULT_TARGET_ROWS,
-                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-                order: OrderSpec | None = None) -> ChunkSpec | None:
-    """Chunk widths so a hot key's average chunk holds ~target_rows rows.
-
-    One partial aggregate per key (keys and timestamp only). Hot keys
-    number at most total_rows / target_rows; at most ``max_hot_keys + 1``
-    of them reach the driver. Up to that bound they are broadcast as a
-    per-key width table; beyond it the smallest width applies to every key
-    (same result, more chunks). ``None``: no key is hot.
+                target_rows: int = DEFAULT_TARGET_ROWS) -> ChunkSpec | None:
+    """How to cut a frame in which some key holds more than ``target_rows`` rows; ``None``: no key does.
+
+    One partial aggregate per key; a single row (rows in total, rows of the
+    largest key) reaches the driver.
     """
-    m = micros(ts)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(m).alias("lo"),
-                                    F.max(m).alias("hi"))
-    width = F.greatest(F.lit(1), F.floor((F.col("hi") - F.col("lo") + 1) * F.lit(target_rows) / F.col("n")))
-    hot = per_key.where(F.col("n") > target_rows).select(
-        F.struct(*keys).alias("_ck"), width.cast("long").alias("_cw"))
-    rows = hot.limit(max_hot_keys + 1).collect()
-    if not rows:
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    r = per_key.agg(F.sum("n").alias("total"), F.max("n").alias("most")).first()
+    if not r.total or r.most <= target_rows:
         return None
-    spark = df.sparkSession
-    if len(rows) > max_hot_keys:
-        spec = ChunkSpec(tuple(keys), width=int(hot.agg(F.min("_cw")).first()[0]))
-    else:
-        spec = ChunkSpec(tuple(keys), per_key=spark.createDataFrame(rows, hot.schema))
-    if order is None or len(order) < 2:
-        return spec
-    return _plan_instants(df, keys, ts, order, target_rows, max_hot_keys, spec)
-
-
-def _plan_instants(df, keys, ts, order, target_rows, max_hot_keys, spec: ChunkSpec) -> ChunkSpec:
-    """Hot instants: one timestamp of one key holding more than target_rows rows.
-
-    A time bucket cannot split them. Per instant the *first order column
-    after the timestamp that varies inside it* is bucketed (all columns
-    before it are constant there, so buckets follow the order); buckets
-    hold ~target_rows rows, so an instant gives ~n/target_rows chunks. If
-    that column is not numeric, or nothing varies (exact copies), the
-    instant stays whole. At most ``max_hot_keys`` instants (checked) are
-    broadcast; beyond that they all stay whole.
-    """
-    from pyspark.sql import types as T
-    spark = df.sparkSession
-    types = {f.name: f.dataType for f in df.schema.fields}
-    rest = []
-    for c, nl in order[1:]:            # a column the frame lacks ends the search
-        if c not in types:
-            break
-        rest.append((c, nl))
-    if not rest:
-        return spec
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for j, (c, _) in enumerate(rest):
-        aggs += [F.min(c).alias(f"lo{j}"), F.max(c).alias(f"hi{j}"), F.count(c).alias(f"nn{j}")]
-    stats = df.groupBy(*keys, ts).agg(*aggs).where(F.col("n") > target_rows) \
-        .select(F.struct(*keys).alias("_ck"), F.col(ts).alias("_its"), "n",
-                *[x for j in range(len(rest)) for x in (f"lo{j}", f"hi{j}", f"nn{j}")])
-    irows = stats.limit(max_hot_keys + 1).collect()
-    if not irows or len(irows) > max_hot_keys:
-        return spec
-    numeric = (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DecimalType, T.DoubleType, T.FloatType)
-    picked = []
-    for r in irows:
-        for j, (c, _) in enumerate(rest):
-            nn, lo, hi = r[f"nn{j}"], r[f"lo{j}"], r[f"hi{j}"]
-            if nn in (0, r.n) and lo == hi:
-                continue                      # constant inside the instant
-            if isinstance(types[c], numeric) and lo is not None:
-                width = max(1, int((float(hi) - float(lo) + 1) * target_rows / r.n))
-                picked.append((r._ck, r._its, j, width))
-            break                             # first varying column decides
-        # (if every known column is constant, the instant stays whole)
-    if not picked:
-        return spec
-    schema = T.StructType([stats.schema["_ck"], stats.schema["_its"],
-                           T.StructField("_isplit", T.IntegerType()), T.StructField("_iw", T.LongType())])
-    instants = spark.createDataFrame(picked, schema)
-    if spec.per_key is not None:
-        widths = instants.join(spec.per_key, "_ck").select("_ck", "_its", F.col("_cw"))
-    else:
-        widths = instants.select("_ck", "_its", F.lit(spec.width).cast("long").alias("_cw"))
-    buckets = (widths.withColumn("_itb", F.floor(micros("_its") / F.col("_cw")).cast("long"))
-               .groupBy("_ck", "_itb").agg(F.array_sort(F.collect_list("_its")).alias("_hot_ts")))
-    return ChunkSpec(spec.keys, spec.width, spec.per_key, spec.fields, instants, buckets)
-
-
-def auto_chunk_micros(df: DataFrame, keys: Sequence[str], ts: str,
-                      target_rows: int = DEFAULT_TARGET_ROWS, order: OrderSpec | None = None) -> ChunkSpec | None:
-    """Kept name: the chunk plan of ``df`` (see ``plan_chunks``)."""
-    return plan_chunks(df, keys, ts, target_rows, order=order)
-
-
-def resolve_chunk(df: DataFrame, keys, ts: str, chunk_micros, target_rows: int, order=None):
+    return ChunkSpec(math.ceil(RANGE_SLACK * r.total / target_rows))
+
+
+def resolve_chunk(df: DataFrame, keys, ts: str, chunk_micros, target_rows: int):
     if isinstance(chunk_micros, str) and chunk_micros == "auto":
-        return plan_chunks(df, keys, ts, target_rows, order=order)
+        return plan_chunks(df, keys, ts, target_rows)
     return chunk_micros
 
 
 def with_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk_micros,
                 order: OrderSpec | None = None) -> DataFrame:
-    """Add the key struct and the chunk id (None/0: one chunk; int or ChunkSpec).
-
-    The chunk id is the time bucket. With hot instants it becomes
-    (bucket, place, split): inside a bucket holding hot instants, ``place``
-    puts each row before / at / after each of them; rows *at* a hot instant
-    are bucketed on the instant's first varying order column. Every part is
-    monotone in ``order``, so a chunk is still a contiguous slice of the
-    key's order.
+    """Add the key struct and the chunk id (None/0: one chunk; int: time buckets; ChunkSpec: ranges).
+
+    A range's number grows with (key, order), so a chunk is a contiguous
+    slice of its key's order. The numbered rows are checkpointed: rows and
+    chunk summaries must see the same ranges, and the input is read once.
     """
     df = df.withColumn(GROUP, F.struct(*keys))
-    spec = chunk_micros
-    if isinstance(spec, ChunkSpec):
-        df = df.withColumn("_ck", F.struct(*[F.col(c).alias(f) for c, f in
-                                             zip(spec.keys, spec.fields or spec.keys)]))
-        if spec.per_key is not None:
-            df = df.join(F.broadcast(spec.per_key), "_ck", "left")
-            tb = F.coalesce(F.floor(micros(ts) / F.col("_cw")), F.lit(0))
-        else:
-            tb = F.floor(micros(ts) / F.lit(int(spec.width)))
-        df = df.withColumn("_tb", tb.cast("long"))
-        if spec.instants is not None and order is not None:
-            b = spec.buckets.select(F.col("_ck").alias("_bk"), F.col("_itb"), F.col("_hot_ts"))
-            df = df.join(F.broadcast(b), (F.col("_ck") == F.col("_bk")) & (F.col("_tb") == F.col("_itb")), "left")
-            i = spec.instants.select(F.col("_ck").alias("_ik"), F.col("_its"), F.col("_isplit"), F.col("_iw"))
-            df = df.join(F.broadcast(i), (F.col("_ck") == F.col("_ik")) & (F.col(ts) == F.col("_its")), "left")
-            place = F.when(F.col("_hot_ts").isNotNull(),
-                           2 * F.size(F.filter("_hot_ts", lambda x: x < F.col(ts)))
-                           + F.array_contains("_hot_ts", F.col(ts)).cast("int"))
-            # the instant's chosen column (constant columns before it add nothing)
-            flag, bucket = None, None
-            for j, (c, nl) in enumerate(order[1:]):
-                hit = F.col("_isplit") == j
-                f_j = F.col(c).isNull() if nl else F.col(c).isNotNull()
-                b_j = F.floor(F.col(c) / F.col("_iw")).cast("long")
-                flag = F.when(hit, f_j) if flag is None else flag.when(hit, f_j)
-                bucket = F.when(hit, b_j) if bucket is None else bucket.when(hit, b_j)
-            split = F.when(F.col("_iw").isNotNull(), F.struct(flag.alias("f"), bucket.alias("v")))
-            df = df.withColumn(CHUNK, F.struct(F.col("_tb").alias("b"), place.alias("p"), split.alias("q")))
-            return df.drop("_ck", "_cw", "_tb", "_bk", "_itb", "_hot_ts", "_ik", "_its", "_isplit", "_iw")
-        return df.withColumn(CHUNK, F.col("_tb")).drop("_ck", "_cw", "_tb")
-    k = F.lit(0).cast("long") if not spec else F.floor(micros(ts) / F.lit(int(spec))).cast("long")
+    if isinstance(chunk_micros, ChunkSpec):
+        order = order or ((ts, False),)
+        ensure_checkpoint_dir(df.sparkSession)
+        return (df.repartitionByRange(chunk_micros.ranges, F.col(GROUP).asc(), *sort_cols(order))
+                .withColumn(CHUNK, F.spark_partition_id().cast("long")).checkpoint(eager=True))
+    k = F.lit(0).cast("long") if not chunk_micros else F.floor(micros(ts) / F.lit(int(chunk_micros))).cast("long")
     return df.withColumn(CHUNK, k)
 
 
@@ -285,7 +166,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: OrderSpec, ts: str,
     total (end with a unique id) for deterministic results.
     """
     assert order[0][0] == ts and not order[0][1], "order must start with the chunk timestamp"
-    cm = resolve_chunk(df, keys, ts, chunk_micros, target_rows, order)
+    cm = resolve_chunk(df, keys, ts, chunk_micros, target_rows)
     base = with_chunks(df, keys, ts, cm, order)
     wl, wc = chunk_windows(order)
     wrun = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -25,7 +25,7 @@ from meterline.operators import curate as C
 from meterline.operators import events as N
 from meterline.operators import quality as Q
 from meterline.operators import sessions as Z
-from meterline.operators.ordered import auto_chunk_micros
+from meterline.operators.ordered import plan_chunks
 from meterline.params import ENTITY, SessionParams
 from meterline.schemas import CANONICAL_COLUMNS, LANDING
 from meterline.sources.files import write_batch
@@ -114,7 +114,7 @@ def sessionize(spark: SparkSession, wh: Warehouse, customer: str | None = None,
                batch_id: str | None = None, params: SessionParams = SessionParams()):
     """Returns (chunk plan, metrics: rows, sessions, rows without a session)."""
     raw = wh.read(spark, RAW, customer, batch_id)
-    cm = auto_chunk_micros(Z.event_priority(raw, params), ENTITY, "tran_ts", order=Z.ORDER)
+    cm = plan_chunks(raw, ENTITY, "tran_ts")
     m = wh.write(Z.sessionize(raw, params, chunk_micros=cm), SESSIONIZED, rows=rows_count(),
                  sessions=F.count("unique_session_id"),
                  unsessioned=F.count_if(F.col("session_id").isNull()))
@@ -125,7 +125,7 @@ def segregate(spark: SparkSession, wh: Warehouse, customer: str | None = None,
               batch_id: str | None = None, rules=Q.DEFAULT_RULES, chunk_micros="auto") -> dict:
     sess = wh.read(spark, SESSIONIZED, customer, batch_id)
     if chunk_micros == "auto":
-        chunk_micros = auto_chunk_micros(sess, ENTITY, "tran_ts", order=Z.ORDER)
+        chunk_micros = plan_chunks(sess, ENTITY, "tran_ts")
     rule_input = Q.checked_frame(sess, chunk_micros=chunk_micros, fill_theme=False)
     viol = Q.violations(rule_input, rules, chunk_micros=chunk_micros) \
         .withColumn("loaded_at", F.current_timestamp())
@@ -140,7 +140,7 @@ def curate(spark: SparkSession, wh: Warehouse, customer: str | None = None,
     sess = wh.read(spark, SESSIONIZED, customer, batch_id)
     viol = wh.read(spark, VIOLATIONS, customer, batch_id)
     if chunk_micros == "auto":
-        chunk_micros = auto_chunk_micros(sess, ENTITY, "tran_ts", order=Z.ORDER)
+        chunk_micros = plan_chunks(sess, ENTITY, "tran_ts")
     return wh.write(C.curated_sessions(sess, viol, chunk_micros=chunk_micros), CURATED, rows=rows_count(),
                     sessions=F.count("unique_session_id"))
 

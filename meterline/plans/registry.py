@@ -35,12 +35,11 @@ def chunk_width(spark: SparkSession, sf: str):
     Sized once on the base table per machine (keys and time only). Session
     windows see subsets of a machine's rows, so the width bounds them too.
     """
-    from meterline.operators.ordered import auto_chunk_micros
+    from meterline.operators.ordered import plan_chunks
     from meterline.params import ENTITY
     key = (spark.sparkContext.applicationId, sf.rstrip("/"))
     if key not in _WIDTHS:
-        _WIDTHS[key] = auto_chunk_micros(Z.event_priority(canon(spark, sf), DRIVER_SESSION), ENTITY,
-                                         "tran_ts", order=Z.ORDER)
+        _WIDTHS[key] = plan_chunks(canon(spark, sf), ENTITY, "tran_ts")
     return _WIDTHS[key]
 
 
