@@ -157,6 +157,21 @@ def _join_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
     return rows.join(carry, [GROUP, CHUNK], "left")
 
 
+def _local(o, w) -> Column:
+    """One op over the window ``w``."""
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if isinstance(o, Lag):
+        return F.lag(o.src, o.n).over(w)
+    if isinstance(o, Lead):
+        return F.lead(o.src, o.n).over(w)
+    if isinstance(o, RunningSum):
+        return F.sum(o.src).over(run)
+    if isinstance(o, FillForward):
+        return F.last(o.src, ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, -1) if o.strict else run)
+    return F.row_number().over(w).cast("long")
+
+
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: OrderSpec, ts: str,
                  ops: Sequence, chunk_micros="auto",
                  target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
@@ -167,24 +182,17 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: OrderSpec, ts: str,
     """
     assert order[0][0] == ts and not order[0][1], "order must start with the chunk timestamp"
     cm = resolve_chunk(df, keys, ts, chunk_micros, target_rows)
+    if not cm:  # no key is hot: plain windows per key, which share their shuffle with other scans
+        w = Window.partitionBy(*keys).orderBy(*sort_cols(order))
+        return df.withColumns({o.out: _local(o, w) for o in ops})
     base = with_chunks(df, keys, ts, cm, order)
     wl, wc = chunk_windows(order)
-    wrun = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wprev = wl.rowsBetween(Window.unboundedPreceding, -1)
     wall = wl.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     multi = any(isinstance(o, (Lag, Lead)) and o.n > 1 for o in ops)
 
     # --- level 1: windows inside each chunk -------------------------------
     local = {RN: F.row_number().over(wl), CNT: F.count(F.lit(1)).over(wall)}
-    for o in ops:
-        if isinstance(o, Lag):
-            local[f"_l_{o.out}"] = F.lag(o.src, o.n).over(wl)
-        elif isinstance(o, Lead):
-            local[f"_l_{o.out}"] = F.lead(o.src, o.n).over(wl)
-        elif isinstance(o, RunningSum):
-            local[f"_l_{o.out}"] = F.sum(o.src).over(wrun)
-        elif isinstance(o, FillForward):
-            local[f"_l_{o.out}"] = F.last(o.src, ignorenulls=True).over(wprev if o.strict else wrun)
+    local |= {f"_l_{o.out}": _local(o, wl) for o in ops if not isinstance(o, RowNumber)}
     rows = base.withColumns(local)
 
     # --- level 2: one summary row per chunk -------------------------------

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.exprs import clamp_negative, priority, seconds_between
-from meterline.operators.ordered import FillForward, Lag, Lead, first_in_group, ordered_scan
+from meterline.operators.ordered import FillForward, Lag, Lead, first_in_group, ordered_scan, sort_struct
 from meterline.operators.sessions import ORDER
 from meterline.params import (
     CASH_IN_FIRST_TYPES, CHECKED_TYPES, ENTITY, LABEL_BRACKET, LABEL_CASHIN_POSITION,
@@ -28,6 +28,7 @@ from meterline.params import (
 )
 
 VIOLATION_COLUMNS = [*SESSION_KEY, "error_type"]
+# The columns of the quarantine table, in its order.
 QUARANTINE_COLUMNS = [
     "rectype", "egm_id", "session_id", "theme_id", "theme_name", "device_id", "denom_id",
     "tran_ts", "seq", "credit_meter", "tran_amt", "payout", "player_id", "customer", "batch_id",
@@ -86,10 +87,10 @@ def negative_amount_rows(checked: DataFrame) -> DataFrame:
 
 # --- Q6 -----------------------------------------------------------------
 def priority_sort(checked: DataFrame) -> DataFrame:
-    """Attach the rule-stage priority; order only inside partitions (no global sort)."""
+    """Attach the rule-stage priority; each session comes out whole and ordered, without a global sort."""
     df = checked.withColumn("seg_priority",
                             priority("rectype", SEGREGATION_PRIORITY, SEGREGATION_PRIORITY_DEFAULT))
-    return df.sortWithinPartitions("session_id", "seg_priority")
+    return df.repartition(*SESSION_KEY).sortWithinPartitions(*SESSION_KEY, "seg_priority")
 
 
 # --- Q7 -----------------------------------------------------------------
@@ -169,16 +170,33 @@ DEFAULT_RULES = ("negative_amount", "min_wager", "first_event", "bracket", "inte
 OPTIONAL_RULES = ("residual_credits", "multiple_cashouts", "final_balance")
 
 
-def violations(checked: DataFrame, rules=DEFAULT_RULES, chunk_micros="auto") -> DataFrame:
-    fns = {
-        "negative_amount": negative_amount_sessions,
-        "min_wager": min_wager_sessions,
-        "first_event": first_event_rule,
-        "bracket": lambda c: bracket_rule(c, chunk_micros),
-        "intensity": lambda c: zero_intensity(c, chunk_micros),
-        "residual_credits": residual_credits,
-        "multiple_cashouts": multiple_cashouts,
-        "final_balance": final_balance,
+def session_labels(checked: DataFrame, rules, min_wagers: int = 1, allowed=CASH_IN_FIRST_TYPES) -> DataFrame:
+    """The rules that are aggregates per session, in one aggregate: a violation row per rule that fires."""
+    kind, order = F.col("rectype"), sort_struct(ORDER)
+    some = lambda c: F.max(F.coalesce(c, F.lit(False)))
+    first = F.min(F.struct(order.alias("k"), kind.alias("v")))["v"]
+    last = F.max(F.struct(order.alias("k"), F.col("credit_meter").alias("v")))["v"]
+    wagers = F.coalesce(F.sum(((kind == "w") & (F.col("tran_amt") >= 0)).cast("long")), F.lit(0))
+    fires = {
+        "negative_amount": (LABEL_NEGATIVE_AMOUNT, some(F.col("tran_amt") < 0)),
+        "min_wager": (LABEL_SESSION_LENGTH, wagers < min_wagers),
+        "first_event": (LABEL_CASHIN_POSITION, ~first.isin(*allowed)),
+        "bracket": (LABEL_BRACKET, ~(some(kind == "pss") & some(kind == "pse"))),
+        "residual_credits": (LABEL_RESIDUAL, some((kind == "v") & (F.col("credit_meter") != 0))),
+        "multiple_cashouts": (LABEL_MORE_CASHOUTS, F.count_if(kind == "v") > 1),
+        "final_balance": (LABEL_CREDITMETER, last != 0),
     }
-    frames = [fns[r](checked).select(*VIOLATION_COLUMNS) for r in rules]
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    labels = F.array_compact(F.array(*[F.when(fires[r][1], F.lit(fires[r][0])) for r in rules if r in fires]))
+    per = _has_session(checked).groupBy(*SESSION_KEY).agg(labels.alias("_labels"))
+    return per.select(*SESSION_KEY, F.explode("_labels").alias("error_type"))
+
+
+def violations(checked: DataFrame, rules=DEFAULT_RULES, chunk_micros="auto") -> DataFrame:
+    """One row per session and rule it breaks."""
+    frames = [session_labels(checked, rules)]
+    if "bracket" in rules:
+        frames.append(empty_bracket(checked, chunk_micros))
+    if "intensity" in rules:
+        frames.append(zero_intensity(checked, chunk_micros))
+    out = reduce(DataFrame.unionByName, [f.select(*VIOLATION_COLUMNS) for f in frames])
+    return out.distinct() if "bracket" in rules else out  # both bracket rules may name a session

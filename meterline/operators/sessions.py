@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from meterline.functions.exprs import priority, seconds_between, session_id_expr, whole_seconds
 from meterline.operators.ordered import (
     CHUNK, CNT, DEFAULT_TARGET_ROWS, GROUP, RN, FillForward, Lag, Lead, RunningSum,
-    chunk_windows, ordered_scan, resolve_chunk, with_chunks,
+    chunk_windows, ordered_scan, resolve_chunk, sort_cols, with_chunks,
 )
 from meterline.params import ENTITY, SessionParams
 
@@ -36,6 +36,7 @@ POTENTIAL_START = "potential session start"
 CONTINUED = "game continued"
 SESSION_START = "session start"
 
+# The columns of the sessionized table, in its order.
 SESSIONIZED_COLUMNS = [
     "egm_id", "rectype", "session_id", "tran_ts", "seq", "credit_meter", "tran_amt",
     "payout", "theme_id", "theme_name", "device_id", "denom_id", "paytable", "player_id",
@@ -158,6 +159,8 @@ def sessionize(events: DataFrame, p: SessionParams = SessionParams(), chunk_micr
     cm = resolve_chunk(df, ENTITY, "tran_ts", chunk_micros, target_rows)
     base = with_chunks(df, ENTITY, "tran_ts", cm, ORDER)
     wl, wc = chunk_windows(ORDER)
+    if not cm:  # no key is hot: one window per machine
+        wl = Window.partitionBy(*ENTITY).orderBy(*sort_cols(ORDER))
     wall = wl.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     wrun = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rn, cnt = F.col(RN), F.col(CNT)
@@ -175,6 +178,13 @@ def sessionize(events: DataFrame, p: SessionParams = SessionParams(), chunk_micr
         "_lstart_ts": F.last(F.when(F.col("_lstart"), F.col("tran_ts")), ignorenulls=True).over(wrun),
     })
 
+    if not cm:
+        null = F.lit(None)
+        out = rows.withColumns({
+            "_pl_secs": null.cast("long"), "_nf_secs": null.cast("long"), "_first_start": F.lit(False),
+            "_before": F.lit(0).cast("long"), "_f_ts": null.cast("timestamp_ntz"), "_carry_id": null.cast("string")})
+        return _stitched(out, p)
+
     # level 2: per-chunk summary -> carries over the machine's chunks
     summary = rows.groupBy(GROUP, CHUNK).agg(
         F.max(F.when(rn == 1, F.col("_secs"))).alias("_f_secs"),
@@ -202,8 +212,12 @@ def sessionize(events: DataFrame, p: SessionParams = SessionParams(), chunk_micr
     carry = c.select(GROUP, CHUNK, "_pl_secs", "_nf_secs", "_first_start", "_before",
                      "_f_ts", "_carry_id")
 
-    # level 3: stitch
-    out = rows.join(carry, [GROUP, CHUNK], "inner")
+    return _stitched(rows.join(carry, [GROUP, CHUNK], "inner"), p)
+
+
+def _stitched(out: DataFrame, p: SessionParams) -> DataFrame:
+    """Level 3: the session columns from the local ones and the carries."""
+    rn, cnt = F.col(RN), F.col(CNT)
     prev_secs = F.when(rn == 1, F.col("_pl_secs")).otherwise(F.col("_p_secs"))
     next_secs = F.when(rn == cnt, F.col("_nf_secs")).otherwise(F.col("_n_secs"))
     is_start = F.when(rn == 1, F.col("_first_start")).otherwise(F.col("_lstart"))

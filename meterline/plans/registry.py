@@ -273,9 +273,15 @@ def q_meter_delta_starts(spark, sf):
 
 @register("dedup_events")
 def q_dedup_events(spark, sf):
+    """Landing rows of which every fifth was loaded twice and every fifteenth three times."""
     from meterline.operators import events as N
     L = _landing(spark, sf)
-    return N.secondary_tagged(L["secondarygamestarted_raw"], L["secondarygameended_raw"])
+
+    def again(df):
+        copies = F.when(F.col("id") % 15 == 0, 3).when(F.col("id") % 5 == 0, 2).otherwise(1)
+        return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
+
+    return N.secondary_tagged(again(L["secondarygamestarted_raw"]), again(L["secondarygameended_raw"]))
 
 
 @register("secondary_deltas")
@@ -287,8 +293,11 @@ def q_secondary_deltas(spark, sf):
 
 @register("canonical_projection")
 def q_canonical_projection(spark, sf):
+    """All eight single-source projections."""
+    from functools import reduce
     from meterline.operators import events as N
-    return N.canonical_projection(_landing(spark, sf), "bonus_award_paid")
+    L = _landing(spark, sf)
+    return reduce(DataFrame.unionByName, [N.canonical_projection(L, t) for t in N.PROJECTIONS])
 
 
 @register("cash_events")
@@ -458,3 +467,32 @@ def q_zero_intensity_day(spark, sf):
     from meterline.operators import quality as Q
     cm = chunk_width(spark, sf)
     return Q.zero_intensity(_checked(spark, sf, cm, fill_theme=False), chunk_micros=cm, grain="day")
+
+
+# --- the chunked path on ordinary data: a small target cuts every machine ------------
+def _small_ranges(spark, sf):
+    from meterline.operators.ordered import plan_chunks
+    from meterline.params import ENTITY
+    return plan_chunks(canon(spark, sf), ENTITY, "tran_ts", target_rows=20)
+
+
+@register("sessionized_ranges")
+def q_sessionized_ranges(spark, sf):
+    return sessionized(spark, sf, _small_ranges(spark, sf))
+
+
+@register("running_balance_ranges")
+def q_running_balance_ranges(spark, sf):
+    from meterline.operators import curate as C
+    from meterline.operators import quality as Q
+    cm = _small_ranges(spark, sf)
+    return C.running_balance(Q.clamp_payout(sessionized_table(spark, sf, cm)), chunk_micros=cm).select(
+        "event_id", "session_id", "credit_meter")
+
+
+@register("event_islands_ranges")
+def q_event_islands_ranges(spark, sf):
+    from meterline.operators.islands import islands
+    return islands(canon(spark, sf), chunk_micros=_small_ranges(spark, sf)).select(
+        "event_id", "rectype", "egm_id", "tran_ts", "seq", "credit_meter", "tran_amt", "customer",
+        "batch_id", "rectype_order", "calc_col", "grp", "final_num")
