@@ -39,7 +39,7 @@ def main(argv=None) -> dict:
     if a.stage == "ingest":
         if not (a.landing and a.batch):
             ap.error("ingest needs --landing and --batch")
-        out = {"status": P.ingest(spark, a.landing, wh, a.batch)}
+        out = P.ingest(spark, a.landing, wh, a.batch)._asdict()
     elif a.stage == "run":
         out = P.run_batch(spark, wh, a.customer, a.batch, params)
     elif a.stage == "raw-model":

@@ -6,9 +6,9 @@
   segregate   sessionized -> violations + quarantine (offending rows)
   curate      sessionized - invalid sessions -> curated
 
-Every table is partitioned by (customer, batch_id) and written with
-dynamic partition overwrite: re-running a batch replaces it, never
-duplicates it, and a failed job commits nothing. A job may be limited to
+Every table is partitioned by (customer, batch_id). A job replaces the
+partitions it processed, also those it has no row for any more: re-running a
+batch replaces it, never duplicates it and leaves no stale rows. A job may be limited to
 one tenant and batch (partition pruning on read) or run over all of them
 in one Spark job. Each stage reads the previous stage's table, which also
 cuts the lineage between stages.
@@ -17,9 +17,12 @@ cuts the lineage between stages.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.operators import curate as C
 from meterline.operators import events as N
@@ -28,8 +31,9 @@ from meterline.operators import sessions as Z
 from meterline.operators.ordered import plan_chunks
 from meterline.params import ENTITY, SessionParams
 from meterline.schemas import CANONICAL_COLUMNS, LANDING
-from meterline.sources.files import write_batch
-from meterline.streaming.incremental import load_pending_files
+from meterline.sources.files import PARTITION_COLUMNS, read_batches, replace_batches
+from meterline.sources.loadlog import published_loads
+from meterline.streaming.incremental import LoadResult, load_pending_files, read_log, read_or_empty
 
 RAW, SESSIONIZED, VIOLATIONS, QUARANTINE, CURATED = (
     "event_log", "sessionized", "violations", "quarantine", "curated")
@@ -45,32 +49,44 @@ class Warehouse:
 
     def read(self, spark: SparkSession, table: str, customer: str | None = None,
              batch_id: str | None = None) -> DataFrame:
-        df = spark.read.parquet(self.path(table))
-        if customer is not None:
-            df = df.where(F.col("customer") == customer)
-        if batch_id is not None:
-            df = df.where(F.col("batch_id") == batch_id)
-        return df
-
-    def read_or_empty(self, spark: SparkSession, table: str, schema, customer=None, batch_id=None):
-        """A landing table (with source-row ids); no files yet reads as an empty frame."""
-        import os
-        from pyspark.sql import types as T
-        p = self.path(table)
-        if p.startswith("/") and not os.path.exists(p):
-            return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField(N.ROW_ID, T.LongType())]))
-        return with_source_row_id(self.read(spark, table, customer, batch_id))
-
-    def write(self, df: DataFrame, table: str, **metrics) -> dict:
-        """Write the batch; ``metrics`` (name -> aggregate) are observed during the write."""
+        return only(read_batches(spark, self.path(table)), customer, batch_id)
+
+    def read_landing(self, spark: SparkSession, table: str, schema, customer=None, batch_id=None):
+        """The published rows of a landing table, with source-row ids; no files yet reads as an empty frame."""
+        log = read_log(spark, self.path(LOAD_LOG))
+        stored = T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])
+        df = with_source_row_id(read_or_empty(spark, self.path(table), stored))
+        df = df.join(published_loads(log), "load_id", "left_semi").drop("load_id")
+        return only(df, customer, batch_id)
+
+    def write(self, df: DataFrame, table: str, processed: DataFrame, **metrics) -> dict:
+        """Replace the ``processed`` (customer, batch_id) partitions; ``metrics`` (name -> aggregate)
+        are observed during the write."""
         obs = None
         if metrics:
             obs = Observation(table)
             df = df.observe(obs, *[agg.alias(name) for name, agg in metrics.items()])
-        write_batch(df, self.path(table))
+        replace_batches(df, self.path(table), processed)
         return dict(obs.get) if obs is not None else {}
 
 
+def only(df: DataFrame, customer: str | None, batch_id: str | None) -> DataFrame:
+    """One tenant's or batch's rows (partition filters)."""
+    if customer is not None:
+        df = df.where(F.col("customer") == customer)
+    if batch_id is not None:
+        df = df.where(F.col("batch_id") == batch_id)
+    return df
+
+
+def processed_batches(df: DataFrame, customer: str | None, batch_id: str | None) -> DataFrame:
+    """The partitions that a job over ``df`` answers for; one that is named counts even if it has no row."""
+    seen = df.select(*PARTITION_COLUMNS).distinct()
+    if customer is not None and batch_id is not None:
+        seen = seen.unionByName(df.sparkSession.createDataFrame([(customer, batch_id)], "customer string, batch_id string"))
+    return seen
+
+
 def rows_count():
     return F.count(F.lit(1))
 
@@ -93,21 +109,27 @@ def with_event_id(df: DataFrame) -> DataFrame:
 
 
 def with_source_row_id(df: DataFrame) -> DataFrame:
-    """Tag each landing row with a stable id of its file and position."""
-    return df.withColumn(N.ROW_ID, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+    """Tag each landing row with a stable id of its file and position (an empty frame has no file)."""
+    try:
+        return df.withColumn(N.ROW_ID, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+    except AnalysisException as e:
+        if e.getCondition() != "UNRESOLVED_COLUMN.WITH_SUGGESTION":
+            raise
+        return df.withColumn(N.ROW_ID, F.lit(None).cast("long"))
 
 
 def ingest(spark: SparkSession, landing_root: str, wh: Warehouse, batch_id: str,
-           source: str = "FM") -> str:
-    """Load pending landing files into ``<table>_raw``; returns 'skip' or 'proceed'."""
+           source: str = "FM") -> LoadResult:
+    """Load pending landing files into ``<table>_raw``; returns status ('skip' or 'proceed'), batch id and load ids."""
     return load_pending_files(spark, landing_root, wh.root, wh.path(LOAD_LOG), batch_id, source)
 
 
 def raw_model(spark: SparkSession, wh: Warehouse, customer: str | None = None,
               batch_id: str | None = None) -> DataFrame:
-    landing = {t: wh.read_or_empty(spark, t, s, customer, batch_id) for t, s in LANDING.items()}
+    landing = {t: wh.read_landing(spark, t, s, customer, batch_id) for t, s in LANDING.items()}
+    seen = reduce(DataFrame.unionByName, [df.select(*PARTITION_COLUMNS) for df in landing.values()])
     df = with_event_id(N.raw_event_log(landing))
-    return wh.write(df, RAW, rows=rows_count())
+    return wh.write(df, RAW, processed_batches(seen, customer, batch_id), rows=rows_count())
 
 
 def sessionize(spark: SparkSession, wh: Warehouse, customer: str | None = None,
@@ -115,7 +137,8 @@ def sessionize(spark: SparkSession, wh: Warehouse, customer: str | None = None,
     """Returns (chunk plan, metrics: rows, sessions, rows without a session)."""
     raw = wh.read(spark, RAW, customer, batch_id)
     cm = plan_chunks(raw, ENTITY, "tran_ts")
-    m = wh.write(Z.sessionize(raw, params, chunk_micros=cm), SESSIONIZED, rows=rows_count(),
+    m = wh.write(Z.sessionize(raw, params, chunk_micros=cm), SESSIONIZED,
+                 processed_batches(raw, customer, batch_id), rows=rows_count(),
                  sessions=F.count("unique_session_id"),
                  unsessioned=F.count_if(F.col("session_id").isNull()))
     return cm, m
@@ -129,8 +152,10 @@ def segregate(spark: SparkSession, wh: Warehouse, customer: str | None = None,
     rule_input = Q.checked_frame(sess, chunk_micros=chunk_micros, fill_theme=False)
     viol = Q.violations(rule_input, rules, chunk_micros=chunk_micros) \
         .withColumn("loaded_at", F.current_timestamp())
-    m = {"violations": wh.write(viol, VIOLATIONS, rows=rows_count())["rows"]}
-    q = wh.write(Q.negative_amount_rows(Q.checked_frame(sess, chunk_micros=chunk_micros)), QUARANTINE, rows=rows_count())
+    done = processed_batches(sess, customer, batch_id)
+    m = {"violations": wh.write(viol, VIOLATIONS, done, rows=rows_count())["rows"]}
+    q = wh.write(Q.negative_amount_rows(Q.checked_frame(sess, chunk_micros=chunk_micros)), QUARANTINE, done,
+                 rows=rows_count())
     m["quarantined_rows"] = q["rows"]
     return m
 
@@ -141,7 +166,8 @@ def curate(spark: SparkSession, wh: Warehouse, customer: str | None = None,
     viol = wh.read(spark, VIOLATIONS, customer, batch_id)
     if chunk_micros == "auto":
         chunk_micros = plan_chunks(sess, ENTITY, "tran_ts")
-    return wh.write(C.curated_sessions(sess, viol, chunk_micros=chunk_micros), CURATED, rows=rows_count(),
+    return wh.write(C.curated_sessions(sess, viol, chunk_micros=chunk_micros), CURATED,
+                    processed_batches(sess, customer, batch_id), rows=rows_count(),
                     sessions=F.count("unique_session_id"))
 
 

@@ -60,6 +60,9 @@ LANDING: dict[str, T.StructType] = {
         ("egmid", S), ("themeid", S), ("deviceid", S), ("eventdatetime", TS), ("paytableid", S), *TENANT),
     "cabinetprofilereceived_raw": struct(
         ("egmid", S), ("eventdatetime", TS), ("areaid", S), ("location", S), ("currencyid", S), *TENANT),
+    # loaded, but read by no later stage; nothing states their other columns
+    "gameavailability_raw": struct(("egmid", S), ("eventdatetime", TS), *TENANT),
+    "optionlistreceived_raw": struct(("egmid", S), ("eventdatetime", TS), *TENANT),
 }
 
 # --- Canonical event log ------------------------------------------------------
@@ -80,3 +83,8 @@ LOAD_LOG = struct(
     ("load_status", S), ("load_end", T.TimestampType()), ("duration_min", L), ("error_cnt", L),
     ("batch_id", S), ("data_min", TS), ("data_max", TS),
 )
+
+# Log rows as stored: with the load (one run over a set of files) that wrote them.
+STORED_LOG = T.StructType([*LOAD_LOG.fields, T.StructField("load_id", S, True)])
+REJECTS = struct(("source_name", S), ("table_name", S), ("file_name", S), ("error_columns", S), ("raw_row", S),
+                 ("batch_id", S), ("load_id", S))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,12 +51,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (local tests) is a scratch folder
-    created.
+    used as is. Only a local session without it gets a scratch folder,
+    which goes when the process ends; on a cluster a folder that executors
+    can't see would lose rows, so that raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="meterline-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d

@@ -2,14 +2,17 @@
 
 * Inventory lists files through the ``binaryFile`` source with the content
   column pruned: only path, length and modification time are read.
-* All pending files of a landing table are read by ONE parallel
-  ``spark.read.schema(S).parquet(*paths)``; unreadable files are skipped
-  (``ignoreCorruptFiles``), values that do not cast go to a rejects frame
-  instead of failing the load.
+* All pending files of a landing table are read by ONE parallel strict
+  read. Only when that read fails are the files examined one by one (in
+  tasks): unreadable ones are reported, files whose column types differ are
+  loaded through ``typed_load``, where values that do not cast go to a
+  rejects frame instead of failing the load.
+* Landing rows are appended under a load id and become visible when the
+  log completes that load (``streaming.incremental``).
 * Batch writes are idempotent: parquet partitioned by (customer, batch_id)
-  with dynamic partition overwrite, so re-running a batch replaces exactly
-  its partitions and a failed job leaves nothing behind (the job commit is
-  atomic).
+  with dynamic partition overwrite. A job names the partitions it
+  processed, and a marker row stands in each of them, so a partition whose
+  rows are all gone is replaced too (``replace_batches``).
 """
 
 from __future__ import annotations
@@ -58,16 +61,47 @@ def table_of(file_name: Column) -> Column:
 
 
 # --- I4 -----------------------------------------------------------------
-def read_landing(spark: SparkSession, paths: Sequence[str], schema: T.StructType,
+def source_file() -> Column:
+    """Path of the row's file as listed (the metadata column is URL-encoded; a plus sign is literal in it)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def read_landing(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None,
                  batch_id: str | None = None) -> DataFrame:
-    """One parallel read of all given files with the declared schema."""
-    df = (spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*paths)
-          .withColumn("_source_file", F.col("_metadata.file_path")))
+    """One parallel strict read of all given files: any unreadable file fails it.
+
+    ``schema=None``: with the files' own columns.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(*paths).withColumn("_source_file", source_file())
     if batch_id is not None:
         df = df.withColumn("batch_id", F.lit(batch_id))
     return df
 
 
+def examine(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, error, types) per file, found by decoding each file in a task.
+
+    ``error`` is NULL for a readable file; ``types`` names its columns' types.
+    """
+    def look(batches):
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        for batch in batches:
+            out = []
+            for path, content in zip(batch["path"], batch["content"]):
+                try:
+                    schema = pq.read_table(pa.BufferReader(content)).schema
+                    out.append((path, None, ",".join(sorted(f"{f.name.lower()}:{f.type}" for f in schema))))
+                except Exception as e:  # noqa: BLE001  whatever a damaged file raises is its error
+                    out.append((path, f"{type(e).__name__}: {e}"[:500], None))
+            yield pd.DataFrame(out, columns=["path", "error", "types"])
+
+    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
+    return files.repartition(len(paths)).mapInPandas(look, "path string, error string, types string")
+
+
 def typed_load(df: DataFrame, targets: Mapping[str, T.DataType], keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Cast text columns to their target types; split into (accepted, rejects).
 
@@ -108,7 +142,27 @@ def tenant_batch_scan(spark: SparkSession, path: str, customer: str, batch_id: s
 
 
 # --- I6, I10 ---------------------------------------------------------------
+MARKER = "_marker"
+
+
 def write_batch(df: DataFrame, path: str, partition_by: Sequence[str] = PARTITION_COLUMNS) -> None:
     """Idempotent write: the batch's partitions are replaced, others untouched."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
+
+
+def replace_batches(df: DataFrame, path: str, processed: DataFrame) -> None:
+    """Replace every partition in ``processed`` (customer, batch_id), also those that ``df`` has no row for."""
+    markers = processed.select(*PARTITION_COLUMNS).distinct().withColumn(MARKER, F.lit(True))
+    write_batch(df.withColumn(MARKER, F.lit(None).cast("boolean")).unionByName(markers, allowMissingColumns=True), path)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by ``replace_batches``, without its markers."""
+    df = spark.read.parquet(path)
+    return df.where(F.col(MARKER).isNull()).drop(MARKER) if MARKER in df.columns else df
+
+
+def append_load(df: DataFrame, path: str) -> None:
+    """Append rows under their load id (a partition column next to customer and batch)."""
+    df.write.mode("append").partitionBy(*PARTITION_COLUMNS, "load_id").parquet(path)

@@ -34,10 +34,15 @@ def in_progress_files(log: DataFrame, source: str) -> DataFrame:
 
     The optional guard: a run can refuse to start while any exist.
     """
-    state = log_state(log.where(F.col("source_name") == source))
+    state = log_state(log.where(F.col("source_name") == source), at=None)
     return state.where(F.col("load_status") == STARTED).select("file_name")
 
 
+def published_loads(log: DataFrame) -> DataFrame:
+    """Load ids with a ``Completed`` row: readers see the rows of these loads only."""
+    return log.where((F.col("load_status") == COMPLETED) & F.col("load_id").isNotNull()).select("load_id").distinct()
+
+
 def pending_status(pending: DataFrame) -> str:
     """'skip' when nothing is pending, else 'proceed' (one bounded probe)."""
     return "skip" if pending.isEmpty() else "proceed"
@@ -79,10 +84,19 @@ def minutes_between(start, end):
             - F.floor(F.unix_seconds(start.cast("timestamp")) / 60))
 
 
-def log_state(log: DataFrame, keys=("source_name", "file_name"), at: str = "load_start",
+def log_state(log: DataFrame, keys=("source_name", "file_name"), at: str | None = "load_start",
               tie: str | None = None) -> DataFrame:
-    """Latest row per file (an aggregate: max of a struct led by the time)."""
-    order = [F.col(at).alias("_o0")] + ([F.col(tie).alias("_o1")] if tie else [])
+    """Latest row per file (an aggregate: max of a struct led by the time).
+
+    ``at=None``: by the time of the entry itself, which is the end of a
+    closing row and the start of an opening one; at equal times a closing
+    row is later than the ``Started`` row it closes.
+    """
+    if at is None:
+        end = F.col("load_end") if "load_end" in log.columns else F.lit(None).cast("timestamp")
+        order = [F.coalesce(end, F.col("load_start")).alias("_o0"), (F.col("load_status") != STARTED).alias("_o1")]
+    else:
+        order = [F.col(at).alias("_o0")] + ([F.col(tie).alias("_o1")] if tie else [])
     other = [c for c in log.columns if c not in keys]
     latest = F.max(F.struct(*order, *[F.col(c) for c in other])).alias("_l")
     return (log.groupBy(*keys).agg(latest, F.count(F.lit(1)).alias("n_entries"))

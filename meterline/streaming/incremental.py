@@ -3,10 +3,13 @@
 Two forms:
 
 * ``load_pending_files``: inventory -> pending (minus ``Completed`` in the
-  load log) -> ``Started`` rows -> one parallel typed read per landing
-  table -> dynamic-overwrite write of the batch -> ``Completed`` rows with
-  per-file stats. On failure the batch's partitions were never committed;
-  ``Failed`` rows are logged and the error re-raised.
+  load log) -> ``Started`` rows -> one parallel strict read per landing
+  table -> rows appended under a fresh load id -> one append of closing log
+  rows with per-file stats. Readers see the rows of a load only when the log
+  has a ``Completed`` row of it, and all closing rows of a load are written
+  by one append, so a load is published whole or not at all. A file that
+  can't be read is logged ``Failed`` and stays pending; the others of its
+  load go through. Rows with values that don't cast go to the rejects table.
 * ``stream_available_now``: the same as a Structured Streaming file source
   with ``trigger(availableNow=True)``; the checkpoint is the processed-file
   log, so a re-run adds nothing and a new file adds only itself.
@@ -14,88 +17,174 @@ Two forms:
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+from typing import NamedTuple
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.schemas import LANDING, LOAD_LOG
+from meterline.schemas import LANDING, REJECTS, STORED_LOG
+from meterline.session import ensure_checkpoint_dir
 from meterline.sources import loadlog as LG
 from meterline.sources.files import (
-    PARTITION_COLUMNS, file_inventory, read_landing, root_pattern, table_of, write_batch,
+    PARTITION_COLUMNS, append_load, examine, file_inventory, read_landing, root_pattern, table_of, typed_load,
 )
 
+REJECTS_TABLE = "load_rejects"
+# Files of one load: their paths go through the driver, so a large backlog takes several loads.
+FILES_PER_LOAD = 10_000
+
+
+class LoadResult(NamedTuple):
+    status: str            # 'skip' or 'proceed'
+    batch_id: str
+    loads: tuple = ()      # load ids, in order
+
 
 def event_time_column(schema: T.StructType) -> str:
     """The first timestamp column of a landing table (its event time)."""
     return next(f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType))
 
 
-def file_stats(df: DataFrame, ts: str, root: str) -> DataFrame:
-    """Per loaded file: rows without an event time (errors), first and last event time."""
-    name = F.regexp_extract("_source_file", root_pattern(root), 2)
-    return (df.select(name.alias("file_name"), F.col(ts).alias("_ts"))
-            .groupBy("file_name")
-            .agg(F.count_if(F.col("_ts").isNull()).cast("long").alias("error_cnt"),
-                 F.min("_ts").alias("data_min"), F.max("_ts").alias("data_max")))
-
-
-def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """The load log; empty only when it does not exist yet (any other read
-    error propagates, so an unreadable log never makes every file pending)."""
-    from pyspark.errors import AnalysisException
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table with its declared schema; empty only when it does not exist yet
+    (any other read error propagates)."""
     try:
-        return spark.read.schema(LOAD_LOG).parquet(log_path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LOAD_LOG)
+        return spark.createDataFrame([], schema)
+
+
+def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    return read_or_empty(spark, log_path, STORED_LOG)
 
 
 def append_log(df: DataFrame, log_path: str) -> None:
-    df.write.mode("append").parquet(log_path)
+    df.coalesce(1).write.mode("append").parquet(log_path)
 
 
-def load_pending_files(spark: SparkSession, landing_root: str, target_root: str, log_path: str,
-                       batch_id: str, source: str = "FM", schemas: dict = LANDING,
-                       block_on_in_progress: bool = False) -> str:
-    """Load every pending landing file into its ``<table>`` folder; returns 'skip' or 'proceed'.
+def read_loaded(spark: SparkSession, path: str, schema: T.StructType, log: DataFrame) -> DataFrame:
+    """Landing rows of published loads (with their file and load id)."""
+    stored = T.StructType([*schema.fields, T.StructField("_source_file", T.StringType()),
+                           T.StructField("load_id", T.StringType())])
+    return read_or_empty(spark, path, stored).join(LG.published_loads(log), "load_id", "left_semi")
 
-    ``block_on_in_progress``: return 'skip' while any file's latest log row
-    is still ``Started`` (the optional in-progress guard).
 
-    The pending file list (metadata, not data) is taken once: the driver
-    needs the paths for the parallel read, and a fixed list keeps files
-    that arrive during the run for the next run.
-    """
-    log = read_log(spark, log_path)
-    if block_on_in_progress and not LG.in_progress_files(log, source).isEmpty():
-        return "skip"
-    inv = file_inventory(spark, landing_root, "*.parquet")
-    files = LG.pending_files(inv, log, source) \
-        .select("location", "file_name", table_of(F.col("file_name")).alias("tbl")).collect()
-    if not files:
-        return "skip"
-    pending = spark.createDataFrame([(r.location, r.file_name) for r in files],
-                                    "location string, file_name string")
-    started = LG.log_open(pending, source).withColumn("load_start", F.current_timestamp())
-    started = spark.createDataFrame(started.collect(), started.schema)  # one fixed start time
-    append_log(started, log_path)
+def load_table(spark: SparkSession, tbl: str, paths: list[str], schema: T.StructType, target_root: str,
+               batch_id: str, load_id: str, source: str, landing_root: str) -> dict[str, str]:
+    """Append the files of one landing table under the load id; returns {path: error} of unreadable ones."""
+    target = f"{target_root}/{tbl}"
+    stamp = {"batch_id": F.lit(batch_id), "load_id": F.lit(load_id)}
+    declared = T.StructType([f for f in schema.fields if f.name != "batch_id"])
+
+    def strict(some):
+        append_load(read_landing(spark, some, declared).withColumns(stamp), target)
+
     try:
-        stats = []
+        strict(paths)
+        return {}
+    except Exception:  # noqa: BLE001  some file is damaged or has other types: look at each
+        found = examine(spark, paths).collect()  # FILES_PER_LOAD rows at most
+    listed = {_bare(p): p for p in paths}
+    bad = {listed[_bare(r.path)]: r.error for r in found if r.error is not None}
+    by_types: dict[str, list[str]] = {}
+    for r in found:
+        if r.error is None:
+            by_types.setdefault(r.types, []).append(listed[_bare(r.path)])
+    for some in by_types.values():  # as many groups as there are different file layouts
+        raw = read_landing(spark, some, None)
+        have = {c.lower(): c for c in raw.columns}
+        text = raw.select(*[(F.col(f"`{have[f.name]}`").cast("string") if f.name in have else F.lit(None).cast("string"))
+                            .alias(f.name) for f in declared.fields], "_source_file")
+        targets = {f.name: f.dataType for f in declared.fields}
+        accepted, rejects = typed_load(text, targets, keep=("_source_file",))
+        append_load(accepted.withColumns(stamp), target)
+        name = F.regexp_extract("_source_file", root_pattern(landing_root), 2)
+        raw_row = F.to_json(F.struct(*[F.col(f"{c}_raw").alias(c) for c in targets]))
+        rejects.select(F.lit(source).alias("source_name"), F.lit(tbl).alias("table_name"), name.alias("file_name"),
+                       "error_columns", raw_row.alias("raw_row"), *[c.alias(n) for n, c in stamp.items()]) \
+            .write.mode("append").partitionBy("load_id").parquet(f"{target_root}/{REJECTS_TABLE}")
+    return bad
+
+
+def _bare(path: str) -> str:
+    """A path without its scheme, however many slashes follow it."""
+    return "/" + path.split(":", 1)[-1].lstrip("/")
+
+
+def load_stats(spark: SparkSession, tables: dict[str, T.StructType], target_root: str, load_id: str,
+               landing_root: str) -> DataFrame:
+    """Per file: rejected rows, first and last event time, from two columns of what the load has written."""
+    name = F.regexp_extract("_source_file", root_pattern(landing_root), 2).alias("file_name")
+    parts = []
+    for tbl, schema in tables.items():
+        stored = T.StructType([*schema.fields, T.StructField("_source_file", T.StringType()),
+                               T.StructField("load_id", T.StringType())])
+        parts.append(read_or_empty(spark, f"{target_root}/{tbl}", stored).where(F.col("load_id") == load_id)
+                     .select(name, F.col(event_time_column(schema)).alias("_ts"), F.lit(0).alias("_bad")))
+    rejects = read_or_empty(spark, f"{target_root}/{REJECTS_TABLE}", REJECTS).where(F.col("load_id") == load_id)
+    parts.append(rejects.select("file_name", F.lit(None).cast("timestamp_ntz").alias("_ts"), F.lit(1).alias("_bad")))
+    return reduce(DataFrame.unionByName, parts).groupBy("file_name").agg(
+        F.sum("_bad").cast("long").alias("error_cnt"), F.min("_ts").alias("data_min"), F.max("_ts").alias("data_max"))
+
+
+def _load(spark: SparkSession, files, landing_root: str, target_root: str, log_path: str, batch_id: str, source: str,
+          schemas: dict) -> str:
+    """One load: its files are published together, or none is."""
+    load_id = uuid.uuid4().hex
+    rows = spark.createDataFrame([(r.location, r.file_name) for r in files], "location string, file_name string")
+    now = spark.range(1).select(F.current_timestamp().alias("t")).first().t  # one start time of the load
+    started = LG.log_open(rows, source, now)
+    append_log(started.withColumn("load_id", F.lit(load_id)), log_path)
+    try:
+        bad, known = {}, {}
         for tbl in sorted({r.tbl for r in files}):
             paths = [r.location + r.file_name for r in files if r.tbl == tbl]
-            schema = T.StructType([f for f in schemas[tbl].fields if f.name != "batch_id"])
-            df = read_landing(spark, paths, schema, batch_id)
-            write_batch(df.drop("_source_file"), f"{target_root}/{tbl}", PARTITION_COLUMNS)
-            stats.append(file_stats(df, event_time_column(schema), landing_root))
-        all_stats = stats[0]
-        for st in stats[1:]:
-            all_stats = all_stats.unionByName(st)
-        append_log(LG.log_close(started, all_stats, batch_id), log_path)
+            if tbl not in schemas:
+                bad |= {p: "no landing table of this name" for p in paths}
+                continue
+            known[tbl] = schemas[tbl]
+            bad |= load_table(spark, tbl, paths, schemas[tbl], target_root, batch_id, load_id, source, landing_root)
+        failed = {r.file_name for r in files if r.location + r.file_name in bad}
+        stats = load_stats(spark, known, target_root, load_id, landing_root) if known else None
+        closed = LG.log_close(started.where(~F.col("file_name").isin(*failed)) if failed else started, stats, batch_id)
+        closed = closed.withColumn("error_cnt", F.coalesce("error_cnt", F.lit(0).cast("long")))
+        if failed:
+            lost = LG.log_close(started.where(F.col("file_name").isin(*failed)), None, batch_id, status=LG.FAILED)
+            closed = closed.unionByName(lost)
+        append_log(closed.withColumn("load_id", F.lit(load_id)), log_path)
     except Exception:
-        append_log(LG.log_close(started, None, batch_id, status=LG.FAILED), log_path)
+        lost = LG.log_close(started, None, batch_id, status=LG.FAILED)
+        append_log(lost.withColumn("load_id", F.lit(load_id)), log_path)
         raise
-    return "proceed"
+    return load_id
+
+
+def load_pending_files(spark: SparkSession, landing_root: str, target_root: str, log_path: str,
+                       batch_id: str, source: str = "FM", schemas: dict = LANDING,
+                       block_on_in_progress: bool = False, files_per_load: int = FILES_PER_LOAD) -> LoadResult:
+    """Load every pending landing file into its ``<table>`` folder.
+
+    ``block_on_in_progress``: return 'skip' while any file's latest log row
+    is still ``Started`` (the optional in-progress guard). The pending list
+    is fixed once, so files that arrive during the run wait for the next.
+    """
+    log = read_log(spark, log_path)
+    if block_on_in_progress and not LG.in_progress_files(log, source).isEmpty():
+        return LoadResult("skip", batch_id)
+    ensure_checkpoint_dir(spark)
+    pending = LG.pending_files(file_inventory(spark, landing_root, "*.parquet"), log, source).select(
+        "location", "file_name", table_of(F.col("file_name")).alias("tbl")).checkpoint(eager=True)
+    loads: list[str] = []
+    while files := (pending.orderBy("location", "file_name").offset(len(loads) * files_per_load)
+                    .limit(files_per_load).collect()):
+        loads.append(_load(spark, files, landing_root, target_root, log_path, batch_id, source, schemas))
+    return LoadResult("proceed" if loads else "skip", batch_id, tuple(loads))
 
 
 def stream_available_now(spark: SparkSession, source_dir: str, schema: T.StructType, target: str,

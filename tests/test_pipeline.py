@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from meterline.operators import events as N
 from meterline.plans import pipeline as P
 from meterline.plans.landing import landing_tables
-from meterline.sources.loadlog import log_state
-from meterline.streaming.incremental import read_log
+from meterline.schemas import LANDING
+from meterline.sources.loadlog import in_progress_files, log_state
+from meterline.streaming.incremental import REJECTS_TABLE, read_log
 from tests.conftest import SF_SMALL
 
 
@@ -29,15 +30,18 @@ def setup(spark, tmp_path_factory):
 
 
 def counts(spark, wh):
-    return {t: spark.read.parquet(wh.path(t)).count()
+    return {t: wh.read(spark, t).count()
             for t in (P.RAW, P.SESSIONIZED, P.VIOLATIONS, P.QUARANTINE, P.CURATED)}
 
 
 def test_ingest_then_pipeline(setup):
     spark, landing_root, wh, tables = setup
-    assert P.ingest(spark, landing_root, wh, "b1") == "proceed"
-    assert P.ingest(spark, landing_root, wh, "b1") == "skip"          # nothing pending
-    state = log_state(read_log(spark, wh.path(P.LOAD_LOG)), at="load_end")
+    got = P.ingest(spark, landing_root, wh, "b1")
+    assert (got.status, got.batch_id, len(got.loads)) == ("proceed", "b1", 1)
+    assert P.ingest(spark, landing_root, wh, "b1").status == "skip"          # nothing pending
+    log = read_log(spark, wh.path(P.LOAD_LOG))
+    assert in_progress_files(log, "FM").count() == 0
+    state = log_state(log, at=None)
     assert state.where(F.col("load_status") != "Completed").count() == 0
     loaded = spark.read.parquet(wh.path("primarygamestarted_raw"))
     assert loaded.count() == tables["primarygamestarted_raw"].count()
@@ -50,38 +54,138 @@ def test_ingest_then_pipeline(setup):
     assert metrics["sessionize"]["rows"] == first[P.SESSIONIZED]
     assert metrics["segregate"]["violations"] == first[P.VIOLATIONS]
     assert metrics["curate"]["rows"] == first[P.CURATED]
-    landing = {t: spark.read.parquet(wh.path(t)) for t in tables}
+    landing = {t: wh.read_landing(spark, t, tables[t].schema).drop(N.ROW_ID) for t in tables}
     assert first[P.RAW] == N.raw_event_log(landing).count()
     assert first[P.SESSIONIZED] == first[P.RAW]
     # re-running the batch (here through the command line) replaces, never duplicates
     from meterline.cli import main
     main(["run", "--warehouse", wh.root, "--batch", "b1"])
     assert counts(spark, wh) == first
-    sess = spark.read.parquet(wh.path(P.CURATED)).where(F.col("session_id").isNotNull()) \
+    sess = wh.read(spark, P.CURATED).where(F.col("session_id").isNotNull()) \
         .select("customer", "batch_id", "egm_id", "session_id").distinct()
-    bad = spark.read.parquet(wh.path(P.VIOLATIONS))
+    bad = wh.read(spark, P.VIOLATIONS)
     assert bad.where(F.col("session_id").isNull()).count() == 0
     assert sess.join(bad, ["customer", "batch_id", "egm_id", "session_id"]).count() == 0
 
 
-def test_new_and_corrupt_files(setup):
-    spark, landing_root, wh, tables = setup
-    if not os.path.exists(wh.path(P.LOAD_LOG)):
-        P.ingest(spark, landing_root, wh, "b1")
-    before = spark.read.parquet(wh.path("notestacked_raw")).count()
-    # a new file arrives, plus a corrupt one
-    new = tables["notestacked_raw"].limit(5)
-    new.drop("batch_id").coalesce(1).write.mode("overwrite").parquet(f"{landing_root}/notestacked/part-new")
+def rows(spark, wh, table="notestacked_raw"):
+    return wh.read_landing(spark, table, LANDING[table])
+
+
+def statuses(spark, wh):
+    return {r.file_name.split("/", 1)[1].split("/")[0]: (r.load_status, r.error_cnt)
+            for r in log_state(read_log(spark, wh.path(P.LOAD_LOG)), at=None).collect()}
+
+
+@pytest.fixture
+def small(spark, tmp_path):
+    """An empty warehouse and a function that lands some of the note rows as one file."""
+    tables = landing_tables(spark, SF_SMALL)
+    notes = tables["notestacked_raw"].drop("batch_id").cache()
+
+    def land(name, df=None, folder="notestacked", n=50):
+        (notes.limit(n) if df is None else df).coalesce(1).write.parquet(f"{tmp_path}/landing/{folder}/{name}")
+
+    return str(tmp_path / "landing"), P.Warehouse(str(tmp_path / "wh")), land, notes
+
+
+def test_a_second_load_of_a_batch_adds_its_rows(spark, small):
+    landing_root, wh, land, _ = small
+    land("one", n=40)
+    P.ingest(spark, landing_root, wh, "b1")
+    land("two words+plus", n=30)
+    assert P.ingest(spark, landing_root, wh, "b1").status == "proceed"
+    assert rows(spark, wh).count() == 70
+    assert P.ingest(spark, landing_root, wh, "b1").status == "skip"
+    stats = log_state(read_log(spark, wh.path(P.LOAD_LOG)), at=None)
+    assert stats.where("data_min is null or error_cnt <> 0").count() == 0  # also for the name with a blank and a plus
+    assert read_log(spark, wh.path(P.LOAD_LOG)).count() == 4
+
+
+def test_unreadable_and_unknown_files_fail_alone(spark, small):
+    landing_root, wh, land, notes = small
+    land("good", n=40)
+    land("other", folder="neverheardof", n=5)
     with open(f"{landing_root}/notestacked/broken.parquet", "wb") as f:
         f.write(b"not a parquet file")
-    assert P.ingest(spark, landing_root, wh, "b2") == "proceed"
-    after = spark.read.parquet(wh.path("notestacked_raw"))
-    assert after.count() == before + 5
-    assert after.where(F.col("batch_id") == "b2").count() == 5
+    assert P.ingest(spark, landing_root, wh, "b2").status == "proceed"
+    assert rows(spark, wh).count() == 40
+    got = statuses(spark, wh)
+    assert got["good"] == ("Completed", 0) and got["broken.parquet"][0] == "Failed" and got["other"][0] == "Failed"
+    os.remove(f"{landing_root}/notestacked/broken.parquet")
+    land("broken.parquet", n=7)  # the file comes again, whole
+    P.ingest(spark, landing_root, wh, "b2")
+    assert rows(spark, wh).count() == 47 and statuses(spark, wh)["broken.parquet"] == ("Completed", 0)
+
+
+def test_rows_that_do_not_cast_are_kept_apart(spark, small):
+    landing_root, wh, land, notes = small
+    land("good", n=10)
+    odd = notes.limit(30).withColumn("noteacceptorlogsequence", F.when(
+        F.monotonically_increasing_id() % 10 == 0, "n/a").otherwise(F.col("noteacceptorlogsequence").cast("string")))
+    land("text", odd.cache())
+    P.ingest(spark, landing_root, wh, "b3")
+    rejects = spark.read.parquet(f"{wh.root}/{REJECTS_TABLE}")
+    bad = odd.where("noteacceptorlogsequence = 'n/a'").count()
+    assert bad and rejects.count() == bad and rows(spark, wh).count() == 40 - bad
+    assert {r.error_columns for r in rejects.collect()} == {"noteacceptorlogsequence"}
+    assert statuses(spark, wh) == {"good": ("Completed", 0), "text": ("Completed", bad)}
+
+
+def test_a_failed_load_publishes_nothing(spark, small, monkeypatch):
+    from meterline.streaming import incremental as I
+    landing_root, wh, land, notes = small
+    land("one", n=20)
+    land("two", landing_tables(spark, SF_SMALL)["voucherissued_raw"].drop("batch_id").limit(10), folder="voucherissued")
+    real = I.load_table
+
+    def breaks(spark, tbl, *rest):
+        if tbl == "voucherissued_raw":
+            raise RuntimeError("the second table can't be written")
+        return real(spark, tbl, *rest)
+
+    monkeypatch.setattr(I, "load_table", breaks)
+    with pytest.raises(RuntimeError):
+        P.ingest(spark, landing_root, wh, "b1")
+    assert rows(spark, wh).count() == 0
+    monkeypatch.setattr(I, "load_table", real)
+    P.ingest(spark, landing_root, wh, "b2")
+    assert rows(spark, wh).count() == 20 and rows(spark, wh, "voucherissued_raw").count() == 10
+
+
+def test_a_backlog_takes_several_loads(spark, small):
+    from meterline.streaming.incremental import load_pending_files
+    landing_root, wh, land, _ = small
+    for k in range(5):
+        land(f"f{k}", n=4)
+    got = load_pending_files(spark, landing_root, wh.root, wh.path(P.LOAD_LOG), "b1", files_per_load=2)
+    assert len(got.loads) == 3 and rows(spark, wh).count() == 20
+
+
+def test_a_rerun_leaves_no_stale_rows(setup, tmp_path):
+    """Violations, quarantine and curated rows of a batch go when its corrected data have none."""
+    spark, landing_root, wh, tables = setup
+    if not os.path.exists(wh.path(P.SESSIONIZED)):
+        P.ingest(spark, landing_root, wh, "b1")
+        P.run_batch(spark, wh)
+    mine = P.Warehouse(str(tmp_path / "wh"))
+    sess = wh.read(spark, P.SESSIONIZED)
+    none = sess.limit(0)
+    done = sess.select("customer", "batch_id").distinct()
+    mine.write(sess, P.SESSIONIZED, done)
+    P.segregate(spark, mine)
+    P.curate(spark, mine)
+    assert all(n > 0 for n in (mine.read(spark, t).count() for t in (P.VIOLATIONS, P.QUARANTINE, P.CURATED)))
+    # corrected: no wager is negative, no session breaks a rule, as there is no session left
+    mine.write(none, P.SESSIONIZED, done)
+    for c, b in [(r.customer, r.batch_id) for r in done.collect()]:
+        P.segregate(spark, mine, c, b)
+        P.curate(spark, mine, c, b)
+    assert [mine.read(spark, t).count() for t in (P.VIOLATIONS, P.QUARANTINE, P.CURATED)] == [0, 0, 0]
 
 
 def test_copies_get_distinct_ids(setup):
     """The same landing event loaded from two files: two rows, two ids."""
     spark, landing_root, wh, tables = setup
-    raw = spark.read.parquet(wh.path(P.RAW))
+    raw = wh.read(spark, P.RAW)
     assert raw.select("event_id").distinct().count() == raw.count()
