@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import small_batches, table, text_or_empty
+from meterline.llm.common import partitions, small_batches, table, text_or_empty
 
 CAPACITY = 1024
 END_TOKEN = 2
@@ -203,7 +203,9 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             return pd.DataFrame(out, columns=["problem", "island", "lengths", "bins", "fill", "genome"])
         return run
 
+    tasks = min(problems * ISLANDS, 4 * partitions(rows.sparkSession))  # little data, much work: never coalesced
     for epoch in range(EPOCHS):
+        state = state.repartition(tasks, "problem", "island")
         state = state.groupBy("problem", "island").applyInPandas(epoch_of(epoch), STATE)
     best = state.groupBy("problem").agg(F.min_by("genome", F.struct("bins", "fill", "island", "genome")).alias("genome"))
     placed = (dealt.join(best, "problem")
