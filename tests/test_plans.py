@@ -1,5 +1,6 @@
 """Plan checks: shuffles, pruning and pushdown are what the design claims."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from meterline.operators import sessions as Z
@@ -7,7 +8,7 @@ from meterline.operators.events import canonical_projection, raw_event_log
 from meterline.plans.adapters import DRIVER_SESSION, canonical_events, table
 from meterline.plans.landing import landing_tables
 from meterline.sources.files import tenant_batch_scan, write_batch
-from tests.conftest import SF_SMALL
+from tests.conftest import SF, SF_SMALL
 
 
 def plan(df):
@@ -54,3 +55,19 @@ def test_rule_scan_prunes_columns(spark):
     p = Q.negative_amount_sessions(Q.checked_frame(s, chunk_micros=None))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "props" not in p
+
+
+def final_plan(df) -> str:
+    """The plan that ran, after adaptive execution."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("key,shuffles,scans", [
+    ("sessionized", 1, 1), ("session_fill", 1, 1), ("wager_events", 4, 4), ("violations", 7, 4), ("event_islands", 1, 1)])
+def test_executed_shuffles_and_scans(spark, key, shuffles, scans):
+    import __spark_entry__ as E
+    plan = final_plan(E.queries()[key](spark, SF))
+    ran = sum(" Exchange " in f" {line.lstrip(' +-:*()0123456789')}" for line in plan.splitlines())
+    assert ran <= shuffles, plan
+    assert plan.count("FileScan") + plan.count("Scan ExistingRDD") <= scans, plan

@@ -45,16 +45,17 @@ def test_properties(spark, canon):
     assert a == b
 
 
-def test_fused_plan_has_one_big_shuffle(spark, canon):
+def test_fused_plan_has_one_shuffle(spark, canon):
     df = Z.sessionize(canon, DRIVER_SESSION, chunk_micros=None)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    # one exchange for the rows (reused by the summary branch) + one for the small chunk table
-    assert plan.count("Exchange hashpartitioning(_scan_g") == 2
+    # no key is hot: one exchange of the rows, no carries, one scan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("FileScan") == 1
 
 
-def test_sessionize_with_per_machine_chunk_widths(spark, duck, canon):
+def test_sessionize_with_every_machine_hot(spark, duck, canon):
     from meterline.operators.ordered import plan_chunks
     from meterline.params import ENTITY
-    spec = plan_chunks(canon, ENTITY, "tran_ts", target_rows=10)   # every machine is hot
-    assert spec.per_key is not None
+    spec = plan_chunks(canon, ENTITY, "tran_ts", target_rows=10)
+    assert spec.ranges > 100
     assert_same(Z.sessionize(canon, DRIVER_SESSION, chunk_micros=spec), duck(), ORACLE["sessionized"])
