@@ -461,6 +461,30 @@ def q_incremental_load(spark, sf):
     return spark.read.schema(e.schema).parquet(sink)
 
 
+@register("logged_load")
+def q_logged_load(spark, sf):
+    """Note rows landed as two files of one batch, loaded one after the other, then once more.
+
+    The second file has its sequence as text, and every seventh of its rows
+    holds one that doesn't cast: those rows go to the rejects.
+    """
+    from meterline.schemas import LANDING
+    from meterline.session import scratch_path
+    from meterline.streaming.incremental import load_pending_files, read_loaded, read_log
+    landing, target = scratch_path(spark, "logged-landing"), scratch_path(spark, "logged-target")
+    log_path = f"{target}/load_log"
+    notes = _landing(spark, sf)["notestacked_raw"].drop("batch_id")
+    seq = F.col("noteacceptorlogsequence")
+    text = F.when(seq % 7 == 0, F.lit("n/a")).otherwise(seq.cast("string"))
+    for part in (notes.where(seq % 2 == 0), notes.where(seq % 2 == 1).withColumn("noteacceptorlogsequence", text)):
+        part.coalesce(1).write.mode("append").parquet(f"{landing}/notestacked")
+        load_pending_files(spark, landing, target, log_path, "b1")
+    load_pending_files(spark, landing, target, log_path, "b1")  # nothing is pending any more
+    schema = LANDING["notestacked_raw"]
+    return read_loaded(spark, f"{target}/notestacked_raw", schema, read_log(spark, log_path)).select(
+        *[f.name for f in schema.fields])
+
+
 @register("zero_intensity_day")
 def q_zero_intensity_day(spark, sf):
     """Q12 with pair times truncated to the day (wagers of a session never share a second here)."""
