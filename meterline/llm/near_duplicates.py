@@ -58,6 +58,7 @@ BLOCK_TOKENS = 1_000_000
 SEARCH_NODES = 8192
 COLUMNS = 8192  # token columns of one matrix product
 WORDS_KEPT = 200_000
+FILTER_BITS = 2**23  # 1 MB
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 _WORDS: dict[str, int] = {}
@@ -232,6 +233,25 @@ def in_blocks(rows: DataFrame, key: str, blocks: str, spread: str) -> DataFrame:
             .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other"))
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """A join side that grows with the documents: never broadcast, so the plan is the same at every size."""
+    return df.hint("merge")
+
+
+def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id may be among ``ids``, by a bitmap of FILTER_BITS hashed ids.
+
+    The bitmap has FILTER_BITS / 64 words whatever the input, so it may be
+    broadcast. It only spares work: what it lets through is joined exactly.
+    """
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), (c % 64).cast("int"))
+    words = (ids.select(at(ids.columns[0]).alias("at")).groupBy(F.floor(F.col("at") / 64).alias("word"))
+             .agg(F.bit_or(bit(F.col("at"))).alias("bits")))
+    return (docs.withColumn("at", at("id")).withColumn("word", F.floor(F.col("at") / 64))
+            .join(F.broadcast(words), "word").filter(F.col("bits").bitwiseAND(bit(F.col("at"))) != 0).drop("at", "word", "bits"))
+
+
 def candidate_links(nodes: DataFrame) -> DataFrame:
     """(a, b) spanning links of all buckets of all runs."""
     marks = nodes.select("node", "sketch")
@@ -239,18 +259,18 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
     for level in range(1, DEPTH + 1):
         rows = path_rows(nodes, level)
         if large is not None:
-            rows = rows.join(large.select(F.col("path").alias("parent")), "parent", "left_semi")
+            rows = rows.join(growing(large.select(F.col("path").alias("parent"))), "parent", "left_semi")
         rows = table(rows.select("path", "node"), f"paths-{level}") if level > 1 else rows.select("path", "node")
         sizes = table(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1), f"buckets-{level}")
-        small = rows.join(sizes.filter(F.col("n") <= SMALL).select("path"), "path", "left_semi")
+        small = rows.join(growing(sizes.filter(F.col("n") <= SMALL).select("path")), "path", "left_semi")
         n = sizes.filter(F.col("n") <= SMALL).agg(F.sum("n")).first()[0] or 0
         groups = max(1, math.ceil(n / BATCH_ROWS))
         batch = F.pmod(F.xxhash64("path", F.lit("batch")), F.lit(groups)).alias("batch")
-        found.append(small.join(marks, "node").select("path", "node", "sketch", batch)
+        found.append(small.join(growing(marks), "node").select("path", "node", "sketch", batch)
                      .groupBy("batch").applyInPandas(brute_buckets, "a binary, b binary"))
         large = sizes.filter(F.col("n") > SMALL)
     blocks = F.ceil(F.col("n") / SEARCH_NODES)
-    rest = rows.join(large.select("path", blocks.alias("blocks")), "path").join(marks, "node")
+    rest = rows.join(growing(large.select("path", blocks.alias("blocks"))), "path").join(growing(marks), "node")
     rest = in_blocks(rest, "path", "blocks", "node").select("path", "lo", "hi", "node", "sketch")
     found.append(rest.groupBy("path", "lo", "hi").applyInPandas(search_block, "a binary, b binary"))
     out = found[0]
@@ -309,9 +329,10 @@ def exact_links(docs: DataFrame, nodes: DataFrame, blobs: DataFrame, threshold:
             same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == n for s, n in zip(sets, batch["node"])]
             yield pd.DataFrame({"node": batch["node"], "tokens": [signed(s) for s in sets]})[same]
 
-    texts = docs.join(who.select("rep", "node"), F.col("id").eqNullSafe(F.col("rep"))).select("node", "text")
+    texts = (likely(docs, who.select("rep"))
+             .join(growing(who.select("rep", "node")), F.col("id").eqNullSafe(F.col("rep"))).select("node", "text"))
     sets = texts.mapInPandas(tokenise, "node binary, tokens array<long>").dropDuplicates(["node"])
-    rows = who.select("node", "copies", "blob").join(per, "blob").join(sets, "node")
+    rows = who.select("node", "copies", "blob").join(growing(per), "blob").join(growing(sets), "node")
     rows = in_blocks(rows, "blob", "blocks", "node")
     rows = rows.select("node", "copies", "blob", "tokens", "lo", "hi",
                        (F.col("own") != F.col("lo")).cast("int").alias("side"),
