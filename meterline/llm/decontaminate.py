@@ -29,7 +29,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,15 +148,18 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     out = docs.withColumns({items: F.array().cast("array<bigint>"), longest: F.lit(0)})
     for part in slices(benchmark, item_col, item_text_col):
         tests = spark.sparkContext.broadcast(part)
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in out.schema.fields])
 
-        def judge(batches: Iterator[pd.DataFrame], tests=tests) -> Iterator[pd.DataFrame]:
+        def judge(batches: Iterator[pa.RecordBatch], tests=tests) -> Iterator[pa.RecordBatch]:
             index = TestSet(tests.value)
             for batch in batches:
-                found = [index.leaks(t) for t in batch[text_col]]
-                yield batch.assign(**{
-                    items: [sorted([*map(int, old), *(i for i, _ in new)]) for old, new in zip(batch[items], found)],
-                    longest: [max([int(old), *(n for _, n in new)]) for old, new in zip(batch[longest], found)]})
+                found = [index.leaks(t) for t in batch.column(text_col).to_pylist()]
+                had, most = batch.column(items).to_pylist(), batch.column(longest).to_pylist()
+                new = {items: pa.array([sorted([*old, *(i for i, _ in f)]) for old, f in zip(had, found)],
+                                       pa.list_(pa.int64())),
+                       longest: pa.array([max([old, *(n for _, n in f)]) for old, f in zip(most, found)], pa.int32())}
+                yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names],
+                                                 names=batch.schema.names)
 
-        out = out.mapInPandas(judge, schema)
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in out.schema.fields])
+        out = out.mapInArrow(judge, schema)
     return out.withColumn(flag, F.size(items) > 0)

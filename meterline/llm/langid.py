@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,20 +121,21 @@ def text_evidence(df: DataFrame, text_col: str, languages: tuple[str, ...], log_
     model = df.sparkSession.sparkContext.broadcast(np.ascontiguousarray(log_p.T))
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
 
-    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.value
         for batch in batches:
             found = []
-            for text in batch[text_col]:
+            for text in batch.column(text_col).to_pylist():
                 grams = trigrams(text) if text else np.empty(0, np.uint32)
                 if not len(grams):
                     found.append(None)
                     continue
                 counts = np.bincount(grams, minlength=TRIGRAMS).astype(np.float32)
                 found.append((counts @ tables) * (min(len(grams), EVIDENCE) / len(grams)))
-            yield batch.assign(**{out: found})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.float32()))],
+                                             names=[*batch.schema.names, out])
 
-    return df.mapInPandas(weigh, schema)
+    return df.mapInArrow(weigh, schema)
 
 
 def smoothed(n: Column, above: Column) -> Column:

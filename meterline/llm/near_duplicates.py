@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,27 +141,30 @@ def described(docs: DataFrame, runs: int, threshold: float) -> DataFrame:
     schema = ("id long, text_key long, node binary, size int, sketch binary, " +
               ", ".join(f"paths{d} array<long>" for d in range(1, DEPTH + 1)))
 
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roots = mix(np.arange(1, runs + 1, dtype=np.uint64))
+        longs = pa.list_(pa.int64())
         for batch in batches:
-            out = []
-            for doc_id, key, text in zip(batch["id"], batch["text_key"], batch["text"]):
+            nodes, sizes, marks, paths_of = [], [], [], [[] for _ in range(DEPTH)]
+            for text in batch.column("text").to_pylist():
                 tokens = shingles(text)
-                levels, paths = [], roots
-                for _ in range(DEPTH):
-                    if not len(tokens) or not len(paths):
-                        levels.append(np.empty(0, np.int64))
-                        paths = np.empty(0, np.uint64)
-                        continue
-                    at, longer = chosen(tokens, paths, threshold)
-                    levels.append(signed(np.stack((paths[at], longer), axis=1).ravel()))
-                    paths = longer
-                out.append((doc_id, key, hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), len(tokens),
-                            sketch(tokens).tobytes(), *levels))
-            yield pd.DataFrame(out, columns=["id", "text_key", "node", "size", "sketch",
-                                             *(f"paths{d}" for d in range(1, DEPTH + 1))]).astype({"id": "Int64"})
-
-    return docs.select("id", F.xxhash64("text").alias("text_key"), "text").mapInPandas(describe, schema)
+                paths = roots if len(tokens) else np.empty(0, np.uint64)
+                for level in paths_of:
+                    if len(paths):
+                        at, longer = chosen(tokens, paths, threshold)
+                        level.append(signed(np.stack((paths[at], longer), axis=1).ravel()))
+                        paths = longer
+                    else:
+                        level.append(np.empty(0, np.int64))
+                nodes.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
+                sizes.append(len(tokens))
+                marks.append(sketch(tokens).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("text_key"), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()),
+                 pa.array(marks, pa.binary()), *(pa.array(level, longs) for level in paths_of)],
+                names=["id", "text_key", "node", "size", "sketch", *(f"paths{d}" for d in range(1, DEPTH + 1))])
+
+    return docs.select("id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(describe, schema)
 
 
 def path_rows(nodes: DataFrame, level: int) -> DataFrame:

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,19 +70,20 @@ def pieces(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = CAPAC
     """Token pieces of every text: (doc_id, piece, start, length, ids_crc32)."""
     small_batches(docs.sparkSession)
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary, pattern)
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = np.array(enc.encode_ordinary(text) + [end_token], dtype="<u4")
                 for k, (start, length) in enumerate(cuts(len(ids), capacity)):
                     out.append((doc_id, k, start, length, zlib.crc32(ids[start:start + length].tobytes())))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype(
-                {"doc_id": "Int64"})
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], names=names)
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return narrow.mapInPandas(encode, PIECES)
+    return narrow.mapInArrow(encode, PIECES)
 
 
 def best_fit(items, lengths: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:

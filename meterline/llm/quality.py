@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -177,15 +178,16 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "q
     model = spark.sparkContext.broadcast((idf, space, unit(x @ space).astype(np.float32),
                                           sample["label"].to_numpy(np.float64)))
 
-    def voted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, space, voters, marks = model.value
         for batch in batches:
-            if len(batch):
-                x = weighted(np.stack([term_counts(t) for t in batch["text"]]), idf)
-                yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"),
-                                    "score": np.clip(vote(unit(x @ space), voters, marks), 0, 1)})
+            if batch.num_rows:
+                x = weighted(np.stack([term_counts(t) for t in batch.column("text").to_pylist()]), idf)
+                found = np.clip(vote(unit(x @ space), voters, marks), 0, 1)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())],
+                                                 names=["doc_id", "score"])
 
-    return texts.mapInPandas(voted, "doc_id long, score double")
+    return texts.mapInArrow(voted, "doc_id long, score double")
 
 
 def judged(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, threshold: float = THRESHOLD) -> DataFrame:

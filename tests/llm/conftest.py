@@ -15,6 +15,7 @@ ODD_DOCS = [
     (5, "The same words stand here. And they stand here again, word for word, for all to read.", "en", "src0", 1),
     (6, "The same words stand here. And they stand here again, word for word, for all to read.", "en", "src0", 1),
     (None, "one two", "xx", "a.example.de", 7),
+    (2**60 + 1, "an id that a float can't hold, next to rows without an id", "en", "src0", 5),
     (7, "1234 5678 %%% 99", "de", "b.example.de", 16),
 ]
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
