@@ -40,6 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,7 +93,7 @@ def word_codes(words: list[str]) -> np.ndarray:
     for w in words:
         code = _WORDS.get(w)
         if code is None:
-            code = _WORDS[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+            code = _WORDS[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "replace"))
         out.append(code)
     return np.array(out, np.uint64)
 
@@ -111,12 +112,16 @@ def shingles(text: str) -> np.ndarray:
 
 
 def chosen(tokens: np.ndarray, paths: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(index into paths, extended path) of every token chosen at every path."""
+    """(index into paths, extended path) of every token chosen at every path.
+
+    Tokens and paths are well-mixed hashes, so a product with the path made
+    odd is hash enough to choose by.
+    """
     limit = np.uint64(min(2**64 - 1, int(2**64 / (threshold * len(tokens)))))
     at, out = [], []
     for lo in range(0, len(tokens), COLUMNS):
         part = tokens[lo:lo + COLUMNS]
-        h = mix(part[None, :] ^ (paths * GOLD)[:, None])
+        h = part[None, :] * (paths | np.uint64(1))[:, None]
         i, j = np.nonzero(h < limit)
         at.append(i)
         out.append(mix(paths[i] * GOLD + part[j]))
@@ -125,10 +130,10 @@ def chosen(tokens: np.ndarray, paths: np.ndarray, threshold: float) -> tuple[np.
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
     """SKETCH minhashes, one byte each."""
-    seeds = mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * GOLD)
+    seeds = mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * GOLD) | np.uint64(1)
     low = np.full(SKETCH, np.uint64(2**64 - 1))
     for lo in range(0, len(tokens), COLUMNS):
-        low = np.minimum(low, mix(tokens[lo:lo + COLUMNS][None, :] ^ seeds[:, None]).min(axis=1))
+        low = np.minimum(low, (tokens[lo:lo + COLUMNS][None, :] * seeds[:, None]).min(axis=1))
     return (mix(low) & np.uint64(255)).astype(np.uint8)
 
 
