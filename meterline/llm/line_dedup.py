@@ -80,6 +80,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
           .withColumn("line", F.trim("line")).filter(F.col("line") != ""))
     leaves = (at.select(leaf_of(F.col("line")).alias("leaf")).groupBy("leaf").count()
               .filter(F.col("count") >= min_docs).select("leaf"))
+    leaves = table(leaves, "lines-leaves")  # its own exchange in the join, so a hot leaf can be split
     seen = table(at.withColumn("leaf", leaf_of(F.col("line"))).join(leaves, "leaf", "left_semi")
                  .groupBy("line", "key", "pos").agg(F.min("leaf").alias("leaf"), F.min("id").alias("id")), "lines-seen")
     lines = seen.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
