@@ -48,6 +48,7 @@ UNDETERMINED = "und"
 TRIGRAMS = 8192
 EVIDENCE = 100
 SMOOTHING = 0.5
+NOISE = 0.2  # share of a text's trigrams that may come from names, codes and addresses
 KAPPA = 20.0
 PRIOR_UNDETERMINED = 0.01
 MIN_POSTERIOR = 0.5
@@ -113,7 +114,8 @@ def trigram_tables(texts: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
     for r in rows:
         counts[r["language"], r["trigram"]] += r["n"]
     counts = np.vstack((counts, np.ones(TRIGRAMS)))
-    return np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    p = (1 - NOISE) * counts / counts.sum(axis=1, keepdims=True) + NOISE / TRIGRAMS
+    return np.log(p).astype(np.float32)
 
 
 def text_evidence(df: DataFrame, text_col: str, languages: tuple[str, ...], log_p: np.ndarray, out: str) -> DataFrame:
