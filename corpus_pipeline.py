@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from meterline.llm import decontaminate, langid, line_dedup, near_duplicates, packing
 from meterline.llm.common import table
-from meterline.llm.queries import VOCABULARY
+from meterline.llm.queries import TOKENIZER, VOCABULARY
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the kept documents with their sequence and offset."""
-    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN,
+                                  added=packing.added_tokens(public_tokenizers.path(TOKENIZER)))
 
 
 STAGES = [

@@ -22,6 +22,7 @@ gives the same bins; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import json
 import math
 import zlib
 from bisect import bisect_left, insort
@@ -49,14 +50,24 @@ STATE = "problem long, island int, lengths array<int>, bins int, fill double, ge
 _ENCODERS: dict = {}
 
 
-def encoder(vocabulary: str, pattern: str):
-    """The byte-level BPE of a rank file, one per worker process."""
-    if vocabulary not in _ENCODERS:
+def added_tokens(tokenizer: str) -> dict[str, int]:
+    """The added tokens of a tokenizer's JSON file, which match in a text before it is split."""
+    with open(tokenizer, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+        raise ValueError("added tokens that depend on what stands around them aren't supported")
+    return {t["content"]: t["id"] for t in added}
+
+
+def encoder(vocabulary: str, pattern: str, added: dict[str, int]):
+    """The byte-level BPE of a rank file and its added tokens, one per worker process."""
+    key = (vocabulary, pattern, tuple(sorted(added.items())))
+    if key not in _ENCODERS:
         import tiktoken
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        _ENCODERS[vocabulary] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODERS[vocabulary]
+        _ENCODERS[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
+    return _ENCODERS[key]
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -66,18 +77,19 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = CAPACITY, end_token: int = END_TOKEN,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text", added: dict[str, int] | None = None) -> DataFrame:
     """Token pieces of every text: (doc_id, piece, start, length, ids_crc32)."""
     small_batches(docs.sparkSession)
+    added = added or {}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary, pattern)
+        enc = encoder(vocabulary, pattern, added)
         types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.array(enc.encode_ordinary(text) + [end_token], dtype="<u4")
+                ids = np.array(enc.encode(text, allowed_special="all") + [end_token], dtype="<u4")
                 for k, (start, length) in enumerate(cuts(len(ids), capacity)):
                     out.append((doc_id, k, start, length, zlib.crc32(ids[start:start + length].tobytes())))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], names=names)
@@ -224,6 +236,8 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = CAPACITY,
-                   end_token: int = END_TOKEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of all documents with their sequence and offset."""
-    return pack(table(pieces(docs, vocabulary, pattern, capacity, end_token, id_col, text_col), "pack-pieces"), capacity)
+                   end_token: int = END_TOKEN, id_col: str = "doc_id", text_col: str = "text",
+                   added: dict[str, int] | None = None) -> DataFrame:
+    """Pieces of all documents with their sequence and offset. ``added``: see ``added_tokens``."""
+    cut = pieces(docs, vocabulary, pattern, capacity, end_token, id_col, text_col, added)
+    return pack(table(cut, "pack-pieces"), capacity)

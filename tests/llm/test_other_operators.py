@@ -100,6 +100,26 @@ def test_packing_of_odd_rows(spark, odd_docs, no_docs, clashing):
     assert pack(no_docs).count() == 0
 
 
+def test_added_tokens_in_a_text_have_their_ids(spark, tmp_path):
+    """The ids are those of the JSON file with add_special_tokens=False, in the query and in the pipeline's stage."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    by_json = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n\n b", "<|endoftext|", "<|ENDOFTEXT|>",
+             "Zahl 12\u00b2 <|endoftext|>\u4e2d\u6587 \U0001f600", "word <|endoftext|> " * 900]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for got in (QUERIES["op6_genetic_packing"](spark, str(tmp_path)), corpus_pipeline.best_fit_packing(spark, docs, str(tmp_path))):
+        rows = {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in got.collect()}
+        want = {}
+        for doc_id, text in enumerate(texts):
+            ids = np.array(by_json.encode(text, add_special_tokens=False).ids + [2], "<u4")
+            for k, (start, n) in enumerate(packing.cuts(len(ids), 1024)):
+                want[doc_id, k] = (start, n, zlib.crc32(ids[start:start + n].tobytes()))
+        assert rows == want
+    assert by_json.encode(texts[0], add_special_tokens=False).ids == [31373, 220, 50256, 995]
+
+
 def test_genetic_operators_keep_every_piece():
     rng = np.random.default_rng(3)
     lengths = [int(x) for x in rng.integers(1, 1024, 700)]
