@@ -5,10 +5,19 @@ of a short window and ignores the others; a window's hash covers the picked
 words only, so a substituted word at an ignored position doesn't change it.
 Test windows are hashed under every mask, and every document position is
 looked up in the test hashes. A hit lines up the document with the test item
-on one diagonal. There the hit is verified word by word: the best run on the
-diagonal (a match counts 1, a mismatch ``-PENALTY``) is the overlap, and the
-document is contaminated if an overlap reaches ``min(MIN_OVERLAP, words of
-the item)`` words with at least ``MIN_AGREEMENT`` of them equal.
+on one diagonal. There the hit is verified word by word: a document is
+contaminated if any stretch of at least ``min(MIN_OVERLAP, words of the
+item)`` words has at least ``MIN_AGREEMENT`` of them equal; the longest such
+stretch is the overlap. A match counts 1 and a mismatch ``-PENALTY``, so a
+stretch qualifies if its sum isn't negative.
+
+Every such stretch has a seed. In one of 13 or more words, f words differ and
+at least 4 f, and never fewer than 11, are equal: four equal words stand
+together, or else it is three runs of one differing word between four of three
+equal words, which ``MASKS[1]`` hits. The items shorter than that are hashed
+under ``SHORT_MASKS`` too: with ``MASKS[0]`` they hit any five words with at
+most one differing, and every qualifying stretch of 5 to 12 words holds five
+such.
 
 The test set is read in slices of at most ``SLICE_WORDS`` words, whose
 hashes fit a broadcast; a larger test set takes more slices over the
@@ -17,7 +26,8 @@ judged where it is read, whole.
 
 Cases: a NULL or empty text isn't contaminated; NULL, empty and one- to
 three-word items give no seed and match nothing; equal items are each
-reported; repeated documents are each judged; empty tables on either side
+reported; an item without an id counts like any other and is reported as
+NULL; repeated documents are each judged; empty tables on either side
 give no hits; ``scan`` returns the columns of its input besides its own,
 whose names are prefixed until none clashes.
 """
@@ -38,9 +48,10 @@ from meterline.llm.common import free_name, small_batches
 
 # The word offsets that each mask looks at.
 MASKS = ((0, 1, 2, 3), (0, 1, 3, 5), (0, 2, 3, 6))
+SHORT_MASKS = ((0, 1, 2, 4), (0, 1, 3, 4), (0, 2, 3, 4))  # for items of fewer than MIN_OVERLAP words
 MIN_OVERLAP = 13
 MIN_AGREEMENT = 0.8
-PENALTY = 4.0
+PENALTY = 4.0  # MIN_AGREEMENT / (1 - MIN_AGREEMENT)
 SLICE_WORDS = 500_000
 WORD = re.compile(r"\w+")
 
@@ -67,14 +78,16 @@ def mix(code: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
 class TestSet:
     """Seed index of one slice of the test items."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.ids = np.array([i for i, _ in items], np.int64)
+    def __init__(self, items: list[tuple[int | None, str]]):
+        self.ids = [i for i, _ in items]
         words = [words_of(t) for _, t in items]
         self.code = {w: k + 1 for k, w in enumerate(sorted({w for ws in words for w in ws}))}
         self.words = [np.array([self.code[w] for w in ws], np.uint64) for ws in words]
+        short = [len(ws) < MIN_OVERLAP for ws in words]
+        self.masks = (*MASKS, *SHORT_MASKS) if any(len(ws) > 4 and s for ws, s in zip(words, short)) else MASKS
         hashes, where = [], []
         for item, code in enumerate(self.words):
-            for salt, mask in enumerate(MASKS):
+            for salt, mask in enumerate(self.masks if short[item] else MASKS):
                 h = mix(code, mask, salt)
                 hashes.append(h)
                 where.append(np.stack((np.full(len(h), item), np.arange(len(h))), axis=1))
@@ -85,7 +98,7 @@ class TestSet:
     def diagonals(self, code: np.ndarray) -> np.ndarray:
         """Distinct (item, document start - item start) of all seed hits of a document."""
         hits = []
-        for salt, mask in enumerate(MASKS):
+        for salt, mask in enumerate(self.masks):
             h = mix(code, mask, salt)
             at = np.flatnonzero(h)
             lo, hi = np.searchsorted(self.hashes, h[at], "left"), np.searchsorted(self.hashes, h[at], "right")
@@ -107,14 +120,12 @@ class TestSet:
         if same.sum() < MIN_AGREEMENT * need:
             return 0
         total = np.concatenate(([0.0], np.where(same, 1.0, -PENALTY).cumsum()))
-        rise = total - np.minimum.accumulate(total)
-        end = int(rise.argmax())
-        begin = int(total[:end + 1].argmin())
-        if end - begin >= need and same[begin:end].mean() >= MIN_AGREEMENT:
-            return end - begin
-        return len(same) if len(same) >= need and same.mean() >= MIN_AGREEMENT else 0
-
-    def leaks(self, text: str | None) -> list[tuple[int, int]]:
+        later = np.maximum.accumulate(total[::-1])[::-1]  # the most that is reached from each place on
+        ends = np.searchsorted(-later, -total, "right") - 1  # the last place that is no lower than each start
+        n = int((ends - np.arange(len(total))).max())
+        return n if n >= need else 0
+
+    def leaks(self, text: str | None) -> list[tuple[int | None, int]]:
         """(item id, overlap) of every item that the document holds."""
         get = self.code.get
         words = words_of(text)
@@ -124,18 +135,24 @@ class TestSet:
             n = self.overlap(code, int(item), int(start))
             if n:
                 best[item] = max(n, best.get(item, 0))
-        return sorted((int(self.ids[item]), n) for item, n in best.items())
+        return [(self.ids[item], n) for item, n in best.items()]
+
+
+def by_id(item_id: int | None) -> tuple[bool, int]:
+    """Sort key of ids: NULL before others."""
+    return item_id is not None, item_id or 0
 
 
-def slices(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[int, str]]]:
+def slices(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int | None, str]]]:
     """The test items in lists of about SLICE_WORDS words, fetched one list at a time."""
     items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter(
-        F.col("id").isNotNull() & F.col("text").isNotNull())
+        F.col("text").isNotNull())
     words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     n = max(1, math.ceil(words / SLICE_WORDS))
     for k in range(n):
-        yield sorted((r["id"], r["text"]) for r in
-                     items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect())
+        yield sorted(((r["id"], r["text"]) for r in
+                      items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect()),
+                     key=lambda item: (by_id(item[0]), item[1]))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
@@ -154,7 +171,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
             for batch in batches:
                 found = [index.leaks(t) for t in batch.column(text_col).to_pylist()]
                 had, most = batch.column(items).to_pylist(), batch.column(longest).to_pylist()
-                new = {items: pa.array([sorted([*old, *(i for i, _ in f)]) for old, f in zip(had, found)],
+                new = {items: pa.array([sorted([*old, *(i for i, _ in f)], key=by_id) for old, f in zip(had, found)],
                                        pa.list_(pa.int64())),
                        longest: pa.array([max([old, *(n for _, n in f)]) for old, f in zip(most, found)], pa.int32())}
                 yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names],

@@ -116,6 +116,60 @@ def test_decontamination_against_brute_force(spark, documents):
     assert len(got) >= 0.95 * len(near)
 
 
+def longest_by_force(doc, item):
+    """Longest stretch with 80 % agreement over all alignments; 0 if none is long enough."""
+    a, b = decontaminate.words_of(doc), decontaminate.words_of(item)
+    need, best = min(decontaminate.MIN_OVERLAP, len(b)), 0
+    for start in range(-len(b) + need, len(a) - need + 1):
+        lo, hi = max(0, -start), min(len(b), len(a) - start)
+        same = [a[start + k] == b[k] for k in range(lo, hi)]
+        best = max([best, *(j - i for i in range(len(same)) for j in range(i + need, len(same) + 1)
+                            if 5 * sum(same[i:j]) >= 4 * (j - i))])
+    return best
+
+
+def test_every_stretch_with_enough_agreement_is_found():
+    """Each pattern of up to 15 words, and random parts of longer items, against all stretches."""
+    import random
+    rng = random.Random(11)
+    cases = [tuple(m >> k & 1 for k in range(n)) for n in range(4, 16) for m in range(2 ** n) if 5 * m.bit_count() >= 4 * n]
+    cases += [(1,) * 12 + (0,) + (1,) * 3, *(((1,) * 12 + (0,) + (1,) * 4 + (0,)) * n for n in (1, 2, 4))]
+    for n, subs in ((16, 1), (16, 2), (20, 3), (20, 4), (30, 5)):
+        for _ in range(60):
+            out = set(rng.sample(range(n), subs))
+            cases.append(tuple(int(k not in out) for k in range(n)))
+    for number, same in enumerate(cases):
+        item = [f"w{k}" for k in range(len(same))]
+        doc = [w if s else f"x{k}" for k, (w, s) in enumerate(zip(item, same))]
+        if len(same) > 12 and number % 2:  # a part of a longer item, in a longer document
+            item = [f"a{k}" for k in range(15)] + item + [f"b{k}" for k in range(15)]
+            doc = [f"c{k}" for k in range(9)] + doc + [f"d{k}" for k in range(20)]
+        item, doc = " ".join(item), " ".join(doc)
+        want = longest_by_force(doc, item)
+        assert want and decontaminate.TestSet([(7, item)]).leaks(doc) == [(7, want)], same
+
+
+def test_decontamination_finds_all_that_brute_force_finds(spark, documents):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    items = [r["text"] for r in bench.collect()]
+    some = documents.filter("n_chars < 1500")
+    text = {r["doc_id"]: r["text"] for r in some.collect()}
+    got = {r["doc_id"] for r in decontaminate.scan(some, bench).filter("contaminated").collect()}
+    words = [set(decontaminate.words_of(i)) for i in items]
+    near = {d for d, t in text.items() if any(
+        len(w & set(decontaminate.words_of(t))) >= 0.8 * min(13, len(w)) and overlap_by_force(t, i)
+        for w, i in zip(words, items) if len(decontaminate.words_of(i)) >= 4)}
+    assert got == near
+
+
+def test_items_without_an_id_count(spark):
+    other = "a second item without an id that has as many words as the first one does have"
+    bench = spark.createDataFrame([(None, ITEM), (None, other), (3, ITEM)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {ITEM} y"), (2, f"x {other} y"), (3, "nothing of it")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["contaminated"], r["items"]) for r in decontaminate.scan(docs, bench).collect()}
+    assert got == {1: (True, [None, 3]), 2: (True, [None]), 3: (False, [])}
+
+
 def test_decontamination_in_slices_is_the_same(spark, documents):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     some = documents.filter("doc_id < 300")
