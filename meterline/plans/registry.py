@@ -463,9 +463,9 @@ def q_incremental_load(spark, sf):
 
 @register("logged_load")
 def q_logged_load(spark, sf):
-    """Note rows landed as two files of one batch, loaded one after the other, then once more.
+    """Note rows landed as two sets of files of one batch, loaded one after the other, then once more.
 
-    The second file has its sequence as text, and every seventh of its rows
+    The second set has its sequence as text, and every seventh of its rows
     holds one that doesn't cast: those rows go to the rejects.
     """
     from meterline.schemas import LANDING
@@ -477,7 +477,7 @@ def q_logged_load(spark, sf):
     seq = F.col("noteacceptorlogsequence")
     text = F.when(seq % 7 == 0, F.lit("n/a")).otherwise(seq.cast("string"))
     for part in (notes.where(seq % 2 == 0), notes.where(seq % 2 == 1).withColumn("noteacceptorlogsequence", text)):
-        part.coalesce(1).write.mode("append").parquet(f"{landing}/notestacked")
+        part.write.mode("append").parquet(f"{landing}/notestacked")
         load_pending_files(spark, landing, target, log_path, "b1")
     load_pending_files(spark, landing, target, log_path, "b1")  # nothing is pending any more
     schema = LANDING["notestacked_raw"]

@@ -3,8 +3,8 @@
 * Inventory lists files through the ``binaryFile`` source with the content
   column pruned: only path, length and modification time are read.
 * All pending files of a landing table are read by ONE parallel strict
-  read. Only when that read fails are the files examined one by one (in
-  tasks): unreadable ones are reported, files whose column types differ are
+  read. Only when that read fails are the files examined (footers one by
+  one, contents by parallel reads): unreadable ones are reported, files whose column types differ are
   loaded through ``typed_load``, where values that do not cast go to a
   rejects frame instead of failing the load.
 * Landing rows are appended under a load id and become visible when the
@@ -18,6 +18,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PARTITION_COLUMNS = ("customer", "batch_id")
+FOOTER_THREADS = 16  # footers asked for at a time, each by a job of one task
 
 
 # --- I1 -----------------------------------------------------------------
@@ -79,27 +81,59 @@ def read_landing(spark: SparkSession, paths: Sequence[str], schema: T.StructType
     return df
 
 
-def examine(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, error, types) per file, found by decoding each file in a task.
+def bare_path(path: str) -> str:
+    """A path without its scheme, however many slashes follow it."""
+    return "/" + path.split(":", 1)[-1].lstrip("/")
 
-    ``error`` is NULL for a readable file; ``types`` names its columns' types.
+
+def examine(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str | None, str | None]]:
+    """(path, error, types) per file, found by Spark's own reader.
+
+    ``error`` is NULL for a readable file; ``types`` names its columns' types,
+    taken from its footer. A file is damaged when decoding all its columns
+    gives fewer rows than its footer counts. No file's contents become a row,
+    so files may have any size.
     """
-    def look(batches):
-        import pandas as pd
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-        for batch in batches:
-            out = []
-            for path, content in zip(batch["path"], batch["content"]):
-                try:
-                    schema = pq.read_table(pa.BufferReader(content)).schema
-                    out.append((path, None, ",".join(sorted(f"{f.name.lower()}:{f.type}" for f in schema))))
-                except Exception as e:  # noqa: BLE001  whatever a damaged file raises is its error
-                    out.append((path, f"{type(e).__name__}: {e}"[:500], None))
-            yield pd.DataFrame(out, columns=["path", "error", "types"])
-
-    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-    return files.repartition(len(paths)).mapInPandas(look, "path string, error string, types string")
+    def footer(path: str) -> tuple[str, str | None, str | None]:
+        try:
+            fields = spark.read.parquet(path).schema.fields
+            return path, None, ",".join(sorted(f"{f.name.lower()}:{f.dataType.simpleString()}" for f in fields))
+        except Exception as e:  # noqa: BLE001  whatever a damaged file raises is its error
+            return path, f"{type(e).__name__}: {e}"[:500], None
+
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        found = list(pool.map(footer, paths))
+    by_types: dict[str, list[str]] = {}
+    for path, error, types in found:
+        if error is None:
+            by_types.setdefault(types, []).append(path)
+    damage: dict[str, str] = {}
+    for some in by_types.values():
+        damage |= _damage(spark, some)
+    return [(path, error or damage.get(path), None if path in damage else types) for path, error, types in found]
+
+
+def _damage(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """{path: error} of the files, all with the same types, whose contents can't be decoded whole."""
+    try:
+        stated = _rows_by_file(spark.read.parquet(*paths), [])
+        df = spark.read.option("ignoreCorruptFiles", True).parquet(*paths)
+        decoded = _rows_by_file(df, df.columns)
+    except Exception as e:  # noqa: BLE001  damage that the reader can't skip: find whose it is
+        if len(paths) == 1:
+            return {paths[0]: f"{type(e).__name__}: {e}"[:500]}
+        half = len(paths) // 2
+        return _damage(spark, paths[:half]) | _damage(spark, paths[half:])
+    rows = {path: (decoded.get(bare_path(path), 0), stated.get(bare_path(path), 0)) for path in paths}
+    return {path: f"{got} of {want} rows can be read" for path, (got, want) in rows.items() if got != want}
+
+
+def _rows_by_file(df: DataFrame, decode: Sequence[str]) -> dict[str, int]:
+    """Rows per file; the columns of ``decode`` are decoded, and with none of them the footers are counted."""
+    sizes = [F.length(F.col(f"`{c}`").cast("string")).alias(f"n{k}") for k, c in enumerate(decode)]
+    counted = df.select(source_file().alias("path"), *sizes).groupBy("path").agg(
+        F.count(F.lit(1)).alias("rows"), *[F.sum(f"n{k}") for k in range(len(decode))])
+    return {bare_path(r["path"]): r["rows"] for r in counted.collect()}
 
 
 def typed_load(df: DataFrame, targets: Mapping[str, T.DataType], keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:

@@ -89,13 +89,12 @@ def load_table(spark: SparkSession, tbl: str, paths: list[str], schema: T.Struct
         strict(paths)
         return {}
     except Exception:  # noqa: BLE001  some file is damaged or has other types: look at each
-        found = examine(spark, paths).collect()  # FILES_PER_LOAD rows at most
-    listed = {_bare(p): p for p in paths}
-    bad = {listed[_bare(r.path)]: r.error for r in found if r.error is not None}
+        found = examine(spark, paths)  # FILES_PER_LOAD rows at most
+    bad = {path: error for path, error, _ in found if error is not None}
     by_types: dict[str, list[str]] = {}
-    for r in found:
-        if r.error is None:
-            by_types.setdefault(r.types, []).append(listed[_bare(r.path)])
+    for path, error, types in found:
+        if error is None:
+            by_types.setdefault(types, []).append(path)
     for some in by_types.values():  # as many groups as there are different file layouts
         raw = read_landing(spark, some, None)
         have = {c.lower(): c for c in raw.columns}
@@ -112,11 +111,6 @@ def load_table(spark: SparkSession, tbl: str, paths: list[str], schema: T.Struct
     return bad
 
 
-def _bare(path: str) -> str:
-    """A path without its scheme, however many slashes follow it."""
-    return "/" + path.split(":", 1)[-1].lstrip("/")
-
-
 def load_stats(spark: SparkSession, tables: dict[str, T.StructType], target_root: str, load_id: str,
                landing_root: str) -> DataFrame:
     """Per file: rejected rows, first and last event time, from two columns of what the load has written."""

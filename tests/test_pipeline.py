@@ -132,6 +132,32 @@ def test_rows_that_do_not_cast_are_kept_apart(spark, small):
     assert statuses(spark, wh) == {"good": ("Completed", 0), "text": ("Completed", bad)}
 
 
+def test_files_too_large_for_a_row_are_examined(spark, small):
+    """No file's contents become a row: with a limit on such rows (as Spark has one at 2 GB) each file is still judged."""
+    landing_root, wh, land, notes = small
+    land("good", n=40)
+    land("text", notes.limit(30).withColumn("noteacceptorlogsequence", F.col("noteacceptorlogsequence").cast("string")))
+    land("damaged", n=50)
+    with open(f"{landing_root}/notestacked/footless.parquet", "wb") as f:
+        f.write(b"not a parquet file")
+    folder = f"{landing_root}/notestacked/damaged"
+    name = next(n for n in os.listdir(folder) if n.endswith(".parquet"))
+    with open(f"{folder}/{name}", "r+b") as f:  # the pages are lost, the footer is whole
+        f.seek(4)
+        f.write(b"\xff" * 400)
+    for crc in (n for n in os.listdir(folder) if n.endswith(".crc")):
+        os.remove(f"{folder}/{crc}")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "16")
+    try:
+        assert P.ingest(spark, landing_root, wh, "b1").status == "proceed"
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert rows(spark, wh).count() == 70
+    got = statuses(spark, wh)
+    assert got["good"] == ("Completed", 0) and got["text"] == ("Completed", 0)
+    assert got["damaged"][0] == "Failed" and got["footless.parquet"][0] == "Failed"
+
+
 def test_a_failed_load_publishes_nothing(spark, small, monkeypatch):
     from meterline.streaming import incremental as I
     landing_root, wh, land, notes = small
