@@ -118,4 +118,30 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLE = {"op2_template_lines": OP2, "op3_url_rules": OP3, "op8_sentence_spans": OP8, "op9_threshold_topk": OP9}
+OP11 = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT doc_id, text, u, len(u) AS n,
+         ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS p, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS q,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM units),
+cut AS (
+  SELECT *, array_to_string(u[1:least(p, q)], '') AS pre, array_to_string(u[least(p, q) + 1:greatest(p, q)], '') AS mid,
+         array_to_string(u[greatest(p, q) + 1:], '') AS suf
+  FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(coalesce(pre, ''))::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(coalesce(mid, ''))::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+              WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid)
+              ELSE concat('<S>', suf, '<P>', pre, '<M>', mid) END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+ORACLE = {"op2_template_lines": OP2, "op3_url_rules": OP3, "op8_sentence_spans": OP8, "op9_threshold_topk": OP9,
+          "op11_learned_rank_fim": OP11}

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import decontaminate, langid, line_dedup, near_duplicates, packing, quality, sharding, span_dedup, topk, url_rules
+from meterline.llm import (
+    alignment, byte_bpe, decontaminate, fill_in_middle, langid, line_dedup, near_duplicates, packing, quality, sharding, span_dedup,
+    topk, url_rules,
+)
 from meterline.session import scratch_path
 
 # The rule set that every page is judged by.
@@ -20,6 +23,7 @@ URL_RULES = (
 # The vocabulary of byte_bpe_50k.json as ranks, read by a faster library; with the JSON's added tokens the ids are the same.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +82,28 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "contaminated", "items", "longest_overlap")
 
 
+def op11_learned_rank_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    got = alignment.align(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+    digest = F.when(F.col("n_groups") == 0, "").otherwise(F.sha2("groups", 256))
+    got = alignment.weighed(got.withColumn("groups_sha256", digest).drop("groups"))
+    return got.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_monoid_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    files = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+    got = byte_bpe.decode(byte_bpe.encode(read(spark, sf_dir, "documents"), *files), *files)
+    return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_template_lines, op3_url_rules, op4_neighbour_quality, op5_chosen_path_join, op6_genetic_packing,
-    op7_virtual_slots, op8_sentence_spans, op9_threshold_topk, op10_spaced_seeds)}
+    op7_virtual_slots, op8_sentence_spans, op9_threshold_topk, op10_spaced_seeds, op11_learned_rank_fim,
+    op12_galloping_alignment, op13_monoid_bpe)}
