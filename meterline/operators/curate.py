@@ -31,9 +31,9 @@ def strict_prev_fill(df: DataFrame, cols=("theme_id", "theme_name"), chunk_micro
 
 # --- C4, C5 ---------------------------------------------------------------
 def running_balance(df: DataFrame, mapping=MOVEMENT, out: str = "credit_meter",
-                    extra_ops=(), chunk_micros="auto") -> DataFrame:
+                    extra_ops=(), chunk_micros="auto", keys=SESSION_KEY) -> DataFrame:
     df = df.withColumn("_move", movement("rectype", "tran_amt", "payout", mapping))
-    df = ordered_scan(df, SESSION_KEY, ORDER, "tran_ts",
+    df = ordered_scan(df, keys, ORDER, "tran_ts",
                       [RunningSum("_move", "_bal"), *extra_ops], chunk_micros=chunk_micros)
     return df.withColumn(out, F.col("_bal").cast(MONEY)).drop("_move", "_bal")
 

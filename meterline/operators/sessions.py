@@ -31,6 +31,10 @@ from meterline.params import ENTITY, SessionParams
 # then the event id as the total tie-breaker.
 ORDER = (("tran_ts", False), ("seq", True), ("sort_priority", False), ("event_id", False))
 
+# Columns that seed a machine's first chunk: last second, cash-out flag, starts and session so far.
+C_SECS, C_OUT, C_STARTS, C_SESSION = "_c_secs", "_c_out", "_c_starts", "_c_session"
+
+# The state texts.
 SESSION_END = "session end"
 POTENTIAL_START = "potential session start"
 CONTINUED = "game continued"
@@ -143,7 +147,7 @@ def sessionize_stepwise(events: DataFrame, p: SessionParams = SessionParams(),
 
 # --- Z1-Z11 fused -----------------------------------------------------------
 def sessionize(events: DataFrame, p: SessionParams = SessionParams(), chunk_micros="auto",
-               target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+               target_rows: int = DEFAULT_TARGET_ROWS, entity=ENTITY, carried: tuple[str, ...] = ()) -> DataFrame:
     """The sessionized table (Z11 columns) with one full shuffle of the rows.
 
     A row's start flag only needs the previous row (its cash-out flag and
@@ -153,14 +157,19 @@ def sessionize(events: DataFrame, p: SessionParams = SessionParams(), chunk_micr
     window over the chunks of a machine derives the first row's start
     flag, the starts before the chunk and the id of the last start before
     the chunk.
+
+    ``carried``: columns that every row of a machine holds alike, the state
+    that earlier batches left (see ``operators.continued``); it seeds the first
+    chunk, and the columns are returned after the others.
     """
     gap = F.lit(p.gap_seconds)
+    seed = {c: F.col(c) if carried else F.lit(None) for c in (C_SECS, C_OUT, C_STARTS, C_SESSION)}
     df = cash_flags(event_priority(events, p), p).withColumn("_secs", whole_seconds("tran_ts"))
-    cm = resolve_chunk(df, ENTITY, "tran_ts", chunk_micros, target_rows)
-    base = with_chunks(df, ENTITY, "tran_ts", cm, ORDER)
+    cm = resolve_chunk(df, entity, "tran_ts", chunk_micros, target_rows)
+    base = with_chunks(df, entity, "tran_ts", cm, ORDER)
     wl, wc = chunk_windows(ORDER)
     if not cm:  # no key is hot: one window per machine
-        wl = Window.partitionBy(*ENTITY).orderBy(*sort_cols(ORDER))
+        wl = Window.partitionBy(*entity).orderBy(*sort_cols(ORDER))
     wall = wl.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     wrun = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rn, cnt = F.col(RN), F.col(CNT)
@@ -179,11 +188,14 @@ def sessionize(events: DataFrame, p: SessionParams = SessionParams(), chunk_micr
     })
 
     if not cm:
-        null = F.lit(None)
+        first_secs, first_ts = ((F.first("_secs").over(wall), F.first("tran_ts").over(wall)) if carried else
+                                (F.lit(None).cast("long"), F.lit(None).cast("timestamp_ntz")))
         out = rows.withColumns({
-            "_pl_secs": null.cast("long"), "_nf_secs": null.cast("long"), "_first_start": F.lit(False),
-            "_before": F.lit(0).cast("long"), "_f_ts": null.cast("timestamp_ntz"), "_carry_id": null.cast("string")})
-        return _stitched(out, p)
+            "_pl_secs": seed[C_SECS].cast("long"), "_nf_secs": F.lit(None).cast("long"),
+            "_first_start": F.coalesce(seed[C_OUT].cast("boolean") & ((first_secs - seed[C_SECS].cast("long")) > gap), F.lit(False)),
+            "_before": F.coalesce(seed[C_STARTS], F.lit(0)).cast("long"), "_f_ts": first_ts,
+            "_carry_id": seed[C_SESSION].cast("string")})
+        return _stitched(out, p, carried)
 
     # level 2: per-chunk summary -> carries over the machine's chunks
     summary = rows.groupBy(GROUP, CHUNK).agg(
@@ -193,29 +205,34 @@ def sessionize(events: DataFrame, p: SessionParams = SessionParams(), chunk_micr
         F.max(F.when(rn == cnt, F.col("is_cash_out"))).alias("_l_out"),
         F.sum(F.col("_lstart").cast("long")).alias("_n_loc"),
         F.max(F.when(F.col("_lstart"), F.col("tran_ts"))).alias("_loc_last_ts"),
+        *[F.max(seed[c]).alias(f"_s{c}") for c in seed],
     )
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
+    first_chunk = F.row_number().over(wc) == 1
     c = summary.withColumns({
-        "_pl_secs": F.lag("_l_secs").over(wc), "_pl_out": F.lag("_l_out").over(wc),
+        "_pl_secs": F.when(first_chunk, F.col(f"_s{C_SECS}").cast("long")).otherwise(F.lag("_l_secs").over(wc)),
+        "_pl_out": F.when(first_chunk, F.col(f"_s{C_OUT}").cast("boolean")).otherwise(F.lag("_l_out").over(wc)),
         "_nf_secs": F.lead("_f_secs").over(wc),
     })
     c = c.withColumn("_first_start", F.coalesce(
         F.col("_pl_out") & ((F.col("_f_secs") - F.col("_pl_secs")) > gap), F.lit(False)))
     c = c.withColumn("_ch_starts", F.col("_n_loc") + F.col("_first_start").cast("long"))
-    c = c.withColumn("_before", F.coalesce(F.sum("_ch_starts").over(before), F.lit(0)).cast("long"))
+    c = c.withColumn("_before", (F.coalesce(F.sum("_ch_starts").over(before), F.lit(0))
+                                 + F.coalesce(F.col(f"_s{C_STARTS}"), F.lit(0))).cast("long"))
     c = c.withColumn("_ch_last_id", F.when(
         F.col("_ch_starts") > 0,
         session_id_expr(F.col(GROUP)["egm_id"],
                         F.coalesce(F.col("_loc_last_ts"), F.col("_f_ts")),
                         F.col("_before") + F.col("_ch_starts"), p.ts_format)))
-    c = c.withColumn("_carry_id", F.last("_ch_last_id", ignorenulls=True).over(before))
+    c = c.withColumn("_carry_id", F.coalesce(F.last("_ch_last_id", ignorenulls=True).over(before),
+                                             F.col(f"_s{C_SESSION}").cast("string")))
     carry = c.select(GROUP, CHUNK, "_pl_secs", "_nf_secs", "_first_start", "_before",
                      "_f_ts", "_carry_id")
 
-    return _stitched(rows.join(carry, [GROUP, CHUNK], "inner"), p)
+    return _stitched(rows.join(carry, [GROUP, CHUNK], "inner"), p, carried)
 
 
-def _stitched(out: DataFrame, p: SessionParams) -> DataFrame:
+def _stitched(out: DataFrame, p: SessionParams, keep: tuple[str, ...] = ()) -> DataFrame:
     """Level 3: the session columns from the local ones and the carries."""
     rn, cnt = F.col(RN), F.col(CNT)
     prev_secs = F.when(rn == 1, F.col("_pl_secs")).otherwise(F.col("_p_secs"))
@@ -239,4 +256,4 @@ def _stitched(out: DataFrame, p: SessionParams) -> DataFrame:
                              session_id_expr("egm_id", "_ls_ts", "_num", p.ts_format))
                        .otherwise(F.col("_carry_id")),
     })
-    return out.select(*SESSIONIZED_COLUMNS)
+    return out.select(*SESSIONIZED_COLUMNS, *keep)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterline.operators import continued as K
 from meterline.operators import curate as C
 from meterline.operators import events as N
 from meterline.operators import quality as Q
@@ -31,13 +32,14 @@ from meterline.operators import sessions as Z
 from meterline.operators.ordered import plan_chunks
 from meterline.params import ENTITY, SessionParams
 from meterline.schemas import CANONICAL_COLUMNS, LANDING
-from meterline.sources.files import PARTITION_COLUMNS, read_batches, replace_batches
+from meterline.sources.files import PARTITION_COLUMNS, read_batches, replace_batches, write_batch
 from meterline.sources.loadlog import published_loads
 from meterline.streaming.incremental import LoadResult, load_pending_files, read_log, read_or_empty
 
 RAW, SESSIONIZED, VIOLATIONS, QUARANTINE, CURATED = (
     "event_log", "sessionized", "violations", "quarantine", "curated")
 LOAD_LOG = "load_log"
+CONTINUED, CLOSINGS, CARRY = "continued", "session_closings", "session_carry"
 
 
 @dataclass(frozen=True)
@@ -182,3 +184,38 @@ def run_batch(spark: SparkSession, wh: Warehouse, customer: str | None = None,
     out["segregate"] = segregate(spark, wh, customer, batch_id, chunk_micros=cm)
     out["curate"] = curate(spark, wh, customer, batch_id, chunk_micros=cm)
     return out
+
+
+def carry_before(spark: SparkSession, wh: Warehouse, batch_id: str) -> DataFrame:
+    """The carry that the last batch before ``batch_id`` (by name) left; empty before the first."""
+    stored = read_or_empty(spark, wh.path(CARRY), T.StructType([*K.CARRY.fields, T.StructField("after", T.StringType())]))
+    before = stored.where(F.col("after") < batch_id).agg(F.max("after")).first()[0]
+    return stored.where(F.col("after") == before).drop("after") if before is not None else K.no_carry(spark)
+
+
+def continue_batch(spark: SparkSession, wh: Warehouse, batch_id: str, params: SessionParams = SessionParams()) -> dict:
+    """Sessions and balances of one batch (all tenants) as a continuation of the batches before it.
+
+    Batches are continued in the order of their names. Each leaves its own
+    version of the carry, so a rerun starts from the carry that it started
+    from before and replaces rows, closings and carry. A rerun changes what
+    later batches start from: ``stale`` names those, to be rerun in order.
+    """
+    def through(rows: DataFrame) -> DataFrame:
+        metrics.update(wh.write(rows, CONTINUED, processed_batches(raw, None, None), rows=rows_count(),
+                                starts=F.count("session_start"), late=F.count_if("late")))
+        return wh.read(spark, CONTINUED, batch_id=batch_id)
+
+    metrics: dict = {}
+    raw = wh.read(spark, RAW, batch_id=batch_id)
+    carry = carry_before(spark, wh, batch_id)
+    got = K.continue_sessions(raw, carry, params, through=through)
+    write_batch(got.closings.withColumn("decided_by", F.lit(batch_id)), wh.path(CLOSINGS), ("decided_by",))
+    write_batch(got.carry.withColumn("after", F.lit(batch_id)), wh.path(CARRY), ("after",))
+    later = spark.read.parquet(wh.path(CARRY)).where(F.col("after") > batch_id).select("after").distinct().orderBy("after")
+    return metrics | {"stale": [r.after for r in later.collect()]}
+
+
+def continued_log(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """All continued rows with what later batches decided about them."""
+    return K.with_closings(wh.read(spark, CONTINUED), spark.read.parquet(wh.path(CLOSINGS)).drop("decided_by"))
