@@ -520,3 +520,55 @@ def q_event_islands_ranges(spark, sf):
     return islands(canon(spark, sf), chunk_micros=_small_ranges(spark, sf)).select(
         "event_id", "rectype", "egm_id", "tran_ts", "seq", "credit_meter", "tran_amt", "customer",
         "batch_id", "rectype_order", "calc_col", "grp", "final_num")
+
+
+# --- sessions and balances over batch borders ---------------------------------------
+def _by_period(spark, sf):
+    """The canonical log in batches of eight days."""
+    day = F.floor(F.unix_seconds(F.col("tran_ts").cast("timestamp")) / 86400)
+    return canon(spark, sf).withColumn("batch_id", F.format_string("p%05d", F.floor(day / 8)))
+
+
+@register("sessions_over_batches")
+def q_sessions_over_batches(spark, sf):
+    """The log cut into batches, each continued from the carry of the ones before it, through the batch jobs."""
+    from meterline.plans import pipeline as P
+    from meterline.session import scratch_path
+    wh = P.Warehouse(scratch_path(spark, "continued"))
+    log = _by_period(spark, sf)
+    wh.write(log, P.RAW, log)
+    for b in wh.read(spark, P.RAW).select("batch_id").distinct().orderBy("batch_id").collect():
+        P.continue_batch(spark, wh, b.batch_id, DRIVER_SESSION)
+    return P.continued_log(spark, wh).select(
+        "event_id", "customer", "egm_id", "session_id", "session_start", "session_number", "session_state", "next_delta",
+        "prev_delta", "next_gap", "theme_id", "theme_name", "prev_theme_id", "balance")
+
+
+# --- named, bucketed tables -----------------------------------------------------------
+def _named(spark, df, name, **how):
+    """``df`` as a fresh named table, bucketed by machine."""
+    import uuid
+
+    from meterline.session import scratch_path
+    from meterline.sources import catalog
+    name = f"{name}_{uuid.uuid4().hex[:12]}"
+    catalog.declare(spark, name, df.schema, scratch_path(spark, name), buckets=16, **how)
+    catalog.replace_partitions(df, name, buckets=16)
+    return name
+
+
+@register("curated_bucketed")
+def q_curated_bucketed(spark, sf):
+    """Rules and curation read the sessionized table by name; its buckets spare their machine windows an exchange."""
+    from meterline.operators import curate as C
+    from meterline.operators import quality as Q
+    cm = chunk_width(spark, sf)
+    sess = spark.table(_named(spark, sessionized(spark, sf, cm), "sessionized"))
+    bad = Q.violations(Q.checked_frame(sess, chunk_micros=cm, fill_theme=False), chunk_micros=cm)
+    return C.curated_sessions(sess, bad, chunk_micros=cm)
+
+
+@register("event_islands_sql")
+def q_event_islands_sql(spark, sf):
+    from meterline.sources.catalog import islands_sql
+    return islands_sql(spark, _named(spark, canon(spark, sf), "events")).drop("time_gap")
