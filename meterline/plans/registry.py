@@ -485,6 +485,26 @@ def q_logged_load(spark, sf):
         *[f.name for f in schema.fields])
 
 
+@register("logged_stream_load")
+def q_logged_stream_load(spark, sf):
+    """The note rows of ``logged_load`` as a stream of files run after each set and once more."""
+    from meterline.schemas import LANDING
+    from meterline.session import scratch_path
+    from meterline.streaming import incremental as I
+    landing, target, ck = (scratch_path(spark, n) for n in ("stream-landing", "stream-target", "stream-ckpt"))
+    log_path = f"{target}/load_log"
+    notes = _landing(spark, sf)["notestacked_raw"].drop("batch_id")
+    seq = F.col("noteacceptorlogsequence")
+    text = F.when(seq % 7 == 0, F.lit("n/a")).otherwise(seq.cast("string"))
+    for part in (notes.where(seq % 2 == 0), notes.where(seq % 2 == 1).withColumn("noteacceptorlogsequence", text)):
+        part.write.mode("append").parquet(f"{landing}/notestacked")
+        I.stream_load(spark, landing, target, log_path, "b1", ck)
+    I.stream_load(spark, landing, target, log_path, "b1", ck)  # nothing has come since
+    schema = LANDING["notestacked_raw"]
+    return I.read_loaded(spark, f"{target}/notestacked_raw", schema, I.read_log(spark, log_path)).select(
+        *[f.name for f in schema.fields])
+
+
 @register("zero_intensity_day")
 def q_zero_intensity_day(spark, sf):
     """Q12 with pair times truncated to the day (wagers of a session never share a second here)."""

@@ -10,9 +10,15 @@ Two forms:
   by one append, so a load is published whole or not at all. A file that
   can't be read is logged ``Failed`` and stays pending; the others of its
   load go through. Rows with values that don't cast go to the rejects table.
-* ``stream_available_now``: the same as a Structured Streaming file source
-  with ``trigger(availableNow=True)``; the checkpoint is the processed-file
-  log, so a re-run adds nothing and a new file adds only itself.
+* ``stream_load``: the same as a stream of new files, each micro-batch loaded
+  through ``foreachBatch`` with the log, the rejects and the stats. A load
+  belongs to (query, epoch): an epoch that comes again after a failure is
+  skipped if the log has published it, and is loaded anew under another load
+  id if not, so what the broken attempt wrote is never seen.
+* ``stream_available_now``: rows of one declared schema straight from a file
+  stream into a table with ``trigger(availableNow=True)``, without a log; the
+  checkpoint is the processed-file log, so a re-run adds nothing and a new
+  file adds only itself.
 """
 
 from __future__ import annotations
@@ -128,9 +134,9 @@ def load_stats(spark: SparkSession, tables: dict[str, T.StructType], target_root
 
 
 def _load(spark: SparkSession, files, landing_root: str, target_root: str, log_path: str, batch_id: str, source: str,
-          schemas: dict) -> str:
+          schemas: dict, load_id: str | None = None) -> str:
     """One load: its files are published together, or none is."""
-    load_id = uuid.uuid4().hex
+    load_id = load_id or uuid.uuid4().hex
     rows = spark.createDataFrame([(r.location, r.file_name) for r in files], "location string, file_name string")
     now = spark.range(1).select(F.current_timestamp().alias("t")).first().t  # one start time of the load
     started = LG.log_open(rows, source, now)
@@ -181,6 +187,58 @@ def load_pending_files(spark: SparkSession, landing_root: str, target_root: str,
     return LoadResult("proceed" if loads else "skip", batch_id, tuple(loads))
 
 
+def unpublished_rows(spark: SparkSession, target_root: str, log_path: str, schemas: dict = LANDING) -> dict[str, int]:
+    """Rows per landing table that belong to loads which were never published."""
+    published = LG.published_loads(read_log(spark, log_path))
+    out = {}
+    for tbl, schema in schemas.items():
+        stored = T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])
+        lost = read_or_empty(spark, f"{target_root}/{tbl}", stored).join(published, "load_id", "left_anti")
+        if n := lost.count():
+            out[tbl] = n
+    return out
+
+
+# The columns of a listed file.
+FILE = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+                     T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
+
+
+def stream_load(spark: SparkSession, landing_root: str, target_root: str, log_path: str, batch_id: str, checkpoint: str,
+                source: str = "FM", schemas: dict = LANDING, files_per_load: int = FILES_PER_LOAD) -> LoadResult:
+    """Load the files that came since the checkpoint, ``files_per_load`` an epoch, then stop.
+
+    Only paths travel: the stream reads a file's name and never its content,
+    and the epoch's files are loaded as ``load_pending_files`` does it. Files
+    that the log holds as ``Completed`` already (by whichever form) are left
+    out. A file that can't be read is logged ``Failed``, the others of its
+    epoch go through; since a stream offers a file once, ``Failed`` files are
+    loaded by ``load_pending_files`` when they have been mended.
+    """
+    loads: list[str] = []
+
+    def load(files: DataFrame, epoch: int) -> None:
+        query = files.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        mine = f"{query}-{epoch}-"
+        log = read_log(spark, log_path)
+        if not LG.published_loads(log).where(F.col("load_id").startswith(mine)).isEmpty():
+            return  # this epoch was published before the checkpoint could note it
+        rx = root_pattern(landing_root)
+        listed = spark.createDataFrame([(r.path,) for r in files.select("path").distinct().collect()], "path string").select(
+            F.regexp_extract("path", rx, 1).alias("location"), F.regexp_extract("path", rx, 2).alias("file_name"))
+        new = LG.pending_files(listed, log, source).select("location", "file_name", table_of(F.col("file_name")).alias("tbl"))
+        if rows := new.orderBy("location", "file_name").collect():  # files_per_load at most
+            loads.append(_load(spark, rows, landing_root, target_root, log_path, batch_id, source, schemas,
+                               mine + uuid.uuid4().hex[:8]))
+
+    q = (spark.readStream.schema(FILE).format("binaryFile").option("pathGlobFilter", "*.parquet")
+         .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_load).load(landing_root)
+         .select("path").writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return LoadResult("proceed" if loads else "skip", batch_id, tuple(loads))
+
+
 def stream_available_now(spark: SparkSession, source_dir: str, schema: T.StructType, target: str,
                          checkpoint: str, partition_by=PARTITION_COLUMNS) -> None:
     """Process all files not yet in the checkpoint, then stop."""
