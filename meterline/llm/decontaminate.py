@@ -19,13 +19,14 @@ under ``SHORT_MASKS`` too: with ``MASKS[0]`` they hit any five words with at
 most one differing, and every qualifying stretch of 5 to 12 words holds five
 such.
 
-The test set is read in slices of at most ``SLICE_WORDS`` words, whose
+The test set is read in slices of about ``SLICE_WORDS`` words' bytes, whose
 hashes fit a broadcast; a larger test set takes more slices over the
 documents, never a larger broadcast. Documents aren't shuffled: each is
 judged where it is read, whole.
 
 Cases: a NULL or empty text isn't contaminated; NULL, empty and one- to
-three-word items give no seed and match nothing; equal items are each
+three-word items give no seed and match nothing; very long texts, and one word
+repeated in a text and an item, are judged whole in bounded memory; equal items are each
 reported; an item without an id counts like any other and is reported as
 NULL; repeated documents are each judged; empty tables on either side
 give no hits; ``scan`` returns the columns of its input besides its own,
@@ -53,6 +54,8 @@ MIN_OVERLAP = 13
 MIN_AGREEMENT = 0.8
 PENALTY = 4.0  # MIN_AGREEMENT / (1 - MIN_AGREEMENT)
 SLICE_WORDS = 500_000
+WORD_BYTES = 8  # a slice is bounded by bytes; text without blanks counts by them too
+LISTED = 10_000  # pairs of places of one seed in one document
 WORD = re.compile(r"\w+")
 
 
@@ -75,6 +78,18 @@ def mix(code: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
     return np.where(known, h, 0)
 
 
+def _runs(places: np.ndarray) -> list[tuple[int, int]]:
+    """(first, last) of each run of neighbouring numbers in an ascending list."""
+    cut = np.flatnonzero(np.diff(places) > 1)
+    return list(zip(places[np.concatenate(([0], cut + 1))].tolist(), places[np.concatenate((cut, [len(places) - 1]))].tolist()))
+
+
+def _by_first(rows: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """The second column's values for each value of the first; ``rows`` are sorted by the first."""
+    keys, start = np.unique(rows[:, 0], return_index=True)
+    return keys.tolist(), np.split(rows[:, 1], start[1:])
+
+
 class TestSet:
     """Seed index of one slice of the test items."""
 
@@ -95,19 +110,50 @@ class TestSet:
         order = np.argsort(h, kind="stable")
         self.hashes, self.where = h[order], (np.concatenate(where) if where else np.zeros((0, 2), np.int64))[order]
 
-    def diagonals(self, code: np.ndarray) -> np.ndarray:
-        """Distinct (item, document start - item start) of all seed hits of a document."""
-        hits = []
+    def diagonals(self, code: np.ndarray) -> dict[int, np.ndarray]:
+        """Per item, the distinct places in the document where its start lies by some seed hit (document start - item start).
+
+        A seed that stands at many places of both (one word repeated, say)
+        isn't listed pair by pair: its places are runs of neighbours, and two
+        runs give one range of places.
+        """
+        pairs, ranges = [], {}
         for salt, mask in enumerate(self.masks):
             h = mix(code, mask, salt)
             at = np.flatnonzero(h)
             lo, hi = np.searchsorted(self.hashes, h[at], "left"), np.searchsorted(self.hashes, h[at], "right")
             found = hi > lo
             at, lo, n = at[found], lo[found], (hi - lo)[found]
-            if len(at):
-                row = np.repeat(lo - np.concatenate(([0], n.cumsum()[:-1])), n) + np.arange(n.sum())
-                hits.append(np.stack((self.where[row, 0], np.repeat(at, n) - self.where[row, 1]), axis=1))
-        return np.unique(np.concatenate(hits), axis=0) if hits else np.zeros((0, 2), np.int64)
+            if not len(at):
+                continue
+            seed, times = np.unique(lo, return_inverse=True, return_counts=True)[1:]
+            many = n * times[seed] > LISTED
+            for first in np.unique(lo[many]):
+                here = lo == first
+                self._ranges(at[here], self.where[first:first + n[here][0]], ranges)
+            at, lo, n = at[~many], lo[~many], n[~many]
+            row = np.repeat(lo - (n.cumsum() - n), n) + np.arange(n.sum())
+            pairs.append(np.stack((self.where[row, 0], np.repeat(at, n) - self.where[row, 1]), axis=1))
+        out: dict[int, np.ndarray] = {}
+        if pairs:
+            listed = np.unique(np.concatenate(pairs), axis=0)
+            for item, starts in zip(*_by_first(listed)):
+                out[item] = starts
+        for item, some in ranges.items():
+            low = min(a for a, _ in some)
+            edge = np.zeros(max(b for _, b in some) - low + 2, np.int64)
+            for a, b in some:
+                edge[a - low] += 1
+                edge[b + 1 - low] -= 1
+            covered = np.flatnonzero(edge.cumsum()) + low
+            out[item] = np.union1d(out[item], covered) if item in out else covered
+        return out
+
+    def _ranges(self, at: np.ndarray, where: np.ndarray, ranges: dict[int, list]) -> None:
+        """Add the ranges of places that one seed gives: runs of the document's places less runs of an item's."""
+        ours = _runs(np.sort(at))
+        for item, starts in zip(*_by_first(where[np.lexsort((where[:, 1], where[:, 0]))])):
+            ranges.setdefault(item, []).extend({(a - d, b - c) for c, d in _runs(starts) for a, b in ours})
 
     def overlap(self, code: np.ndarray, item: int, start: int) -> int:
         """Length of the verified overlap of an item laid on the document at ``start``; 0 if none."""
@@ -130,12 +176,18 @@ class TestSet:
         get = self.code.get
         words = words_of(text)
         code = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
-        best: dict[int, int] = {}
-        for item, start in self.diagonals(code):
-            n = self.overlap(code, int(item), int(start))
-            if n:
-                best[item] = max(n, best.get(item, 0))
-        return [(self.ids[item], n) for item, n in best.items()]
+        out = []
+        for item, starts in self.diagonals(code).items():
+            size = len(self.words[item])
+            shared = np.minimum(size, len(code) - starts) - np.maximum(0, -starts)  # no overlap is longer
+            order, best = np.argsort(-shared, kind="stable"), 0
+            for k in order:
+                if shared[k] <= best:
+                    break
+                best = max(best, self.overlap(code, item, int(starts[k])))
+            if best:
+                out.append((self.ids[item], best))
+        return out
 
 
 def by_id(item_id: int | None) -> tuple[bool, int]:
@@ -144,11 +196,11 @@ def by_id(item_id: int | None) -> tuple[bool, int]:
 
 
 def slices(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int | None, str]]]:
-    """The test items in lists of about SLICE_WORDS words, fetched one list at a time."""
+    """The test items in lists of about SLICE_WORDS * WORD_BYTES bytes, fetched one list at a time."""
     items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter(
         F.col("text").isNotNull())
-    words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    n = max(1, math.ceil(words / SLICE_WORDS))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, math.ceil(size / (SLICE_WORDS * WORD_BYTES)))
     for k in range(n):
         yield sorted(((r["id"], r["text"]) for r in
                       items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect()),

@@ -14,7 +14,8 @@ A group holds one problem, so its size doesn't grow with the input, whatever
 the documents: pieces are dealt by row, not by content. Only lengths and row
 numbers enter the algorithm; texts and token ids stay where they were read.
 
-Cases: a NULL or empty text is the end token alone; repeated rows are packed
+Cases: a NULL or empty text is the end token alone; very long texts and runs
+of blanks are encoded whole, and their pieces are packed like any other; repeated rows are packed
 row by row; ties are broken by row number, so a rerun over the same table
 gives the same bins; an empty table gives no rows; other columns are ignored.
 """
@@ -24,6 +25,7 @@ from __future__ import annotations
 import base64
 import json
 import math
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -34,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterline.llm import byte_bpe
 from meterline.llm.common import partitions, small_batches, table, text_or_empty
 
 CAPACITY = 1024
@@ -47,7 +50,10 @@ WELL_FILLED = 0.99  # of the capacity
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 STATE = "problem long, island int, lengths array<int>, bins int, fill double, genome array<int>"
 
+LONG_RUN = 10_000  # characters of white space
+
 _ENCODERS: dict = {}
+_LONG_BLANK = re.compile(rf"\s{{{LONG_RUN}}}")
 
 
 def added_tokens(tokenizer: str) -> dict[str, int]:
@@ -70,6 +76,17 @@ def encoder(vocabulary: str, pattern: str, added: dict[str, int]):
     return _ENCODERS[key]
 
 
+def ids_of(text: str, vocabulary: str, pattern: str, added: dict[str, int]) -> list[int]:
+    """A text's ids. The rank file's library can't split very long runs of white space: such texts go to ``byte_bpe``."""
+    if len(text) <= LONG_RUN or not _LONG_BLANK.search(text):
+        return encoder(vocabulary, pattern, added).encode(text, allowed_special="all")
+    parts = re.split("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")", text) if added else [text]
+    coder, out = byte_bpe.coder(vocabulary, pattern), []
+    for part in parts:
+        out += [added[part]] if part in added else coder.encode(part)
+    return out
+
+
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n tokens; the first piece takes the remainder."""
     first = n % capacity or capacity
@@ -83,13 +100,12 @@ def pieces(docs: DataFrame, vocabulary: str, pattern: str, capacity: int = CAPAC
     added = added or {}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary, pattern, added)
         types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.array(enc.encode(text, allowed_special="all") + [end_token], dtype="<u4")
+                ids = np.array(ids_of(text, vocabulary, pattern, added) + [end_token], dtype="<u4")
                 for k, (start, length) in enumerate(cuts(len(ids), capacity)):
                     out.append((doc_id, k, start, length, zlib.crc32(ids[start:start + length].tobytes())))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], names=names)

@@ -10,10 +10,18 @@ input, so they may reach the driver and be broadcast. Row positions are
 numbered inside a slot (one window task per group of slots) and shifted by
 the slot's base inside its shard, so no task ever holds a shard.
 
+A record is hashed by its id and text together, so rows that share an id lie
+in many slots. Where one record is repeated so often that its slot holds more
+than ``HOT_SHARE`` of a shard besides its largest record, the slot is split
+into as many further slots as it takes, and its rows are dealt to them row by
+row. Each such slot holds at least that share of all bytes, so there are few,
+whatever the input.
+
 Cases: a NULL text counts as empty (size 1, checksum 0); a NULL id hashes by
-its text; repeated rows share a slot and get neighbouring positions; ties in
-a slot are ordered by (id, size, checksum); an empty table gives no rows;
-columns beyond the id and the text are ignored whatever their names.
+its text; repeated rows share a slot, unless it is hot; a very long text is one
+record, and a shard can't be smaller than it; ties in a slot are ordered by
+(id, size, checksum); an empty table gives no rows; columns beyond the id and
+the text are ignored whatever their names.
 """
 
 from __future__ import annotations
@@ -27,13 +35,14 @@ from pyspark.sql import functions as F
 from meterline.llm.common import table, text_or_empty
 
 N_SLOTS = 4096
+HOT_SHARE, PART_SHARE = 1 / 4, 1 / 16  # of a shard's mean bytes
 MAP_SCHEMA = "version int, slot int, shard int"
 
 
 def digest(docs: DataFrame, n_slots: int = N_SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, virtual_slot) of every record: no text travels on."""
     text = text_or_empty(text_col)
-    key = F.when(F.col(id_col).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(F.col(id_col)))
+    key = F.xxhash64(F.col(id_col), text)
     return docs.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
@@ -44,7 +53,30 @@ def digest(docs: DataFrame, n_slots: int = N_SLOTS, id_col: str = "doc_id", text
 
 def slot_stats(rows: DataFrame) -> DataFrame:
     """Bytes and rows per slot; partial aggregation leaves at most n_slots rows a task."""
-    return rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    return rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"),
+                                             F.max("size").alias("largest"))
+
+
+def split_slots(slot_bytes: np.ndarray, slot_rows: np.ndarray, largest: np.ndarray, n_shards: int) -> list[tuple[int, int, int]]:
+    """(slot, first further slot, how many) of each hot slot; at most n_shards / HOT_SHARE of them."""
+    part = max(1.0, slot_bytes.sum() * PART_SHARE / n_shards)
+    out, at = [], len(slot_bytes)
+    for slot in np.flatnonzero(slot_bytes - largest > slot_bytes.sum() * HOT_SHARE / n_shards):
+        parts = int(min(np.ceil(slot_bytes[slot] / part), slot_rows[slot]))
+        out.append((int(slot), at, parts))
+        at += parts
+    return out
+
+
+def dealt(rows: DataFrame, hot: list[tuple[int, int, int]]) -> DataFrame:
+    """Rows of hot slots dealt to their further slots, by their place in the written table."""
+    if not hot:
+        return rows
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("parts"))
+    few = rows.sparkSession.createDataFrame(hot, "virtual_slot int, first int, parts int")
+    return (rows.join(F.broadcast(few), "virtual_slot", "left")
+            .withColumn("virtual_slot", F.coalesce((F.col("first") + place).cast("int"), F.col("virtual_slot")))
+            .drop("first", "parts"))
 
 
 def initial_map(n_slots: int, n_shards: int) -> np.ndarray:
@@ -133,10 +165,15 @@ def shard(docs: DataFrame, map_path: str, n_shards: int = 16, n_slots: int = N_S
     spark = docs.sparkSession
     rows = table(digest(docs, n_slots, id_col, text_col), "shard-digest")
     stats = table(slot_stats(rows), "shard-slots")
-    slot_bytes = np.zeros(n_slots, dtype=np.int64)
-    for r in stats.collect():  # n_slots rows at most
-        slot_bytes[r["virtual_slot"]] = r["bytes"]
+    counted = {r["virtual_slot"]: r for r in stats.collect()}  # n_slots rows at most
+    held = lambda c, n: np.array([counted[k][c] if k in counted else 0 for k in range(n)], np.int64)
+    hot = split_slots(held("bytes", n_slots), held("rows", n_slots), held("largest", n_slots), n_shards)
+    if hot:
+        rows = table(dealt(rows, hot), "shard-dealt")
+        stats = table(slot_stats(rows), "shard-slots")
+        counted = {r["virtual_slot"]: r for r in stats.collect()}
+        n_slots = hot[-1][1] + hot[-1][2]
     first = initial_map(n_slots, n_shards)
     store_map(spark, map_path, 1, first)
-    store_map(spark, map_path, 2, rebalance(first, slot_bytes, n_shards))
+    store_map(spark, map_path, 2, rebalance(first, held("bytes", n_slots), n_shards))
     return assign(rows, stats, load_map(spark, map_path))

@@ -286,3 +286,30 @@ def test_entry_registers_all_queries():
     names = set(E.queries())
     assert {k for k in names if k.startswith("op")} == set(QUERIES) and "pipeline" in names
     assert set(E.oracle_sql()) <= names
+
+
+def test_a_million_blanks_are_packed(spark):
+    """Ids of texts with very long runs of white space are those of the JSON file, which takes such texts."""
+    from tokenizers import Tokenizer
+    by_json = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    added = packing.added_tokens(P.path("byte_bpe_50k.json"))
+    for text in (" " * 1_000_000, "a" + " " * 50_000 + "b", " " * 20_000 + "<|endoftext|>x" + "\n" * 30_000 + " y"):
+        assert packing.ids_of(text, P.path(VOCABULARY), P.PATTERN, added) == by_json.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame([(1, " " * 3_000_000), (2, "x")], "doc_id long, text string")
+    rows = packing.pack_documents(docs, P.path(VOCABULARY), P.PATTERN, added=added).collect()
+    assert {r["doc_id"] for r in rows} == {1, 2} and all(r["length"] <= 1024 for r in rows)
+
+
+@pytest.mark.parametrize("same_text", [False, True])
+def test_a_hot_id_is_spread_over_the_shards(spark, tmp_path, same_text):
+    """One id (or one record) on a third of the rows: bytes per shard stay near equal, positions gapless."""
+    text = F.lit("w" * 400) if same_text else F.concat(F.lit("w" * 395), F.col("id").cast("string"))
+    docs = spark.range(6000).select(F.when(F.col("id") < 2000, 7).otherwise(F.col("id")).alias("doc_id"), text.alias("text"))
+    rows = sharding.shard(docs, str(tmp_path / "map")).collect()
+    size, places = {}, {}
+    for r in rows:
+        size[r["shard"]] = size.get(r["shard"], 0) + r["size"]
+        places.setdefault(r["shard"], []).append(r["position"])
+    mean = sum(size.values()) / 16
+    assert len(rows) == 6000 and len(size) == 16 and max(size.values()) <= 1.05 * mean and min(size.values()) >= 0.95 * mean
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())

@@ -241,3 +241,17 @@ def test_markup_and_suffix(spark):
     got = df.select(langid.markup_language(F.col("html")), langid.suffix_of(F.col("host")),
                     langid.domain_of(F.col("host"))).collect()
     assert [tuple(r) for r in got] == [("fr", "fr", "example.fr"), (None, None, "localhost"), (None, None, None)]
+
+
+def test_one_word_repeated_in_item_and_text():
+    """Bounded work: no list of all pairs of places; the overlap is that of a plain search."""
+    import time
+    from meterline.llm.decontaminate import TestSet
+    start = time.time()
+    index = TestSet([(1, "same " * 2000), (2, "one two " * 700), (3, "a b c d e f g h i j k l m n o p")])
+    assert dict(index.leaks("same " * 20_000)) == {1: 2000}
+    assert dict(index.leaks("one two " * 3000 + "x " + "same " * 500)) == {1: 500, 2: 1400}
+    assert dict(index.leaks("q " * 50 + "a b c d e f g X i j k l m n o p")) == {3: 16}
+    huge = TestSet([(1, "same " * 100_000)])
+    assert dict(huge.leaks("same " * 100_000 + "other")) == {1: 100_000}
+    assert time.time() - start < 30
