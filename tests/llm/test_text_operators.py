@@ -250,7 +250,7 @@ def test_one_word_repeated_in_item_and_text():
     start = time.time()
     index = TestSet([(1, "same " * 2000), (2, "one two " * 700), (3, "a b c d e f g h i j k l m n o p")])
     assert dict(index.leaks("same " * 20_000)) == {1: 2000}
-    assert dict(index.leaks("one two " * 3000 + "x " + "same " * 500)) == {1: 500, 2: 1400}
+    assert dict(index.leaks("one two " * 3000 + "x " + "same " * 500)) == {1: 625, 2: 1400}  # 500 equal words and 125 others are 80 % equal
     assert dict(index.leaks("q " * 50 + "a b c d e f g X i j k l m n o p")) == {3: 16}
     huge = TestSet([(1, "same " * 100_000)])
     assert dict(huge.leaks("same " * 100_000 + "other")) == {1: 100_000}
