@@ -90,7 +90,8 @@ def op11_learned_rank_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    got = alignment.align(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+    got = alignment.align(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES),
+                          ranks=(public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN))
     digest = F.when(F.col("n_groups") == 0, "").otherwise(F.sha2("groups", 256))
     got = alignment.weighed(got.withColumn("groups_sha256", digest).drop("groups"))
     return got.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

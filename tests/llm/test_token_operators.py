@@ -198,6 +198,15 @@ def test_alignment_of_odd_texts(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
 
 
+def test_ids_by_ranks_are_those_of_the_json_file(documents):
+    fast = alignment.aligner(P.path(TOKENIZER), P.path(PIECES), FILES)
+    texts = [" " + (r["text"] or "") for r in documents.collect()] + ODD_TEXTS + random_texts(300, 4)
+    texts += [f"a{chr(c)}b{chr(c)}1{chr(c)} !{chr(c)}! {chr(c)} " for c in range(0x20, 0x3000)] + [" " * 600_000 + "x"]
+    for lo in range(0, len(texts), 64):
+        part = texts[lo:lo + 64]
+        assert fast.ids_a(part) == [e.ids for e in fast.a.encode_batch(part, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("stretch", [1, 3, 512])
 def test_galloping_against_sets(monkeypatch, stretch):
     monkeypatch.setattr(alignment, "STRETCH", stretch)
