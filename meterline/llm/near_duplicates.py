@@ -326,7 +326,8 @@ def exact_block(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
 
 def exact_links(docs: DataFrame, nodes: DataFrame, blobs: DataFrame, threshold: float) -> DataFrame:
     """(node, links, root): one row per node and block pair of the candidate classes."""
-    who = table(nodes.select("node", F.col("id").alias("rep"), "copies", "size").join(blobs, "node"), "blob-nodes")
+    who = table(nodes.select("node", F.col("least.id").alias("rep"), F.col("least.text_key").alias("rep_key"), "copies", "size")
+                .join(blobs, "node"), "blob-nodes")
     per = who.groupBy("blob").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens")).select(
         "blob", F.greatest(F.ceil(F.col("n") / BLOCK_NODES), F.ceil(F.col("tokens") / BLOCK_TOKENS), F.lit(1)).alias("blocks"))
     total = who.agg(F.sum("size")).first()[0] or 0
@@ -338,8 +339,9 @@ def exact_links(docs: DataFrame, nodes: DataFrame, blobs: DataFrame, threshold:
             same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == n for s, n in zip(sets, batch["node"])]
             yield pd.DataFrame({"node": batch["node"], "tokens": [signed(s) for s in sets]})[same]
 
-    texts = (likely(docs, who.select("rep"))
-             .join(growing(who.select("rep", "node")), F.col("id").eqNullSafe(F.col("rep"))).select("node", "text"))
+    same_text = F.col("id").eqNullSafe(F.col("rep")) & (F.col("text_key") == F.col("rep_key"))
+    texts = (likely(docs, who.select("rep")).withColumn("text_key", F.xxhash64("text"))
+             .join(growing(who.select("rep", "rep_key", "node")), same_text).select("node", "text"))
     sets = texts.mapInPandas(tokenise, "node binary, tokens array<long>").dropDuplicates(["node"])
     rows = who.select("node", "copies", "blob").join(growing(per), "blob").join(growing(sets), "node")
     rows = in_blocks(rows, "blob", "blocks", "node")
