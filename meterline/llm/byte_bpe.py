@@ -46,7 +46,8 @@ from pyspark.sql import functions as F
 
 from meterline.llm.common import small_batches, text_or_empty
 
-LEAF = 8  # bytes
+LEAF = 16  # bytes
+NONE = 2**32  # above every rank
 KEPT = 200_000
 KEPT_BYTES = 4096
 WORD_CHARS = 64
@@ -71,16 +72,20 @@ class Coder:
 
     def leaf(self, data: bytes) -> list[int]:
         """Plain merging: the adjacent pair of the lowest rank first, the leftmost of equals."""
+        get = self.ranks.get
         parts = [data[k:k + 1] for k in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                rank = self.ranks.get(parts[k] + parts[k + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, k
-            if best is None:
+        joined = [get(data[k:k + 2], NONE) for k in range(len(data) - 1)]  # rank of each part with the next
+        while joined:
+            best = min(joined)
+            if best == NONE:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            k = joined.index(best)
+            parts[k] += parts.pop(k + 1)
+            del joined[k]
+            if k < len(joined):
+                joined[k] = get(parts[k] + parts[k + 1], NONE)
+            if k:
+                joined[k - 1] = get(parts[k - 1] + parts[k], NONE)
         return [self.ranks[p] for p in parts]
 
     def settled(self, left: int, right: int) -> bool:
