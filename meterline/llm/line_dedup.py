@@ -3,10 +3,13 @@
 Every line walks a tree of fixed depth: first by its number of tokens, then
 by its first ``LEADING`` tokens (tokens with a digit count as the variable
 mark). The lines of a leaf are generalised position by position: a token
-that fewer than ``MIN_DOCS`` lines of the leaf have at its place is a
-variable field and becomes the mark. What remains is the line's template. A
-template recurs if at least ``CONSTANT`` of its tokens are constant and
-``MIN_DOCS`` different texts have it. Its lines are dropped from every text
+that less than one in ``COMMON`` lines of the leaf (or fewer than
+``MIN_DOCS``) have at its place is a variable field and becomes the mark. The
+rule is a share, so a template is the same however often it occurs. Where it
+leaves less than ``CONSTANT`` of a line constant, as in a leaf of many small
+templates, only tokens of fewer than ``MIN_DOCS`` lines become the mark. What
+remains is the line's template. A template recurs if at least ``CONSTANT`` of
+its tokens are constant and ``MIN_DOCS`` different texts have it. Its lines are dropped from every text
 but the first (the one with the smallest id), so nothing vanishes from the
 corpus altogether. Exact copies of a text count as one text here.
 
@@ -33,6 +36,7 @@ from meterline.llm.common import free_name, table
 LEADING = 3
 MIN_DOCS = 10
 CONSTANT = 0.7
+COMMON = 20  # a token of one in so many lines of its leaf is no field
 MARK = "<*>"
 
 
@@ -55,20 +59,29 @@ def leaf_of(line: Column) -> Column:
     return F.xxhash64(blanks, masked(F.split(F.substring_index(line, " ", LEADING), " ", -1)))
 
 
-def templates(lines: DataFrame, min_docs: int, constant: float) -> DataFrame:
+def templates(lines: DataFrame, min_docs: int, constant: float, common: int = COMMON) -> DataFrame:
     """(line, template): each line's template, if enough of it is constant.
 
-    ``lines``: (leaf, line, n) with distinct trimmed lines and how often they occur.
+    ``lines``: (leaf, line, n) with distinct trimmed lines and how often they
+    occur. A token's level is 2 if its share of the leaf is common, 1 if only
+    ``min_docs`` lines have it, else 0; the template keeps level 2 where that is
+    enough of the line, else levels 1 and 2. Lines that share the finer template
+    share the coarser one, so a line never leaves its group as the table grows.
     """
     at = lines.select("line", "leaf", "n", F.posexplode(masked(F.split("line", " ", -1))).alias("p", "token"))
+    totals = lines.groupBy("leaf").agg(F.sum("n").alias("total"))
     support = (at.groupBy("leaf", "p", "token").agg(F.sum("n").alias("support"))
-               .filter((F.col("support") >= min_docs) & (F.col("token") != MARK)).drop("support"))
-    kept = at.drop("n").join(support.withColumn("constant", F.lit(1)), ["leaf", "p", "token"], "left")
-    entry = F.struct("p", F.when(F.col("constant") == 1, F.col("token")).otherwise(MARK).alias("token"))
-    return (kept.groupBy("line").agg(F.sort_array(F.collect_list(entry)).alias("e"), F.count(F.lit(1)).alias("size"),
-                                     F.count("constant").alias("constants"))
-            .filter(F.col("constants") >= F.lit(constant) * F.col("size"))
-            .select("line", F.array_join("e.token", " ").alias("template")))
+               .filter((F.col("support") >= min_docs) & (F.col("token") != MARK)).join(totals, "leaf")
+               .select("leaf", "p", "token", F.when(F.col("support") * common >= F.col("total"), 2).otherwise(1).alias("level")))
+    kept = at.drop("n").join(support, ["leaf", "p", "token"], "left").withColumn("level", F.coalesce("level", F.lit(0)))
+    need = F.lit(constant) * F.col("size")
+    level = F.when(F.col("commons") >= need, 2).otherwise(1)
+    return (kept.groupBy("line").agg(F.sort_array(F.collect_list(F.struct("p", "token", "level"))).alias("e"),
+                                     F.count(F.lit(1)).alias("size"), F.count_if(F.col("level") >= 1).alias("constants"),
+                                     F.count_if(F.col("level") >= 2).alias("commons"))
+            .filter(F.col("constants") >= need)
+            .select("line", F.array_join(F.transform("e", lambda x: F.when(x["level"] >= level, x["token"]).otherwise(MARK)),
+                                         " ").alias("template")))
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
@@ -84,7 +97,8 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     seen = table(at.withColumn("leaf", leaf_of(F.col("line"))).join(leaves, "leaf", "left_semi")
                  .groupBy("line", "key", "pos").agg(F.min("leaf").alias("leaf"), F.min("id").alias("id")), "lines-seen")
     lines = seen.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
-    found = table(seen.join(templates(lines, min_docs, constant), "line")
+    general = table(templates(lines, min_docs, constant), "lines-general")  # its own exchange, so a hot line can be split
+    found = table(seen.join(general, "line")
                   .select(F.xxhash64("template", "leaf").alias("template"), "key", "pos", "id"), "lines-templates")
     recurring = (found.groupBy("template", "key").agg(F.min("id").alias("id"))
                  .groupBy("template").agg(F.count(F.lit(1)).alias("texts"), F.min(F.struct("id", "key")).alias("first"))

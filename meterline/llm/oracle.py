@@ -19,13 +19,19 @@ seen AS (
   GROUP BY leaf, line, text, pos),
 lines AS (SELECT leaf, line, any_value(ts) AS ts, count(*) AS n FROM seen GROUP BY leaf, line),
 cells AS (SELECT leaf, line, n, unnest(ts) AS token, unnest(range(len(ts))) AS p FROM lines),
+totals AS (SELECT leaf, sum(n) AS total FROM lines GROUP BY leaf),
 support AS (
-  SELECT leaf, p, token FROM cells WHERE token <> '<*>' GROUP BY leaf, p, token HAVING sum(n) >= 10),
+  SELECT leaf, p, token, sum(n) AS support FROM cells WHERE token <> '<*>' GROUP BY leaf, p, token HAVING sum(n) >= 10),
+fields AS (
+  SELECT c.line, c.leaf, c.p, CASE WHEN s.token IS NULL THEN '<*>' ELSE c.token END AS fine,
+         CASE WHEN s.support * 20 >= t.total THEN c.token ELSE '<*>' END AS coarse
+  FROM cells c JOIN totals t ON c.leaf = t.leaf
+  LEFT JOIN support s ON c.leaf = s.leaf AND c.p = s.p AND c.token = s.token),
 template AS (
-  SELECT line, any_value(c.leaf) AS leaf,
-         string_agg(CASE WHEN s.token IS NULL THEN '<*>' ELSE c.token END, ' ' ORDER BY c.p) AS template
-  FROM cells c LEFT JOIN support s ON c.leaf = s.leaf AND c.p = s.p AND c.token = s.token
-  GROUP BY line HAVING count(s.token) >= 0.7 * count(*)),
+  SELECT line, any_value(leaf) AS leaf,
+         CASE WHEN count(*) FILTER (WHERE coarse <> '<*>') >= 0.7 * count(*) THEN string_agg(coarse, ' ' ORDER BY p)
+              ELSE string_agg(fine, ' ' ORDER BY p) END AS template
+  FROM fields GROUP BY line HAVING count(*) FILTER (WHERE fine <> '<*>') >= 0.7 * count(*)),
 found AS (SELECT t.leaf, t.template, s.text, s.pos, s.id FROM seen s JOIN template t ON s.line = t.line),
 texts AS (SELECT leaf, template, text, min(id) AS id FROM found GROUP BY leaf, template, text),
 recurring AS (
@@ -70,23 +76,26 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 OP8 = r"""
-WITH cut AS (
-  SELECT doc_id, text, regexp_extract_all(text, '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS segs FROM documents),
+WITH marks AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^.!?。！？\n]*[.!?。！？\n]+|[^.!?。！？\n]+') AS sents FROM documents),
+bares AS (SELECT doc_id, text, sents, list_transform(sents, lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')) AS b FROM marks),
+cut AS (
+  SELECT doc_id, text, flatten(list_transform(range(len(sents)), lambda i:
+    CASE WHEN greatest(len(string_split_regex(b[i + 1], '\s+')), length(b[i + 1]) // 8) >= 20
+         THEN regexp_extract_all(sents[i + 1], '[^vkVK]*[vkVK][^ ]*[ ]*|[^vkVK]+') ELSE [sents[i + 1]] END)) AS segs
+  FROM bares),
 bare AS (SELECT doc_id, list_transform(segs, lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')) AS s FROM cut),
-words AS (SELECT doc_id, s, list_transform(s, lambda x: len(string_split_regex(x, '\s+'))) AS w FROM bare),
+words AS (
+  SELECT doc_id, s, list_transform(s, lambda x: greatest(len(string_split_regex(x, '\s+')), length(x) // 8)) AS w FROM bare),
 starts AS (SELECT doc_id, s, w, unnest(range(len(s))) AS pos FROM words),
+runs AS (SELECT *, unnest(range(1, 11)) AS run FROM starts),
 sums AS (
-  SELECT doc_id, s, pos, len(s) - pos AS rest,
-         list_sum(w[pos + 1:pos + 2]) AS w2, list_sum(w[pos + 1:pos + 4]) AS w4,
-         list_sum(w[pos + 1:pos + 8]) AS w8, list_sum(w[pos + 1:pos + 16]) AS w16 FROM starts),
-runs AS (
-  SELECT doc_id, s, pos, CASE
-    WHEN rest < 2 THEN NULL WHEN w2 >= 10 THEN 2
-    WHEN rest < 4 THEN NULL WHEN w4 >= 10 THEN 4
-    WHEN rest < 8 THEN NULL WHEN w8 >= 10 THEN 8
-    WHEN rest < 16 THEN NULL WHEN w16 >= 10 THEN 16 END AS run FROM sums),
+  SELECT doc_id, s, pos, run, list_sum(w[pos + 1:pos + run]) AS total, w[pos + 1] AS head, w[pos + run] AS tail
+  FROM runs WHERE pos + run <= len(s)),
 spans AS (
-  SELECT doc_id, pos, run, array_to_string(s[pos + 1:pos + run], chr(1)) AS span FROM runs WHERE run IS NOT NULL),
+  SELECT doc_id, pos, run, array_to_string(s[pos + 1:pos + run], chr(1)) AS span FROM sums
+  WHERE (run = 1 AND head >= 20) OR (run >= 2 AND total >= 10 AND (
+    (head < 20 AND (run = 2 OR total - tail < 10)) OR (tail < 20 AND (run = 2 OR total - head < 10))))),
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY span, run ORDER BY doc_id, pos) AS n FROM spans),
 drops AS (

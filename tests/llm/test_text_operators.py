@@ -255,3 +255,92 @@ def test_one_word_repeated_in_item_and_text():
     huge = TestSet([(1, "same " * 100_000)])
     assert dict(huge.leaks("same " * 100_000 + "other")) == {1: 100_000}
     assert time.time() - start < 30
+
+
+@pytest.mark.parametrize("n", [500, 5_000, 50_000])
+def test_a_template_is_found_however_often_it_occurs(spark, n):
+    """Two free fields of 150 values each, between lines that are each text's own."""
+    import random
+    rng = random.Random(n)
+    rows = [(i, f"this article was written by fa{chr(97 + rng.randrange(25))}{'xyzuvw'[rng.randrange(6)]} "
+                f"la{chr(97 + rng.randrange(25))}{'xyzuvw'[rng.randrange(6)]} for the daily news desk\n"
+                + " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) + f" x{i}") for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = line_dedup.drop_recurring(docs).filter("dropped > 0").agg({"dropped": "sum"}).first()[0]
+    assert got == n - 1
+
+
+def test_small_templates_of_a_mixed_leaf_stay_templates(spark):
+    """60 fixed lines of one leaf, each below a twentieth of it, recur in 10 texts each."""
+    import random
+    rng = random.Random(1)
+    lines = ["we are the " + " ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(60)]
+    rows = [(10 * k + i, f"{line}\nown text number {10 * k + i}") for k, line in enumerate(lines) for i in range(10)]
+    got = line_dedup.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.filter("text like 'we are%'").count() == 60
+
+
+def units_by_force(text):
+    import re
+    out = []
+    for s in re.findall(span_dedup.SENTENCE, text):
+        out += re.findall(span_dedup.PIECE, s) if words_by_force(s) >= span_dedup.LONG_WORDS else [s]
+    return out
+
+
+def words_by_force(unit):
+    import re
+    b = re.sub(r"^[ \t\n\r\f\v]+|[ \t\n\r\f\v]+$", "", unit)
+    return max(len(re.split(r"[ \t\n\r\f\v]+", b)), len(b) // span_dedup.WORD_CHARS)
+
+
+def spans_by_force(docs):
+    """{id: text} with every run of every length tried; ids are distinct."""
+    import re
+    bare = lambda u: re.sub(r"^[ \t\n\r\f\v]+|[ \t\n\r\f\v]+$", "", u)
+    first, gone = {}, {}
+    for i, text in sorted(docs.items()):
+        units = units_by_force(text)
+        b, w = [bare(u) for u in units], [words_by_force(u) for u in units]
+        cut = gone.setdefault(i, set())
+        for lo in range(len(units)):
+            for hi in range(lo + 1, len(units) + 1):
+                if (hi - lo == 1 and w[lo] >= span_dedup.LONG_WORDS) or (hi - lo > 1 and sum(w[lo:hi]) >= span_dedup.MIN_WORDS):
+                    if first.setdefault(tuple(b[lo:hi]), (i, lo)) != (i, lo):
+                        cut.update(range(lo, hi))
+    return {i: "".join(u for k, u in enumerate(units_by_force(t)) if k not in gone[i]) for i, t in docs.items()}
+
+
+def test_spans_against_every_run(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("text is not null and length(text) < 4000")
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = {r["doc_id"]: r["text"] for r in span_dedup.remove_repeated(docs.select("doc_id", "text")).collect()}
+    want = spans_by_force(rows)
+    assert {i for i in want if want[i] != got[i]} == set()
+    assert any(want[i] != rows[i] for i in want)
+
+
+def test_spans_of_random_small_texts_against_every_run(spark):
+    import random
+    rng = random.Random(3)
+    rows = {}
+    for i in range(300):
+        units = [" ".join(rng.choices("ab", k=rng.choice([1, 2, 3, 5, 9, 24]))) + "." for _ in range(rng.randrange(1, 7))]
+        rows[i] = " ".join(units)
+    got = dict(texts(span_dedup.remove_repeated(spark.createDataFrame(list(rows.items()), "doc_id long, text string"))))
+    assert got == spans_by_force(rows)
+
+
+def test_passages_without_marks_and_tails(spark):
+    import random
+    rng = random.Random(5)
+    letters = "bcdfghjklmnpqrstvwz"
+    say = lambda n: " ".join("".join(rng.choices(letters, k=5)) for _ in range(n))
+    plain, long, han = say(80), say(80) + ".", "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(200))
+    tail = f"{say(12)}. {say(3)}. {say(4)}."
+    rows = [(1, plain), (2, plain), (3, f"{say(9)}. {long} {say(9)}."), (4, f"{say(5)}. {long} {say(6)}."), (5, tail), (6, tail),
+            (7, han), (8, han), (9, f"{say(30)} {plain} {say(30)}")]
+    got = dict(texts(span_dedup.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert got[2] == "" and got[6] == "" and got[8] == "" and all(got[i] == dict(rows)[i] for i in (1, 3, 5, 7))
+    assert len(got[4].split()) == 11
+    assert len(got[9].split()) < 60 + 20  # all but the cuts at the passage's ends
