@@ -78,15 +78,15 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 OP8 = r"""
 WITH marks AS (
   SELECT doc_id, text, regexp_extract_all(text, '[^.!?。！？\n]*[.!?。！？\n]+|[^.!?。！？\n]+') AS sents FROM documents),
-bares AS (SELECT doc_id, text, sents, list_transform(sents, lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')) AS b FROM marks),
+bares AS (SELECT doc_id, text, sents, list_transform(sents, lambda x: trim(replace(replace(replace(x, chr(10), ' '), chr(9), ' '), chr(13), ' '))) AS b FROM marks),
 cut AS (
   SELECT doc_id, text, flatten(list_transform(range(len(sents)), lambda i:
-    CASE WHEN greatest(len(string_split_regex(b[i + 1], '\s+')), length(b[i + 1]) // 8) >= 20
+    CASE WHEN greatest(length(b[i + 1]) - length(replace(b[i + 1], ' ', '')) + 1, length(b[i + 1]) // 8) >= 20
          THEN regexp_extract_all(sents[i + 1], '[^vkVK]*[vkVK][^ ]*[ ]*|[^vkVK]+') ELSE [sents[i + 1]] END)) AS segs
   FROM bares),
-bare AS (SELECT doc_id, list_transform(segs, lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')) AS s FROM cut),
+bare AS (SELECT doc_id, list_transform(segs, lambda x: trim(replace(replace(replace(x, chr(10), ' '), chr(9), ' '), chr(13), ' '))) AS s FROM cut),
 words AS (
-  SELECT doc_id, s, list_transform(s, lambda x: greatest(len(string_split_regex(x, '\s+')), length(x) // 8)) AS w FROM bare),
+  SELECT doc_id, s, list_transform(s, lambda x: greatest(length(x) - length(replace(x, ' ', '')) + 1, length(x) // 8)) AS w FROM bare),
 starts AS (SELECT doc_id, s, w, unnest(range(len(s))) AS pos FROM words),
 runs AS (SELECT *, unnest(range(1, 11)) AS run FROM starts),
 sums AS (

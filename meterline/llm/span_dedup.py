@@ -39,22 +39,33 @@ from meterline.llm.common import free_name, table
 MIN_WORDS = 10
 LONG_WORDS = 20
 WORD_CHARS = 8
-SENTENCE = r"[^.!?。！？\n]*[.!?。！？\n]+|[^.!?。！？\n]+"
+SENTENCE = r"[^.!?\n]*[.!?\n]+|[^.!?\n]+"
+WIDE_MARKS = "。！？"
+WIDE_SENTENCE = f"[^.!?{WIDE_MARKS}\\n]*[.!?{WIDE_MARKS}\\n]+|[^.!?{WIDE_MARKS}\\n]+"
 PIECE = r"[^vkVK]*[vkVK][^ ]*[ ]*|[^vkVK]+"
 
 
 def bare(unit: Column) -> Column:
-    return F.regexp_replace(unit, r"^\s+|\s+$", "")
+    """A unit without the blanks around it; line ends and tabs are blanks."""
+    for c in "\n\t\r":
+        unit = F.replace(unit, F.lit(c), F.lit(" "))
+    return F.trim(unit)
 
 
 def weight(unit: Column) -> Column:
-    """Words of a bare unit, one at least."""
-    return F.greatest(F.size(F.split(unit, r"\s+")), F.floor(F.length(unit) / WORD_CHARS).cast("int"))
+    """Words of a bare unit, one at least: the blanks in it and one."""
+    blanks = F.length(unit) - F.length(F.replace(unit, F.lit(" "), F.lit("")))
+    return F.greatest(blanks + 1, F.floor(F.length(unit) / WORD_CHARS).cast("int"))
 
 
 def sentences(text: Column) -> Column:
     """The text's units; joined without a separator they are the text."""
-    return F.flatten(F.transform(F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)), lambda s: F.when(
+    wide = F.contains(text, F.lit(WIDE_MARKS[0]))
+    for c in WIDE_MARKS[1:]:
+        wide = wide | F.contains(text, F.lit(c))
+    cut = F.when(wide, F.regexp_extract_all(text, F.lit(WIDE_SENTENCE), F.lit(0))).otherwise(
+        F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0)))
+    return F.flatten(F.transform(cut, lambda s: F.when(
         weight(bare(s)) >= LONG_WORDS, F.regexp_extract_all(s, F.lit(PIECE), F.lit(0))).otherwise(F.array(s))))
 
 
@@ -76,21 +87,22 @@ def spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         out = F.lit(None).cast("int")
         for run, words in reversed(longer(i, 1)):
             out = F.when(words >= min_words, run).otherwise(out)
-        return F.struct(i.alias("pos"), F.when(F.get(w, i) >= LONG_WORDS, 1).otherwise(out).alias("run"))
+        return F.struct(i.alias("at"), F.when(F.get(w, i) >= LONG_WORDS, 1).otherwise(out).alias("run"))
 
     def ends(j: Column) -> Column:
-        """The shortest run that ends at j, unless it is the shortest that begins where it does."""
+        """The shortest run that ends at j, as a negative number, unless it is the shortest that begins where it does."""
         out = F.lit(None).cast("int")
         for run, words in reversed(longer(j, -1)):
             first = F.get(w, j - (run - 1))
             other = first >= LONG_WORDS if run == 2 else (first >= LONG_WORDS) | (words - F.get(w, j) >= min_words)
-            out = F.when(words >= min_words, F.when(other, run)).otherwise(out)
-        run = F.when(F.get(w, j) < LONG_WORDS, out)
-        return F.struct((j - run + 1).alias("pos"), run.alias("run"))
+            out = F.when(words >= min_words, F.when(other, -run)).otherwise(out)
+        return F.struct(j.alias("at"), F.when(F.get(w, j) < LONG_WORDS, out).alias("run"))
 
     places = F.when(F.size("w") > 0, F.sequence(F.lit(0), F.size("w") - 1))
     both = F.concat(F.transform(places, begins), F.transform(places, ends))
-    at = cut.select("id", "key", "h", F.inline(both)).filter(F.col("run").isNotNull())
+    at = cut.select("id", "key", "h", F.inline(both)).filter(F.col("run").isNotNull()).select(
+        "id", "key", "h", F.when(F.col("run") < 0, F.col("at") + F.col("run") + 1).otherwise(F.col("at")).alias("pos"),
+        F.abs("run").alias("run"))
     span = F.slice("h", F.col("pos") + 1, F.col("run"))
     return at.select("id", "key", "pos", "run", F.xxhash64(span).alias("a"), F.hash(span).alias("b"))
 

@@ -283,25 +283,27 @@ def test_small_templates_of_a_mixed_leaf_stay_templates(spark):
 def units_by_force(text):
     import re
     out = []
-    for s in re.findall(span_dedup.SENTENCE, text):
+    for s in re.findall(span_dedup.WIDE_SENTENCE, text):
         out += re.findall(span_dedup.PIECE, s) if words_by_force(s) >= span_dedup.LONG_WORDS else [s]
     return out
 
 
 def words_by_force(unit):
+    b = bare_by_force(unit)
+    return max(len(b.split(" ")), len(b) // span_dedup.WORD_CHARS)
+
+
+def bare_by_force(unit):
     import re
-    b = re.sub(r"^[ \t\n\r\f\v]+|[ \t\n\r\f\v]+$", "", unit)
-    return max(len(re.split(r"[ \t\n\r\f\v]+", b)), len(b) // span_dedup.WORD_CHARS)
+    return re.sub("[\n\t\r]", " ", unit).strip(" ")
 
 
 def spans_by_force(docs):
     """{id: text} with every run of every length tried; ids are distinct."""
-    import re
-    bare = lambda u: re.sub(r"^[ \t\n\r\f\v]+|[ \t\n\r\f\v]+$", "", u)
     first, gone = {}, {}
     for i, text in sorted(docs.items()):
         units = units_by_force(text)
-        b, w = [bare(u) for u in units], [words_by_force(u) for u in units]
+        b, w = [bare_by_force(u) for u in units], [words_by_force(u) for u in units]
         cut = gone.setdefault(i, set())
         for lo in range(len(units)):
             for hi in range(lo + 1, len(units) + 1):
