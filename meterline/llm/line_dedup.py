@@ -103,6 +103,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     recurring = (found.groupBy("template", "key").agg(F.min("id").alias("id"))
                  .groupBy("template").agg(F.count(F.lit(1)).alias("texts"), F.min(F.struct("id", "key")).alias("first"))
                  .filter(F.col("texts") >= min_docs).select("template", F.col("first.key").alias("first")))
+    recurring = table(recurring, "lines-recurring")  # likewise for a hot template
     drops = (found.join(recurring, "template").filter(F.col("key") != F.col("first"))
              .groupBy("key").agg(F.collect_set("pos").alias("drops")))
 
