@@ -505,6 +505,42 @@ def q_logged_stream_load(spark, sf):
         *[f.name for f in schema.fields])
 
 
+@register("replayed_rejects")
+def q_replayed_rejects(spark, sf):
+    """The note rows of ``logged_load`` and its rejects, replayed twice with the text ``n/a`` mended to no value."""
+    from meterline.schemas import LANDING
+    from meterline.session import scratch_path
+    from meterline.streaming import incremental as I
+    from meterline.streaming.upkeep import replay_rejects
+    landing, target = scratch_path(spark, "replay-landing"), scratch_path(spark, "replay-target")
+    log_path = f"{target}/load_log"
+    notes = _landing(spark, sf)["notestacked_raw"].drop("batch_id")
+    seq = F.col("noteacceptorlogsequence")
+    text = F.when(seq % 7 == 0, F.lit("n/a")).otherwise(seq.cast("string"))
+    notes.withColumn("noteacceptorlogsequence", text).write.parquet(f"{landing}/notestacked")
+    I.load_pending_files(spark, landing, target, log_path, "b1")
+    for _ in range(2):  # the second finds nothing left
+        replay_rejects(spark, target, log_path, repairs={
+            "notestacked_raw": {"noteacceptorlogsequence": lambda c: F.nullif(c, F.lit("n/a"))}})
+    schema = LANDING["notestacked_raw"]
+    return I.read_loaded(spark, f"{target}/notestacked_raw", schema, I.read_log(spark, log_path)).select(
+        *[f.name for f in schema.fields])
+
+
+@register("events_sent_again")
+def q_events_sent_again(spark, sf):
+    """Three batches by event id, each sending a part of the one before again: every event once, in its first batch."""
+    from meterline.session import scratch_path
+    from meterline.streaming.upkeep import first_sent
+    digests = scratch_path(spark, "digests")
+    events, out = table(spark, sf, "events"), None
+    for k in range(3):
+        sent = events.where((F.col("event_id") % 3 == k) | ((F.col("event_id") % 3 == k - 1) & (F.col("event_id") % 5 == 0)))
+        got = first_sent(sent.withColumn("batch_id", F.lit(f"b{k}")), digests, f"b{k}")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 @register("zero_intensity_day")
 def q_zero_intensity_day(spark, sf):
     """Q12 with pair times truncated to the day (wagers of a session never share a second here)."""
