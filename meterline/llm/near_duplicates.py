@@ -6,15 +6,21 @@ path, it chooses each of its tokens with probability 1 / (threshold * size),
 by a hash of the path and the token that all nodes share, and goes on to the
 path extended by the token. Two sets at the threshold expect to share one
 chosen token at every level, unrelated sets almost none, so buckets (nodes on
-one path) shrink quickly. A bucket of at most ``SMALL`` nodes is brute-forced;
-a larger one is split again, ``DEPTH`` times at most. The number of runs
-follows from the target recall of a pair right at the threshold.
+one path) shrink quickly. A bucket of at most ``SEARCHED`` nodes is
+brute-forced; a larger one is split again, ``DEPTH`` times at most. The number
+of runs follows from the target recall of a pair right at the threshold.
 
 Brute force compares 8-bit minhash sketches at a loose level and keeps, per
-bucket, a spanning forest of what it links, never the pairs. Buckets that are
-still large after the last split (near copies, which no token separates) are
-searched in blocks: from each node the unvisited rest of its block pair is
-compared, so a group of near copies costs about one comparison a node.
+bucket, a spanning forest of what it links, never the pairs. Buckets of up to
+``SMALL`` nodes are compared many at a time; in a larger one, each node visited
+is compared with the unvisited rest, so a group of near copies costs about one
+comparison a node and is settled where it first fits a search.
+
+Buckets that are still large after the last split are near copies, which no
+token separates. Of each, a few nodes picked by hash are compared with all, and
+the one with the most hits stands for its group: the group is one component, so
+its members are compared with the bucket's other nodes only, each member in one
+block per block of others. A group of any size thus costs rows in proportion.
 
 The forests' components are the candidate classes. Inside each, all exact
 similarities are computed in blocks of bounded size, as products of token
@@ -52,6 +58,8 @@ THRESHOLD = 0.8
 TARGET_RECALL = 0.999
 DEPTH = 3
 SMALL = 64
+SEARCHED = 4096  # nodes of a bucket that one search takes
+LEADERS = 8  # nodes of a bucket too large for that which are compared with all
 SKETCH = 64
 LOOSE = 0.6
 BATCH_ROWS = 16384  # bucket rows of one task group
@@ -218,22 +226,37 @@ def brute_buckets(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": node[own], "b": node[root[own]]})
 
 
+def alike(marks: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Which rows of ``marks`` agree with the sketch ``one`` at the loose level."""
+    same = (marks == one).view(np.uint64)  # eight bytes of 0 or 1 in each word
+    lanes = same[:, 0].copy()
+    for k in range(1, same.shape[1]):
+        lanes += same[:, k]
+    return (lanes * np.uint64(0x0101010101010101)) >> np.uint64(56) >= np.uint64(math.ceil(LOOSE * SKETCH))
+
+
 def search_block(group: pd.DataFrame) -> pd.DataFrame:
     """Spanning links of one block pair of a large bucket: each node visited is compared with the unvisited."""
     node = group["node"].to_numpy()
     marks = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, SKETCH)
-    rest, links = np.arange(len(group)), []
+    rest, left, links = np.arange(len(group)), marks, []
     while len(rest):
-        queue, rest = [int(rest[0])], rest[1:]
+        queue, rest, left = [int(rest[0])], rest[1:], left[1:]
         while queue and len(rest):
             at = queue.pop()
-            near = (marks[rest] == marks[at]).sum(axis=1) >= LOOSE * SKETCH
-            links += [(node[at], node[k]) for k in rest[near]]
-            queue += rest[near].tolist()
-            rest = rest[~near]
+            near = alike(left, marks[at])
+            if near.any():
+                links += [(node[at], node[k]) for k in rest[near]]
+                queue += rest[near].tolist()
+                rest, left = rest[~near], left[~near]
     return pd.DataFrame(links, columns=["a", "b"])
 
 
+def search_buckets(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    """Spanning links of one bucket (``key``: its path, batch) or of a batch of small ones (no path)."""
+    return brute_buckets(group) if pd.isna(key[0]) else search_block(group)
+
+
 def in_blocks(rows: DataFrame, key: str, blocks: str, spread: str) -> DataFrame:
     """Each row once per block pair (lo, hi) that its block of ``key`` takes part in."""
     own = F.pmod(F.xxhash64(spread, F.lit("block")), F.col(blocks)).cast("int")
@@ -261,6 +284,53 @@ def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
             .join(F.broadcast(words), "word").filter(F.col("bits").bitwiseAND(bit(F.col("at"))) != 0).drop("at", "word", "bits"))
 
 
+def leading_groups(rest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of buckets too large for one search: the links of each one's leading group, and what is left to compare.
+
+    ``rest``: (path, node, sketch). The second frame has the blocks (path,
+    cross, lo, hi) with their nodes: all pairs of blocks of a bucket's other
+    nodes, and each such block with each block of the leading group.
+    """
+    rest = table(rest, "bucket-rest")
+    picks = table(rest.groupBy("path").agg(F.array(*(
+        F.min(F.struct(F.xxhash64("node", F.lit(k)), "sketch", "node")) for k in range(LEADERS))).alias("pick"))
+        .select("path", F.col("pick.sketch").alias("shown"), F.col("pick.node").alias("leader")), "bucket-leaders")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, 1, SKETCH)
+            shown = np.frombuffer(b"".join(x for of in batch.column("shown").to_pylist() for x in of), np.uint8)
+            hits = (marks == shown.reshape(-1, LEADERS, SKETCH)).sum(axis=2) >= LOOSE * SKETCH
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), batch.column("node"), batch.column("sketch"),
+                 pa.array(hits.tolist(), pa.list_(pa.bool_()))], names=["path", "node", "sketch", "hits"])
+
+    met = table(rest.join(growing(picks.select("path", "shown")), "path")
+                .mapInArrow(compare, "path long, node binary, sketch binary, hits array<boolean>"), "bucket-hits")
+    each = [F.sum(F.col("hits")[k].cast("long")).alias(f"n{k}") for k in range(LEADERS)]
+    counts = F.array(*(F.col(f"n{k}") for k in range(LEADERS)))
+    blocks = lambda n: F.ceil(n / SEARCH_NODES).cast("int")
+    plans = table(met.groupBy("path").agg(F.count(F.lit(1)).alias("n"), *each)
+                  .withColumn("most", F.array_max(counts)).withColumn("lead", F.array_position(counts, F.col("most")).cast("int"))
+                  .join(picks.select("path", "leader"), "path")
+                  .select("path", "lead", F.element_at("leader", F.col("lead")).alias("leader"),
+                          blocks(F.col("most")).alias("groups"), blocks(F.col("n") - F.col("most")).alias("others")),
+                  "bucket-plans")
+    split = met.join(growing(plans), "path").withColumn("led", F.element_at("hits", F.col("lead")))
+    links = split.filter("led").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = F.pmod(F.xxhash64("node", F.lit("block")), F.when(F.col("led"), F.col("groups")).otherwise(F.col("others"))).cast("int")
+    split = split.filter("others > 0").withColumn("own", own)
+    place = lambda cross, lo, hi: F.struct(F.lit(cross).alias("cross"), lo.alias("lo"), hi.alias("hi"))
+    mine = F.col("own")
+    among = F.transform(upto("others"), lambda i: place(False, F.least(mine, i), F.greatest(mine, i)))
+    facing = F.transform(upto("groups"), lambda i: place(True, mine, i))
+    faced = F.transform(upto("others"), lambda i: place(True, i, mine))
+    at = F.when(F.col("led"), faced).otherwise(F.concat(among, facing))
+    return links, split.select("path", "node", "sketch", F.explode(at).alias("at")).select("path", "node", "sketch", "at.*")
+
+
 def candidate_links(nodes: DataFrame) -> DataFrame:
     """(a, b) spanning links of all buckets of all runs."""
     marks = nodes.select("node", "sketch")
@@ -271,17 +341,17 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
             rows = rows.join(growing(large.select(F.col("path").alias("parent"))), "parent", "left_semi")
         rows = table(rows.select("path", "node"), f"paths-{level}") if level > 1 else rows.select("path", "node")
         sizes = table(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1), f"buckets-{level}")
-        small = rows.join(growing(sizes.filter(F.col("n") <= SMALL).select("path")), "path", "left_semi")
-        n = sizes.filter(F.col("n") <= SMALL).agg(F.sum("n")).first()[0] or 0
+        fit = rows.join(growing(sizes.filter(F.col("n") <= SEARCHED)), "path").join(growing(marks), "node")
+        small = F.col("n") <= SMALL
+        n = sizes.filter(small).agg(F.sum("n")).first()[0] or 0
         groups = max(1, math.ceil(n / BATCH_ROWS))
-        batch = F.pmod(F.xxhash64("path", F.lit("batch")), F.lit(groups)).alias("batch")
-        found.append(small.join(growing(marks), "node").select("path", "node", "sketch", batch)
-                     .groupBy("batch").applyInPandas(brute_buckets, "a binary, b binary"))
-        large = sizes.filter(F.col("n") > SMALL)
-    blocks = F.ceil(F.col("n") / SEARCH_NODES)
-    rest = rows.join(growing(large.select("path", blocks.alias("blocks"))), "path").join(growing(marks), "node")
-    rest = in_blocks(rest, "path", "blocks", "node").select("path", "lo", "hi", "node", "sketch")
-    found.append(rest.groupBy("path", "lo", "hi").applyInPandas(search_block, "a binary, b binary"))
+        batch = F.when(small, F.pmod(F.xxhash64("path", F.lit("batch")), F.lit(groups))).alias("batch")
+        found.append(fit.select("path", "node", "sketch", F.when(~small, F.col("path")).alias("alone"), batch)
+                     .groupBy("alone", "batch").applyInPandas(search_buckets, "a binary, b binary"))
+        large = sizes.filter(F.col("n") > SEARCHED)
+    if not large.isEmpty():
+        links, blocks = leading_groups(rows.join(growing(large.select("path")), "path").join(growing(marks), "node"))
+        found += [links, blocks.groupBy("path", "cross", "lo", "hi").applyInPandas(search_block, "a binary, b binary")]
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)

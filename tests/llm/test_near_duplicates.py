@@ -24,23 +24,60 @@ def test_all_links_of_all_documents(documents):
     assert sum(n for (_, _, links), n in want.items() if links) > 50
 
 
-def test_large_group_of_near_copies(spark):
-    """More near copies than one bucket takes: paths can't part them, blocks find all links."""
-    rng = np.random.default_rng(1)
-    base = [f"w{k}" for k in rng.integers(0, 5000, 400)]
+def near_copies(rng, base, n, edits, first):
     rows = []
-    for i in range(300):
+    for i in range(n):
         words = list(base)
-        for at in rng.integers(0, 400, 3):
+        for at in rng.integers(0, len(base), edits):
             words[at] = f"x{rng.integers(0, 10**6)}"
-        rows.append((i, " ".join(words)))
+        rows.append((first + i, " ".join(words)))
+    return rows
+
+
+def test_large_group_of_near_copies(spark, monkeypatch):
+    """Near copies that paths can't part: one search settles them, or blocks do where they are too many for one."""
+    rng = np.random.default_rng(1)
+    rows = near_copies(rng, [f"w{k}" for k in rng.integers(0, 5000, 400)], 300, 3, 0)
     rows += [(1000 + i, " ".join(f"u{k}" for k in rng.integers(0, 10**6, 100))) for i in range(200)]
-    old = N.BLOCK_NODES, N.SEARCH_NODES
-    try:
-        N.BLOCK_NODES, N.SEARCH_NODES = 100, 120  # several blocks
-        check(spark.createDataFrame(rows, "doc_id long, text string"))
-    finally:
-        N.BLOCK_NODES, N.SEARCH_NODES = old
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check(df)
+    monkeypatch.setattr(N, "BLOCK_NODES", 100)
+    monkeypatch.setattr(N, "SEARCHED", 90)
+    monkeypatch.setattr(N, "SEARCH_NODES", 120)
+    check(df)
+
+
+def test_bucket_of_two_groups_and_others(spark, monkeypatch):
+    """Two large groups, and chains that end outside of a group, share the path of one long passage."""
+    rng = np.random.default_rng(5)
+    passage = [f"p{k}" for k in range(300)]
+    rows = near_copies(rng, passage + [f"a{k}" for k in range(60)], 150, 2, 0)
+    rows += near_copies(rng, passage + [f"b{k}" for k in range(60)], 100, 2, 1000)
+    rows += [(2000 + i, " ".join(passage + [f"c{k}" for k in range(4 * i, 4 * i + 90)])) for i in range(40)]
+    monkeypatch.setattr(N, "BLOCK_NODES", 70)
+    monkeypatch.setattr(N, "SEARCHED", 30)
+    monkeypatch.setattr(N, "SEARCH_NODES", 40)
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_a_leading_group_is_sent_once(spark, monkeypatch):
+    """Rows to compare grow with the group, not with its square."""
+    monkeypatch.setattr(N, "SEARCH_NODES", 50)
+    rng = np.random.default_rng(2)
+    other = rng.integers(0, 256, (10, N.SKETCH), dtype=np.uint8)
+    for n in (500, 2000):
+        group = np.repeat(rng.integers(0, 256, (1, N.SKETCH), dtype=np.uint8), n, axis=0)
+        rows = [(7, str(i).encode(), m.tobytes()) for i, m in enumerate(np.concatenate((group, other)))]
+        links, blocks = N.leading_groups(spark.createDataFrame(rows, "path long, node binary, sketch binary"))
+        assert links.count() == n and blocks.count() == n + 10 * (n // 50 + 1)
+
+
+def test_sketches_alike():
+    rng = np.random.default_rng(3)
+    marks = rng.integers(0, 3, (500, N.SKETCH), dtype=np.uint8)
+    marks[:50] = marks[0]
+    want = (marks == marks[0]).sum(axis=1) >= N.LOOSE * N.SKETCH
+    assert (N.alike(marks, marks[0]) == want).all() and want.sum() >= 50 and not want.all()
 
 
 def test_odd_rows(odd_docs, no_docs, clashing):
