@@ -84,7 +84,7 @@ LOAD_LOG = struct(
     ("batch_id", S), ("data_min", TS), ("data_max", TS),
 )
 
-# Log rows as stored: with the load (one run over a set of files) that wrote them.
-STORED_LOG = T.StructType([*LOAD_LOG.fields, T.StructField("load_id", S, True)])
+# Log rows as stored: with the load (one run over a set of files) that wrote them, and what is wrong with the file.
+STORED_LOG = T.StructType([*LOAD_LOG.fields, T.StructField("load_id", S, True), T.StructField("error", S, True)])
 REJECTS = struct(("source_name", S), ("table_name", S), ("file_name", S), ("error_columns", S), ("raw_row", S),
                  ("batch_id", S), ("load_id", S))

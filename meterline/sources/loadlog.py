@@ -43,6 +43,23 @@ def published_loads(log: DataFrame) -> DataFrame:
     return log.where((F.col("load_status") == COMPLETED) & F.col("load_id").isNotNull()).select("load_id").distinct()
 
 
+def failed_tries(log: DataFrame, source: str) -> DataFrame:
+    """(file_name, tries, last_tried) of files that could not be read.
+
+    A load that broke for another reason says nothing about its files: only
+    ``Failed`` rows that carry an ``error`` count.
+    """
+    return (log.where((F.col("source_name") == source) & (F.col("load_status") == FAILED) & F.col("error").isNotNull())
+            .groupBy("file_name").agg(F.count(F.lit(1)).alias("tries"), F.max("load_start").alias("last_tried")))
+
+
+def with_tries(pending: DataFrame, log: DataFrame, source: str) -> DataFrame:
+    """``pending`` (with ``modified``) and each file's ``tries`` since it was last changed."""
+    since = F.coalesce(F.col("modified") <= F.col("last_tried"), F.lit(False))
+    return (pending.join(failed_tries(log, source), "file_name", "left")
+            .withColumn("tries", F.when(since, F.col("tries")).otherwise(F.lit(0))).drop("last_tried"))
+
+
 def pending_status(pending: DataFrame) -> str:
     """'skip' when nothing is pending, else 'proceed' (one bounded probe)."""
     return "skip" if pending.isEmpty() else "proceed"

@@ -8,8 +8,10 @@ Two forms:
   rows with per-file stats. Readers see the rows of a load only when the log
   has a ``Completed`` row of it, and all closing rows of a load are written
   by one append, so a load is published whole or not at all. A file that
-  can't be read is logged ``Failed`` and stays pending; the others of its
-  load go through. Rows with values that don't cast go to the rejects table.
+  can't be read is logged ``Failed`` with its error, and the others of its
+  load go through; later it is tried in a load apart, and after ``MAX_TRIES``
+  it is set aside until it changes. Rows with values that don't cast go to the
+  rejects table.
 * ``stream_load``: the same as a stream of new files, each micro-batch loaded
   through ``foreachBatch`` with the log, the rejects and the stats. A load
   belongs to (query, epoch): an epoch that comes again after a failure is
@@ -44,6 +46,10 @@ REJECTS_TABLE = "load_rejects"
 FILES_PER_LOAD = 10_000
 
 
+# Reads of a file that can't be read before it is set aside.
+MAX_TRIES = 3
+
+
 class LoadResult(NamedTuple):
     status: str            # 'skip' or 'proceed'
     batch_id: str
@@ -150,13 +156,14 @@ def _load(spark: SparkSession, files, landing_root: str, target_root: str, log_p
                 continue
             known[tbl] = schemas[tbl]
             bad |= load_table(spark, tbl, paths, schemas[tbl], target_root, batch_id, load_id, source, landing_root)
-        failed = {r.file_name for r in files if r.location + r.file_name in bad}
+        failed = [(r.file_name, str(bad[p])) for r in files if (p := r.location + r.file_name) in bad]
+        why = spark.createDataFrame(failed, "file_name string, error string")
         stats = load_stats(spark, known, target_root, load_id, landing_root) if known else None
-        closed = LG.log_close(started.where(~F.col("file_name").isin(*failed)) if failed else started, stats, batch_id)
+        closed = LG.log_close(started.join(why, "file_name", "left_anti"), stats, batch_id)
         closed = closed.withColumn("error_cnt", F.coalesce("error_cnt", F.lit(0).cast("long")))
         if failed:
-            lost = LG.log_close(started.where(F.col("file_name").isin(*failed)), None, batch_id, status=LG.FAILED)
-            closed = closed.unionByName(lost)
+            lost = LG.log_close(started.join(why, "file_name", "left_semi"), None, batch_id, status=LG.FAILED)
+            closed = closed.unionByName(lost.join(why, "file_name"), allowMissingColumns=True)
         append_log(closed.withColumn("load_id", F.lit(load_id)), log_path)
     except Exception:
         lost = LG.log_close(started, None, batch_id, status=LG.FAILED)
@@ -167,9 +174,16 @@ def _load(spark: SparkSession, files, landing_root: str, target_root: str, log_p
 
 def load_pending_files(spark: SparkSession, landing_root: str, target_root: str, log_path: str,
                        batch_id: str, source: str = "FM", schemas: dict = LANDING,
-                       block_on_in_progress: bool = False, files_per_load: int = FILES_PER_LOAD) -> LoadResult:
+                       block_on_in_progress: bool = False, files_per_load: int = FILES_PER_LOAD,
+                       max_tries: int = MAX_TRIES) -> LoadResult:
     """Load every pending landing file into its ``<table>`` folder.
 
+    Files that could not be read before are loaded after the others and apart
+    from them, so they don't cost these the strict read. One that failed
+    ``max_tries`` times is left alone until its modification time is later than
+    its last try (``set_aside`` lists such files); a larger ``max_tries`` takes
+    it up again.
+
     ``block_on_in_progress``: return 'skip' while any file's latest log row
     is still ``Started`` (the optional in-progress guard). The pending list
     is fixed once, so files that arrive during the run wait for the next.
@@ -178,15 +192,26 @@ def load_pending_files(spark: SparkSession, landing_root: str, target_root: str,
     if block_on_in_progress and not LG.in_progress_files(log, source).isEmpty():
         return LoadResult("skip", batch_id)
     ensure_checkpoint_dir(spark)
-    pending = LG.pending_files(file_inventory(spark, landing_root, "*.parquet"), log, source).select(
-        "location", "file_name", table_of(F.col("file_name")).alias("tbl")).checkpoint(eager=True)
+    pending = LG.with_tries(LG.pending_files(file_inventory(spark, landing_root, "*.parquet"), log, source), log, source)
+    pending = pending.where(F.col("tries") < max_tries).select(
+        "location", "file_name", table_of(F.col("file_name")).alias("tbl"), "tries").checkpoint(eager=True)
     loads: list[str] = []
-    while files := (pending.orderBy("location", "file_name").offset(len(loads) * files_per_load)
-                    .limit(files_per_load).collect()):
-        loads.append(_load(spark, files, landing_root, target_root, log_path, batch_id, source, schemas))
+    for some in (pending.where("tries = 0"), pending.where("tries > 0")):
+        done = 0
+        while files := some.orderBy("location", "file_name").offset(done).limit(files_per_load).collect():
+            loads.append(_load(spark, files, landing_root, target_root, log_path, batch_id, source, schemas))
+            done += len(files)
     return LoadResult("proceed" if loads else "skip", batch_id, tuple(loads))
 
 
+def set_aside(spark: SparkSession, landing_root: str, log_path: str, source: str = "FM",
+              max_tries: int = MAX_TRIES) -> DataFrame:
+    """(location, file_name, tries) of the files that ``load_pending_files`` leaves alone."""
+    log = read_log(spark, log_path)
+    pending = LG.pending_files(file_inventory(spark, landing_root, "*.parquet"), log, source)
+    return LG.with_tries(pending, log, source).where(F.col("tries") >= max_tries).select("location", "file_name", "tries")
+
+
 def unpublished_rows(spark: SparkSession, target_root: str, log_path: str, schemas: dict = LANDING) -> dict[str, int]:
     """Rows per landing table that belong to loads which were never published."""
     published = LG.published_loads(read_log(spark, log_path))
