@@ -98,13 +98,23 @@ def sort_struct(order: OrderSpec) -> Column:
 
 @dataclass(frozen=True)
 class ChunkSpec:
-    """Cut the (key, order) sequence into ``ranges`` slices of about equal row counts."""
+    """Cut the (key, order) sequence into ``ranges`` slices of about equal row counts.
+
+    ``tasks``: how many range partitions they are dealt over. Fewer than
+    ``ranges``: each is sorted and cut into slices of ``rows`` rows; None: one
+    slice per partition.
+    """
 
     ranges: int
+    tasks: int | None = None
+    rows: int | None = None
 
 
 # Ranges are sized to two thirds of the target, since their bounds are sampled.
 RANGE_SLACK = 1.5
+# A range partition is a task: small ranges share one, so tasks follow the rows and not the target.
+ROWS_PER_TASK = 100_000
+LEAST_TASKS = 32
 
 
 def plan_chunks(df: DataFrame, keys: Sequence[str], ts: str,
@@ -118,7 +128,9 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], ts: str,
     r = per_key.agg(F.sum("n").alias("total"), F.max("n").alias("most")).first()
     if not r.total or r.most <= target_rows:
         return None
-    return ChunkSpec(math.ceil(RANGE_SLACK * r.total / target_rows))
+    ranges = math.ceil(RANGE_SLACK * r.total / target_rows)
+    tasks = max(LEAST_TASKS, math.ceil(RANGE_SLACK * r.total / ROWS_PER_TASK))
+    return ChunkSpec(ranges, tasks, target_rows) if tasks < ranges else ChunkSpec(ranges)
 
 
 def resolve_chunk(df: DataFrame, keys, ts: str, chunk_micros, target_rows: int):
@@ -139,8 +151,14 @@ def with_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk_micros,
     if isinstance(chunk_micros, ChunkSpec):
         order = order or ((ts, False),)
         ensure_checkpoint_dir(df.sparkSession)
-        return (df.repartitionByRange(chunk_micros.ranges, F.col(GROUP).asc(), *sort_cols(order))
-                .withColumn(CHUNK, F.spark_partition_id().cast("long")).checkpoint(eager=True))
+        by = [F.col(GROUP).asc(), *sort_cols(order)]
+        dealt = df.repartitionByRange(chunk_micros.tasks or chunk_micros.ranges, *by)
+        if not chunk_micros.rows:
+            return dealt.withColumn(CHUNK, F.spark_partition_id().cast("long")).checkpoint(eager=True)
+        # the id's lower 33 bits count a partition's rows; a slice is named after its first row
+        return (dealt.sortWithinPartitions(*by).withColumn(CHUNK, F.monotonically_increasing_id())
+                .withColumn(CHUNK, F.col(CHUNK) - F.col(CHUNK) % F.lit(1 << 33) % F.lit(chunk_micros.rows))
+                .checkpoint(eager=True))
     k = F.lit(0).cast("long") if not chunk_micros else F.floor(micros(ts) / F.lit(int(chunk_micros))).cast("long")
     return df.withColumn(CHUNK, k)
 

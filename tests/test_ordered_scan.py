@@ -75,3 +75,20 @@ def test_first_and_last_in_group(spark, ev):
     ref2 = (ev.withColumn("r", F.row_number().over(w)).withColumn("n", F.count("*").over(Window.partitionBy("user_id")))
             .where("r = n").select("user_id", "event_id"))
     assert sorted(map(tuple, l.collect())) == sorted(map(tuple, ref2.collect()))
+
+
+def test_small_ranges_share_tasks(spark):
+    """A target of 20 rows makes thousands of chunks, but tasks follow the rows (one task a range took hours on 6 million rows)."""
+    from meterline.operators.ordered import CHUNK, GROUP, LEAST_TASKS, plan_chunks, with_chunks
+    i = F.col("id")
+    df = spark.range(30_000).select(
+        i.alias("event_id"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, cast(id * 7919 % 5000 as int))").alias("ts"),
+        (i % 7).alias("user_id"), F.when(i % 3 != 0, i).alias("seq"), F.when(i % 11 != 0, i % 101).cast("decimal(18,2)").alias("value"),
+        F.when(i % 97 == 0, i.cast("string")).alias("tag"), F.when(i % 5 != 0, i % 2 == 0).alias("k2")).cache()
+    spec = plan_chunks(df, ["user_id", "k2"], "ts", 20)
+    chunked = with_chunks(df, ["user_id", "k2"], "ts", spec, ORDER)
+    assert chunked.rdd.getNumPartitions() <= LEAST_TASKS
+    sizes = chunked.groupBy(GROUP, CHUNK).count().agg(F.max("count").alias("most"), F.count("count").alias("n")).first()
+    assert sizes.most <= 20 and 30_000 / 20 <= sizes.n <= spec.ranges
+    got = ordered_scan(df, ["user_id", "k2"], ORDER, "ts", OPS, chunk_micros=spec)
+    assert sorted(map(tuple, got.select(*COLS).collect())) == sorted(map(tuple, plain(df).select(*COLS).collect()))
