@@ -92,3 +92,26 @@ def test_small_ranges_share_tasks(spark):
     assert sizes.most <= 20 and 30_000 / 20 <= sizes.n <= spec.ranges
     got = ordered_scan(df, ["user_id", "k2"], ORDER, "ts", OPS, chunk_micros=spec)
     assert sorted(map(tuple, got.select(*COLS).collect())) == sorted(map(tuple, plain(df).select(*COLS).collect()))
+
+
+def few_rows(spark):
+    i = F.col("event_id")
+    ev = spark.range(2_000).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, id * 37 % 800)").alias("ts"),
+        (F.col("id") % 5).alias("user_id"), F.element_at(F.array(*map(F.lit, ("signup", "purchase", "click", "error", "view"))),
+                                                        (F.col("id") * 31 % 5 + 1).cast("int")).alias("event_type"),
+        (F.col("id") % 41).cast("double").alias("value"))
+    from meterline.plans.adapters import canonical_events
+    return canonical_events(ev).withColumn("theme_id", F.when(i % 7 == 0, F.col("theme_id"))).cache()
+
+
+def test_sessions_over_small_ranges_share_tasks(spark):
+    from meterline.operators import sessions as Z
+    from meterline.operators.ordered import LEAST_TASKS, plan_chunks, with_chunks
+    from meterline.params import ENTITY
+    from meterline.plans.adapters import DRIVER_SESSION
+    log = few_rows(spark)
+    spec = plan_chunks(log, ENTITY, "tran_ts", 20)
+    assert with_chunks(Z.event_priority(log), ENTITY, "tran_ts", spec, Z.ORDER).rdd.getNumPartitions() <= LEAST_TASKS < spec.ranges
+    got, want = (Z.sessionize(log, DRIVER_SESSION, chunk_micros=c) for c in (spec, None))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
