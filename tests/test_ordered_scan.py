@@ -115,3 +115,17 @@ def test_sessions_over_small_ranges_share_tasks(spark):
     assert with_chunks(Z.event_priority(log), ENTITY, "tran_ts", spec, Z.ORDER).rdd.getNumPartitions() <= LEAST_TASKS < spec.ranges
     got, want = (Z.sessionize(log, DRIVER_SESSION, chunk_micros=c) for c in (spec, None))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_balances_over_small_ranges_share_tasks(spark):
+    from meterline.operators import curate as C
+    from meterline.operators import sessions as Z
+    from meterline.operators.ordered import LEAST_TASKS, plan_chunks, with_chunks
+    from meterline.params import ENTITY, SESSION_KEY
+    from meterline.plans.adapters import DRIVER_SESSION
+    log = few_rows(spark)
+    spec = plan_chunks(log, ENTITY, "tran_ts", 20)
+    rows = Z.sessionize(log, DRIVER_SESSION, chunk_micros=None).cache()
+    assert with_chunks(rows, SESSION_KEY, "tran_ts", spec, C.ORDER).rdd.getNumPartitions() <= LEAST_TASKS < spec.ranges
+    got, want = (C.running_balance(rows, chunk_micros=c).select("event_id", "credit_meter") for c in (spec, None))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
