@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.functions.exprs import MONEY, priority
 from meterline.operators.ordered import (
-    DEFAULT_TARGET_ROWS, FillForward, Lag, Lead, ordered_scan, resolve_chunk,
+    DEFAULT_TARGET_ROWS, FillForward, Lag, Lead, ordered_scan, resolve_chunk, sort_cols,
 )
 from meterline.params import SECONDARY_PAIR_PRIORITY, WAGER_PAIR_PRIORITY
 from meterline.schemas import CANONICAL, LANDING
@@ -30,6 +30,8 @@ ROW_ID = "_row_id"
 EVENT_COLUMNS = [f.name for f in CANONICAL.fields if f.name != "batch_id"]
 _TYPES = {f.name: f.dataType for f in CANONICAL.fields}
 TENANT = ("customer", "batch_id")
+# Window keys, the one that tells most rows apart first: a sort compares its first column's prefix.
+MACHINE = ("egmid", *TENANT)
 
 # --- Fixed values: landing column -> canonical column, per event type --------
 # (event type, landing table, {canonical column: landing column})
@@ -124,7 +126,7 @@ def tag_pad_union(start: DataFrame, end: DataFrame, start_type: str, end_type: s
 def pair_payout(tagged: DataFrame, chunk_micros="auto") -> DataFrame:
     """payout = next cash of the same (machine, game sequence, device) - own cash."""
     df = tagged.withColumn("sort_priority", priority("rectype", WAGER_PAIR_PRIORITY, None))
-    keys = [*TENANT, "egmid", "gameplaylogsequence", "deviceid"]
+    keys = ["gameplaylogsequence", *MACHINE, "deviceid"]
     df = ordered_scan(df, keys, total_order(PAIR_ORDER, df), "eventdatetime",
                       [Lead("g2s_playercashableamt", "_next_cash")], chunk_micros=chunk_micros)
     return df.withColumn("payout", (F.col("_next_cash") - F.col("g2s_playercashableamt")).cast(MONEY)) \
@@ -135,7 +137,7 @@ def pair_payout(tagged: DataFrame, chunk_micros="auto") -> DataFrame:
 def meter_delta_lag2(df: DataFrame, meter: str = "credit_meter", out: str = "tran_amt",
                      order=METER_ORDER, chunk_micros="auto") -> DataFrame:
     """``out = meter - meter two rows earlier`` over the machine's events."""
-    df = ordered_scan(df, [*TENANT, "egm_id"], total_order(order, df), order[0][0],
+    df = ordered_scan(df, ["egm_id", *TENANT], total_order(order, df), order[0][0],
                       [Lag(meter, "_meter_2", 2)], chunk_micros=chunk_micros)
     return df.withColumn(out, (F.col(meter) - F.col("_meter_2")).cast(MONEY)).drop("_meter_2")
 
@@ -177,8 +179,8 @@ def dedup_events(df: DataFrame, cols) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def secondary_tagged(start: DataFrame, end: DataFrame) -> DataFrame:
-    s, e = dedup_events(start, SEC_START_COLS), dedup_events(end, SEC_END_COLS)
+def secondary_tagged(start: DataFrame, end: DataFrame, dedup=dedup_events) -> DataFrame:
+    s, e = dedup(start, SEC_START_COLS), dedup(end, SEC_END_COLS)
     if ROW_ID in start.columns and ROW_ID in end.columns:
         # after the distinct a row is unique in its landing columns: id from them
         s = s.withColumn(ROW_ID, F.xxhash64(*SEC_START_COLS))
@@ -186,6 +188,13 @@ def secondary_tagged(start: DataFrame, end: DataFrame) -> DataFrame:
     return tag_pad_union(s, e, "x", "y", SEC_START_COLS, SEC_END_COLS)
 
 
+def first_of_equal(df: DataFrame, keys, order) -> DataFrame:
+    """Full-row distinct inside a window over ``keys``; ``order`` names every other column, so equal rows have one rank."""
+    w = Window.partitionBy(*keys).orderBy(*sort_cols(order))
+    return (df.withColumns({"_rn": F.row_number().over(w), "_rank": F.rank().over(w)})
+            .where(F.col("_rn") == F.col("_rank")).drop("_rn", "_rank"))
+
+
 # --- N7 -----------------------------------------------------------------
 def secondary_deltas(start: DataFrame, end: DataFrame, chunk_micros="auto") -> DataFrame:
     """x/y events: amount and payout are offset-2 differences of the start and end meters."""
@@ -193,9 +202,13 @@ def secondary_deltas(start: DataFrame, end: DataFrame, chunk_micros="auto") -> D
         end.select(*TENANT, "egmid", "eventdatetime"))
     chunk_micros = resolve_chunk(raw, [*TENANT, "egmid"], "eventdatetime", chunk_micros,
                                  DEFAULT_TARGET_ROWS)
-    df = secondary_tagged(start, end).withColumn(
+    in_window = {} if chunk_micros else {"dedup": lambda df, cols: df.select(*cols)}
+    df = secondary_tagged(start, end, **in_window).withColumn(
         "sort_priority", priority("rectype", SECONDARY_PAIR_PRIORITY, None))
-    df = ordered_scan(df, [*TENANT, "egmid"], total_order(SECONDARY_ORDER, df), "eventdatetime",
+    order = total_order(SECONDARY_ORDER, df)
+    if in_window:  # no machine is hot: copies go in the scan's own shuffle and sort, not in two before it
+        df = first_of_equal(df, MACHINE, order)
+    df = ordered_scan(df, MACHINE, order, "eventdatetime",
                       [Lag("g2s_secwageredamt", "_wager_2", 2), Lag("g2s_secwonamt", "_won_2", 2)],
                       chunk_micros=chunk_micros)
     df = df.withColumns({

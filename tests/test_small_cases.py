@@ -154,3 +154,37 @@ def test_first_event_rule(spark):
     ])
     got = {r.session_id for r in Q.first_event_rule(Q.checked_frame(df, chunk_micros=None)).collect()}
     assert got == {"s2"}
+
+
+def landing_rows(spark, n=400):
+    """Landing rows of seven machines, every third one loaded twice, some without a machine or meter."""
+    from meterline.schemas import LANDING
+    i = F.col("id")
+    base = spark.range(n).unionByName(spark.range(0, n, 3))
+    text = {"egmid": F.when(i % 13 != 0, (i % 7).cast("string")), "customer": F.concat(F.lit("c"), i % 2)}
+
+    def frame(name):
+        cols = []
+        for f in LANDING[name].fields:
+            kind = f.dataType.simpleString()
+            c = (text[f.name] if f.name in text else F.lit("b0") if f.name == "batch_id" else
+                 F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, cast(id % 50 as int))") if kind.startswith("timestamp") else
+                 F.when(i % 11 != 0, i % 17))
+            cols.append(c.cast(f.dataType).alias(f.name))
+        return base.select(*cols)
+    return frame
+
+
+def hash_exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_copies_leave_the_secondary_branch_in_the_scans_own_shuffle(spark):
+    from meterline.operators import events as N
+    frame = landing_rows(spark)
+    start, end = frame("secondarygamestarted_raw"), frame("secondarygameended_raw")
+    got = N.secondary_deltas(start, end)
+    assert hash_exchanges(got) == 1  # one distinct and one window each had their own
+    once = N.secondary_deltas(start.distinct(), end.distinct(), chunk_micros=1)  # the path of hot machines
+    assert 0 < got.count() < start.count() + end.count()
+    assert sorted(map(str, got.collect())) == sorted(map(str, once.collect()))
