@@ -164,6 +164,8 @@ def wager_events(start: DataFrame, end: DataFrame, chunk_micros="auto") -> DataF
     # groups are subsets of a machine, so the same width bounds them too
     chunk_micros = resolve_chunk(tagged, [*TENANT, "egmid"], "eventdatetime", chunk_micros,
                                  DEFAULT_TARGET_ROWS)
+    if not chunk_micros:  # no machine is hot: dealt by machine once, for the pairs' windows and the meters'
+        tagged = tagged.repartition(*MACHINE)
     paired = pair_payout(tagged, chunk_micros)
     canon = to_canonical(paired, {
         "egm_id": "egmid", "device_id": "deviceid", "denom_id": "denomid", "tran_ts": "eventdatetime",

@@ -188,3 +188,14 @@ def test_copies_leave_the_secondary_branch_in_the_scans_own_shuffle(spark):
     once = N.secondary_deltas(start.distinct(), end.distinct(), chunk_micros=1)  # the path of hot machines
     assert 0 < got.count() < start.count() + end.count()
     assert sorted(map(str, got.collect())) == sorted(map(str, once.collect()))
+
+
+def test_wagers_are_dealt_by_machine_once(spark):
+    from meterline.operators import events as N
+    frame = landing_rows(spark)
+    start, end = frame("primarygamestarted_raw"), frame("gameended_raw")
+    got = N.wager_events(start, end)
+    assert hash_exchanges(got) == 1  # the pairs' and the meters' windows had one each
+    cut = N.wager_events(start, end, chunk_micros=3_600_000_000)
+    assert got.count() == start.count() + end.count()
+    assert sorted(map(str, got.collect())) == sorted(map(str, cut.collect()))
