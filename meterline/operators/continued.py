@@ -16,7 +16,7 @@ had been one run, and the next carry:
   per machine and batch, and ``with_closings`` puts them on the stored rows.
 
 The carry is joined on the machine; the windows need the same partitioning, so
-a batch is shuffled once. It has one row per machine, however long the log.
+a batch is shuffled once (a hot machine's ranges apart). The carry has one row per machine, however long the log.
 Machines without an event in the batch keep their carry.
 
 A row that comes late (before the carry's last event) can't change what was
@@ -43,9 +43,11 @@ from meterline.operators.sessions import (
     C_OUT, C_SECS, C_SESSION, C_STARTS, ORDER, SESSIONIZED_COLUMNS, sessionize, state_expr,
 )
 from meterline.params import MOVEMENT, SessionParams
+from meterline.session import ensure_checkpoint_dir
 
-MACHINE = ("customer", "egm_id")
-OPEN_SESSION = (*MACHINE, "session_id")
+# The column that tells most rows apart first: a sort compares its first column's prefix.
+MACHINE = ("egm_id", "customer")
+KEYS = ("_egm", "_no_egm", "_customer", "_no_customer")
 THEMES = ("theme_id", "theme_name")
 
 CARRY = T.StructType([T.StructField(n, t) for n, t in (
@@ -64,7 +66,7 @@ class Continued(NamedTuple):
 
 
 def no_carry(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], CARRY)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in CARRY.fields])
 
 
 def _on_machine(left: DataFrame, right: DataFrame):
@@ -72,19 +74,26 @@ def _on_machine(left: DataFrame, right: DataFrame):
     return [left[c].eqNullSafe(right[f"_{c}"]) for c in MACHINE]
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    """The machine as columns without NULLs: a join and a window on them need the same exchange (a null-safe join's differs)."""
+    parts = zip(MACHINE, zip(KEYS[::2], KEYS[1::2]))
+    return df.withColumns({n: e for c, (value, no) in parts
+                           for n, e in ((value, F.coalesce(c, F.lit(""))), (no, F.col(c).isNull()))})
+
+
 def _rows(events: DataFrame, carry: DataFrame, p: SessionParams, mapping, chunk_micros, target_rows: int) -> DataFrame:
     """The batch's rows, seeded with the carry."""
     held = {"last_secs": C_SECS, "is_cash_out": C_OUT, "starts": C_STARTS, "session_id": C_SESSION}
     names = {f.name: held.get(f.name, f"_c_{f.name}") for f in CARRY.fields if f.name not in MACHINE}
-    known = carry.select(*[F.col(c).alias(f"_{c}") for c in MACHINE], *[F.col(c).alias(n) for c, n in names.items()],
-                         F.lit(True).alias("_c_known"))
-    df = events.join(known, _on_machine(events, known), "left").drop(*[f"_{c}" for c in MACHINE])
     cm = resolve_chunk(events, MACHINE, "tran_ts", chunk_micros, target_rows)
-    kept = (*names.values(), "_c_known")
-    df = sessionize(df, p, chunk_micros=cm, entity=MACHINE, carried=kept)
+    known = _keyed(carry).select(*KEYS, *[F.col(c).alias(n) for c, n in names.items()], F.lit(True).alias("_c_known"))
+    df = _keyed(events).join(known, list(KEYS), "left")
+    entity = MACHINE if cm else KEYS
+    kept = (*names.values(), "_c_known", *KEYS)
+    df = sessionize(df, p, chunk_micros=cm, entity=entity, carried=kept)
     df = df.withColumn("payout", clamp_negative("payout"))
     fills = [FillForward(c, f"_f_{c}") for c in THEMES] + [FillForward("theme_id", "_f_prev", strict=True)]
-    df = running_balance(df, mapping, out="balance", extra_ops=fills, chunk_micros=cm, keys=OPEN_SESSION)
+    df = running_balance(df, mapping, out="balance", extra_ops=fills, chunk_micros=cm, keys=(*entity, "session_id"))
     goes_on = F.col("_c_known").isNotNull() & F.col("session_id").eqNullSafe(F.col(C_SESSION))
     return df.withColumns({
         "balance": F.when(goes_on & F.col("_c_balance").isNotNull(), F.coalesce("balance", F.lit(0)) + F.col("_c_balance"))
@@ -137,6 +146,9 @@ def continue_sessions(events: DataFrame, carry: DataFrame, p: SessionParams = Se
     if through is not None:
         rows = through(rows)
     machines = _machines(rows, carry)
+    if through is not None:  # the closings and the carry are both taken from it
+        ensure_checkpoint_dir(events.sparkSession)
+        machines = machines.checkpoint()
     return Continued(rows, _closings(machines, p).select(*CLOSING_COLUMNS), _next_carry(machines, carry))
 
 

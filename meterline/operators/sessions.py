@@ -179,6 +179,7 @@ def sessionize(events: DataFrame, p: SessionParams = SessionParams(), chunk_micr
         RN: F.row_number().over(wl), CNT: F.count(F.lit(1)).over(wall),
         "_p_secs": F.lag("_secs").over(wl), "_n_secs": F.lead("_secs").over(wl),
         "_p_out": F.lag("is_cash_out").over(wl),
+        **({} if cm or not carried else {"_fm_secs": F.first("_secs").over(wall), "_f_ts": F.first("tran_ts").over(wall)}),
     })
     rows = rows.withColumn("_lstart", (rn > 1) & F.coalesce(
         F.col("_p_out") & ((F.col("_secs") - F.col("_p_secs")) > gap), F.lit(False)))
@@ -188,7 +189,7 @@ def sessionize(events: DataFrame, p: SessionParams = SessionParams(), chunk_micr
     })
 
     if not cm:
-        first_secs, first_ts = ((F.first("_secs").over(wall), F.first("tran_ts").over(wall)) if carried else
+        first_secs, first_ts = ((F.col("_fm_secs"), F.col("_f_ts")) if carried else
                                 (F.lit(None).cast("long"), F.lit(None).cast("timestamp_ntz")))
         out = rows.withColumns({
             "_pl_secs": seed[C_SECS].cast("long"), "_nf_secs": F.lit(None).cast("long"),

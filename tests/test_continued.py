@@ -98,3 +98,22 @@ def test_the_batch_job_reruns(spark, log, tmp_path):
     assert facts(P.continued_log(spark, wh)) == want
     assert P.continue_batch(spark, wh, "b2", DRIVER_SESSION)["stale"] == ["b3"]
     assert facts(P.continued_log(spark, wh)) == want
+
+
+def test_the_carry_comes_in_the_scans_own_shuffle(spark, log):
+    """The events were dealt once more to be joined with the carry, and the written rows were aggregated twice."""
+    first = K.continue_sessions(log.where("tran_ts < '2024-01-15'"), K.no_carry(spark), DRIVER_SESSION)
+    carry = first.carry.checkpoint()
+    got = K.continue_sessions(log.where("tran_ts >= '2024-01-15'"), carry, DRIVER_SESSION, through=lambda df: df.checkpoint())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = K._rows(log.where("tran_ts >= '2024-01-15'"), carry, DRIVER_SESSION, K.MOVEMENT, None, 10**6)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # the batch and the carry
+    assert "Aggregate" not in got.closings._jdf.queryExecution().executedPlan().toString()
+    keep = "tran_ts >= '2024-01-15'"
+    late = [c for c in FACTS if c not in ("session_state", "next_delta", "next_gap")]
+    assert (sorted(map(tuple, got.rows.select(*late).collect()), key=str)
+            == sorted(map(tuple, uncut(spark, log).where(keep).select(*late).collect()), key=str))
